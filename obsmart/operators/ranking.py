@@ -23,4 +23,5 @@ def top_k(
     """The first ``k`` rows per group. Spark limits each group before the
     shuffle (WindowGroupLimit), so at most k rows per group and task travel."""
     window = Window.partitionBy(*group).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+    ranked = df.withColumn(rank, F.row_number().over(window)).where(F.col(rank) <= k)
+    return ranked.withColumn(rank, F.col(rank).cast("long"))

@@ -1,10 +1,10 @@
-"""Change detection, date-window joins and histograms."""
+"""Change detection, date-window joins and quantiles of histograms."""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -38,31 +38,30 @@ def dates_around(df: DataFrame, center: str, before: int, after: int, day: str =
     ).withColumn(day, F.date_add(F.col(center), F.col("day_offset")))
 
 
-def quantile_from_counts(
-    counts: DataFrame, keys: Sequence[str], value: str, n: str, q: float, name: str
-) -> DataFrame:
-    """Exact linearly interpolated quantile per key from (value, count) rows.
+def rank_ranges(counts: DataFrame, keys: Sequence[str], value: str, n: str) -> DataFrame:
+    """Give each (value, count) row the 0-based ranks it stands for:
+    ``rank_from`` up to but excluding ``rank_to``, out of ``rank_all``.
 
     The window runs over distinct values in order and can spill, so no group
-    is ever held in memory by an aggregation buffer.
+    is ever held in an aggregation buffer.
     """
-    ordered = Window.partitionBy(*keys).orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.currentRow
-    )
-    whole = Window.partitionBy(*keys).orderBy(value).rowsBetween(
-        Window.unboundedPreceding, Window.unboundedFollowing
+    ordered = Window.partitionBy(*keys).orderBy(value)
+    so_far = ordered.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    whole = ordered.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    return (
+        counts.withColumn("rank_to", F.sum(n).over(so_far))
+        .withColumn("rank_all", F.sum(n).over(whole))
+        .withColumn("rank_from", F.col("rank_to") - F.col(n))
     )
-    ranked = counts.withColumn("_upto", F.sum(n).over(ordered)).withColumn("_all", F.sum(n).over(whole))
-    position = F.lit(q) * (F.col("_all") - 1)
-    ranked = ranked.withColumn("_pos", position)
 
-    def at(index):
-        inside = (F.col("_upto") > index) & (F.col("_upto") - F.col(n) <= index)
+
+def interpolated_quantile(value: str, q: float, only: Column) -> Column:
+    """Exact, linearly interpolated quantile as an aggregate over ``rank_ranges``."""
+    position = F.lit(q) * (F.col("rank_all") - 1)
+    low, high = F.floor(position), F.ceil(position)
+
+    def at(rank: Column) -> Column:
+        inside = only & (F.col("rank_from") <= rank) & (rank < F.col("rank_to"))
         return F.max(F.when(inside, F.col(value).cast("double")))
 
-    low, high = F.floor("_pos"), F.ceil("_pos")
-    return (
-        ranked.groupBy(*keys)
-        .agg(at(low).alias("_low"), at(high).alias("_high"), F.max(F.col("_pos") - low).alias("_part"))
-        .select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * F.col("_part")).alias(name))
-    )
+    return at(low) + (at(high) - at(low)) * F.max(F.when(only, position - low))

@@ -15,7 +15,7 @@ from obsmart.operators.counters import (
     with_hour,
 )
 from obsmart.operators.ranking import latest_per_key
-from obsmart.operators.windows import quantile_from_counts
+from obsmart.operators.windows import interpolated_quantile, rank_ranges
 
 QUERY_DAY = ["instance_id", "query_id", "dt"]
 QUERY_HOUR = [*QUERY_DAY, "hour"]
@@ -159,26 +159,28 @@ def fct_uptime_daily(samples: DataFrame) -> DataFrame:
     """Availability per day; ping figures come from successful polls only.
 
     Polls are first counted per distinct ping value. Everything else works on
-    that histogram, so one chatty instance is reduced before any shuffle.
+    that histogram, so one chatty instance is reduced before it is gathered,
+    and ranks and totals share one exchange.
     """
     day = ["instance_id", "dt"]
     counts = samples.groupBy(*day, "up", "ping_millis").agg(F.count(F.lit(1)).alias("n"))
-    up_n = F.when(F.col("up"), F.col("n"))
-    base = counts.groupBy(*day).agg(
-        F.sum("n").alias("samples"),
-        F.coalesce(F.sum(up_n), F.lit(0)).alias("up_samples"),
-        F.coalesce(F.sum(F.when(~F.col("up"), F.col("n"))), F.lit(0)).alias("down_samples"),
-        F.sum(F.col("ping_millis") * up_n).alias("_ping_sum"),
-    )
-    p95 = quantile_from_counts(counts.where("up"), day, "ping_millis", "n", 0.95, "_p95")
-    return base.join(p95, day, "left").select(
-        *day,
-        "samples",
-        "up_samples",
-        "down_samples",
-        pct(F.col("up_samples"), F.col("samples"), 2).alias("uptime_pct"),
-        rounded(ratio(F.col("_ping_sum"), F.col("up_samples")), 1).alias("avg_ping_ms"),
-        rounded(F.col("_p95"), 1).alias("p95_ping_ms"),
+    ranked = rank_ranges(counts.repartition(*day), [*day, "up"], "ping_millis", "n")
+    up, n, zero = F.col("up"), F.col("n"), F.lit(0).cast("long")
+    return (
+        ranked.groupBy(*day)
+        .agg(
+            F.sum(n).alias("samples"),
+            F.coalesce(F.sum(F.when(up, n)), zero).alias("up_samples"),
+            F.coalesce(F.sum(F.when(~up, n)), zero).alias("down_samples"),
+            F.sum(F.when(up, F.col("ping_millis") * n)).alias("ping_sum"),
+            interpolated_quantile("ping_millis", 0.95, up).alias("p95"),
+        )
+        .select(
+            *day, "samples", "up_samples", "down_samples",
+            pct(F.col("up_samples"), F.col("samples"), 2).alias("uptime_pct"),
+            rounded(ratio(F.col("ping_sum"), F.col("up_samples")), 1).alias("avg_ping_ms"),
+            rounded(F.col("p95"), 1).alias("p95_ping_ms"),
+        )
     )
 
 

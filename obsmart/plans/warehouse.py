@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -45,6 +46,7 @@ class Warehouse:
     ):
         self.spark, self.raw, self.root, self.params = spark, raw, root, params
         self.seed = seed or (lambda name: packaged_seed(spark, name))
+        self._marts: dict[str, str] = {}
 
     # -- lazy builders -----------------------------------------------------
     def staging(self, name: str, since: date | None = None) -> DataFrame:
@@ -90,13 +92,17 @@ class Warehouse:
         return self.spark.read.parquet(path)
 
     def mart(self, name: str) -> DataFrame:
-        """Marts other marts read are written once as well."""
-        path = f"{self.root}/{name}"
+        """Marts other marts read are written once per state of the facts."""
         if name not in READ_BY_MARTS:
             return self.build_mart(name)
-        if not storage.exists(self.spark, f"{path}/_SUCCESS"):
-            self.build_mart(name).write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+        if name not in self._marts:
+            path = f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
+            self.build_mart(name).write.parquet(path)
+            self._marts[name] = path
+        return self.spark.read.parquet(self._marts[name])
+
+    def facts_changed(self) -> None:
+        self._marts.clear()
 
 
 READ_BY_MARTS = {i for _, inputs in MARTS.values() for i in inputs if i in MARTS}
@@ -127,4 +133,5 @@ def refresh_fact(warehouse: Warehouse, name: str, days_from: date | None = None,
     if not full and storage.exists(spark, f"{path}/_SUCCESS"):
         since = days_from or spark.read.parquet(path).agg(F.max("dt")).first()[0]
     write_fact(warehouse.build_fact(name, since), path, whole=since is None)
+    warehouse.facts_changed()
     return since

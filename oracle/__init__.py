@@ -1,0 +1 @@
+"""Comparison SQL for DuckDB, written against the given tables only."""
