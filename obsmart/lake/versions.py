@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from obsmart.sources import storage
+from obsmart.sources.local import local_frame
 
 
 class PublishError(RuntimeError):
@@ -73,8 +74,8 @@ class Lake:
             rows.append(
                 (v, datetime.fromisoformat(m["committed_at"]), m["changes"], len(m["tables"]), self.rows(v))
             )
-        return self.spark.createDataFrame(
-            rows, "version BIGINT, committed_at TIMESTAMP, changes STRING, table_count BIGINT, row_count BIGINT"
+        return local_frame(
+            self.spark, rows, "version BIGINT, committed_at TIMESTAMP, changes STRING, table_count BIGINT, row_count BIGINT"
         )
 
     # -- writing ---------------------------------------------------------------
@@ -172,8 +173,8 @@ class Lake:
             sizes = [storage.folder_size(self.spark, p["path"]) for p in entry["parts"]]
             rows.append((table, len(sizes), sum(s[0] for s in sizes), sum(s[1] for s in sizes),
                          sum(p["rows"] for p in entry["parts"])))
-        return self.spark.createDataFrame(
-            rows, "table_name STRING, parts BIGINT, files BIGINT, bytes BIGINT, row_count BIGINT"
+        return local_frame(
+            self.spark, rows, "table_name STRING, parts BIGINT, files BIGINT, bytes BIGINT, row_count BIGINT"
         )
 
     def stored(self) -> tuple[int, int]:

@@ -15,6 +15,7 @@ from pyspark.sql.types import StructType
 from obsmart.functions import hours_between
 from obsmart.params import DEFAULTS, Params
 from obsmart.sources.landing import expected_partitions, extract_days
+from obsmart.sources.local import local_frame
 from obsmart.sources.tables import AXES, RawTable
 
 OK, WARN, FAIL, SKIP = "OK", "WARN", "FAIL", "SKIP"
@@ -98,7 +99,7 @@ def evaluate(
 
     Axes the table is not held to are reported as skipped, not as passed.
     """
-    day_rows = spark.createDataFrame([(d,) for d in days], "dt DATE")
+    day_rows = local_frame(spark, [(d,) for d in days], "dt DATE")
     inside = landed.where(F.col("dt").isin(days))
     landed_rows = counts(inside, "landed_rows")
     zero = F.lit(0)

@@ -22,6 +22,7 @@ from obsmart.quality import contract, data_tests, gate, runs
 from obsmart.session import fresh_dir
 from obsmart.sources import landing
 from obsmart.sources.fleet import fleet_source
+from obsmart.sources.local import local_frame
 from obsmart.sources.tables import AUXILIARY, RAW_TABLES, raw_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -221,7 +222,7 @@ def lake_load_partitions(spark: SparkSession, folder: str) -> DataFrame:
     """Rows added by each of two loads, in commit order."""
     lake, _ = _half_loads(spark, folder)
     rows = [(v, lake.rows(v) - (lake.rows(v - 1) if v > 1 else 0)) for v in lake.versions()]
-    return spark.createDataFrame(rows, "version BIGINT, rows_added BIGINT")
+    return local_frame(spark, rows, "version BIGINT, rows_added BIGINT")
 
 
 def lake_time_travel(spark: SparkSession, folder: str) -> DataFrame:
@@ -363,7 +364,7 @@ def quality_schema_drift(spark: SparkSession, folder: str) -> DataFrame:
         "query_snapshot gained a column": changed.withColumn("extra", F.lit(1)),
     }.items():
         rows.append((label, gate.schema_drift(df.schema, declared)[0]))
-    return spark.createDataFrame(rows, "table_name STRING, status STRING")
+    return local_frame(spark, rows, "table_name STRING, status STRING")
 
 
 def quality_gate(spark: SparkSession, folder: str) -> DataFrame:

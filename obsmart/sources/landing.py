@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsmart.sources import storage
+from obsmart.sources.local import local_frame
 from obsmart.sources.tables import AUXILIARY, RawTable, raw_table
 
 
@@ -72,7 +73,7 @@ def landed_partitions(spark: SparkSession, root: str, table: RawTable, days: Ite
         for name in storage.list_names(spark, f"{base}/dt={day.isoformat()}")
         if name.startswith("instance_id=")
     ]
-    return spark.createDataFrame(found, "dt DATE, instance_id BIGINT")
+    return local_frame(spark, found, "dt DATE, instance_id BIGINT")
 
 
 def partition_actions(source_counts: DataFrame, existing: DataFrame, expected: DataFrame) -> DataFrame:

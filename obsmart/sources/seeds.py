@@ -6,6 +6,8 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from obsmart.sources.local import local_frame
+
 SEED_SCHEMAS = {
     "capacity_thresholds": "instance_id BIGINT, threshold_bytes BIGINT, threshold_kind STRING",
     "plan_regression_thresholds": "instance_id BIGINT, regress_ratio DOUBLE, min_after_calls BIGINT",
@@ -29,9 +31,8 @@ def packaged_seed(spark: SparkSession, name: str) -> DataFrame:
     because a path inside a Python package means nothing to an executor."""
     text = (Path(__file__).parent.parent / "seeds" / f"{name}.csv").read_text().splitlines()
     header, *lines = [line for line in text if line and not line.startswith("#")]
-    columns = header.split(",")
-    rows = spark.createDataFrame([tuple(v or None for v in line.split(",")) for line in lines],
-                                 ", ".join(f"{c} STRING" for c in columns))
-    return rows.selectExpr(
+    rows = [tuple(v or None for v in line.split(",")) for line in lines]
+    strings = local_frame(spark, rows, ", ".join(f"{c} STRING" for c in header.split(",")))
+    return strings.selectExpr(
         *[f"cast({c} as {t}) as {c}" for c, t in (f.split() for f in SEED_SCHEMAS[name].split(", "))]
     )
