@@ -56,3 +56,7 @@ def result(df, *columns, key=None):
     """Rows as dicts, by ``key`` when given."""
     rows = [r.asDict() for r in df.select(*columns).collect()] if columns else [r.asDict() for r in df.collect()]
     return {r[key]: r for r in rows} if key else rows
+
+
+def daily_contract_rows():
+    return [(1, "q", d("01-01"), "t", 5, 10.0, 2.0), (1, "q", d("01-02"), None, 0, 0.0, None)]
