@@ -13,8 +13,6 @@ from pyspark.sql import functions as F
 
 
 def with_hour(df: DataFrame, at: str = "captured_at") -> DataFrame:
-    if "hour" in df.columns:
-        return df
     return df.withColumn("hour", F.hour(at).cast("smallint"))
 
 
@@ -58,7 +56,7 @@ def per_poll(
 def merge_endpoints(
     df: DataFrame, keys: Sequence[str], counters: Sequence[str], *extra: Column
 ) -> DataFrame:
-    """Combine endpoints of sub-windows (polls into hours, hours into days)."""
+    """Endpoints of a window from the endpoints of its parts (here: its polls)."""
     aggs: list[Column] = []
     for c in counters:
         aggs += [

@@ -44,11 +44,6 @@ def int_change_events(changes: DataFrame) -> DataFrame:
     )
 
 
-def query_endpoints_hourly(snapshots: DataFrame) -> DataFrame:
-    """First and last counter reading per query and hour: feeds both query facts."""
-    return endpoints(with_hour(snapshots), QUERY_HOUR, "captured_at", QUERY_COUNTERS)
-
-
 def _query_deltas(ends: DataFrame, *keys: str) -> DataFrame:
     calls, spent = reset_safe_delta("calls"), reset_safe_delta("total_time_ms")
     return ends.select(
@@ -60,7 +55,8 @@ def _query_deltas(ends: DataFrame, *keys: str) -> DataFrame:
 
 
 def fct_query_hourly(snapshots: DataFrame) -> DataFrame:
-    return _query_deltas(query_endpoints_hourly(snapshots), *QUERY_HOUR)
+    """Per query and hour; an hour with a single poll shows no calls."""
+    return _query_deltas(endpoints(with_hour(snapshots), QUERY_HOUR, "captured_at", QUERY_COUNTERS), *QUERY_HOUR)
 
 
 def fct_query_daily(snapshots: DataFrame, texts: DataFrame | None = None) -> DataFrame:
@@ -69,7 +65,7 @@ def fct_query_daily(snapshots: DataFrame, texts: DataFrame | None = None) -> Dat
     ``texts`` may be the raw table: the statement text is looked up apart from
     the counters, so it is never shuffled once per poll.
     """
-    ends = merge_endpoints(query_endpoints_hourly(snapshots), QUERY_DAY, QUERY_COUNTERS)
+    ends = endpoints(snapshots, QUERY_DAY, "captured_at", QUERY_COUNTERS)
     text = label_per_key(snapshots if texts is None else texts, QUERY_DAY, "query_text")
     return _query_deltas(ends, *QUERY_DAY).join(text, QUERY_DAY, "left").select(
         *QUERY_DAY, "query_text", "delta_calls", "delta_total_time_ms", "avg_latency_ms"
@@ -90,11 +86,9 @@ def fct_wait_event_daily(waits: DataFrame) -> DataFrame:
     """Per wait event and day: what accumulated, and the last state (some engines
     report totals, others the state of the moment)."""
     day = ["instance_id", "event_name", "dt"]
-    hour = [*day, "hour"]
     counters = ["wait_count", "total_ms"]
-    polls = per_poll(with_hour(waits).repartition(*hour), hour, "captured_at", counters)
-    hourly = merge_endpoints(polls, hour, counters, F.count(F.lit(1)).alias("observations"))
-    daily = merge_endpoints(hourly, day, counters, F.sum("observations").alias("observations"))
+    polls = per_poll(waits, day, "captured_at", counters)
+    daily = merge_endpoints(polls, day, counters, F.count(F.lit(1)).alias("observations"))
     return daily.join(label_per_key(waits, day, "category"), day, "left").select(
         "instance_id", "event_name", "category", "dt", "observations",
         reset_safe_delta("wait_count").alias("delta_count"),

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsmart.operators.counters import with_hour
-
 
 def _project(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(c).cast("date").alias(c) if c == "dt" else F.col(c) for c in columns])
@@ -16,14 +14,13 @@ def stg_query_snapshot(raw: DataFrame) -> DataFrame:
     """One row per (instance, query, poll): a fingerprint that is reported as
     several interleaved series is summed into one.
 
-    Rows are hashed on (instance, query, date, hour), and that one exchange
-    serves this fold, the hourly endpoints and so both query facts. The hour
-    in the key spreads a query that dominates its day over many tasks.
+    The poll time is part of the key, so however much of the table one query
+    makes up, its polls spread over all tasks and repeated polls are combined
+    before they are shuffled.
     """
-    rows = with_hour(raw.withColumn("dt", F.col("dt").cast("date")))
     return (
-        rows.repartition("instance_id", "query_id", "dt", "hour")
-        .groupBy("instance_id", "query_id", "dt", "hour", "captured_at")
+        raw.withColumn("dt", F.col("dt").cast("date"))
+        .groupBy("instance_id", "query_id", "dt", "captured_at")
         .agg(
             F.sum("calls").alias("calls"),
             F.sum("total_time_ms").alias("total_time_ms"),

@@ -59,7 +59,7 @@ def _rounded(df: DataFrame, *columns: str) -> DataFrame:
 
 def _staging(name: str) -> Query:
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        return warehouse(spark, folder).staging(name).drop("hour")
+        return warehouse(spark, folder).staging(name)
 
     return query
 
