@@ -121,6 +121,16 @@ def write_fact(df: DataFrame, path: str, whole: bool = False) -> None:
     )
 
 
+class SchemaChanged(RuntimeError):
+    """An incremental load would mix two shapes in one table; rebuild it instead."""
+
+
+def require_same_columns(old: DataFrame, new: DataFrame, name: str) -> None:
+    before, after = sorted(old.dtypes), sorted(new.dtypes)
+    if before != after:
+        raise SchemaChanged(f"{name}: {sorted(set(before) ^ set(after))}")
+
+
 def refresh_fact(warehouse: Warehouse, name: str, days_from: date | None = None, full: bool = False) -> date | None:
     """Incremental load: recompute from the newest day of the target (or from
     ``days_from`` for late corrections) and replace those days whole.
@@ -132,6 +142,9 @@ def refresh_fact(warehouse: Warehouse, name: str, days_from: date | None = None,
     since = None
     if not full and storage.exists(spark, f"{path}/_SUCCESS"):
         since = days_from or spark.read.parquet(path).agg(F.max("dt")).first()[0]
-    write_fact(warehouse.build_fact(name, since), path, whole=since is None)
+    fact = warehouse.build_fact(name, since)
+    if since is not None:
+        require_same_columns(spark.read.parquet(path), fact, name)
+    write_fact(fact, path, whole=since is None)
     warehouse.facts_changed()
     return since

@@ -180,11 +180,12 @@ def offload_auxiliary(
     first: str | date,
     last: str | date | None = None,
 ) -> DataFrame:
-    """Every auxiliary table under the same contract, plus the registry snapshot
-    of the last day. Returns (table_name, dt, instance_id, landed_rows)."""
+    """Every auxiliary table under the same contract (guard included), plus the
+    registry snapshot of the last day. Returns (table_name, dt, instance_id, landed_rows)."""
     landed = None
+    ids = registry.select(F.col("id").alias("instance_id"))
     for name in AUXILIARY:
-        counts = offload(spark, sources[name], name, root, first, last).select(
+        counts = offload(spark, sources[name], name, root, first, last, ids).select(
             F.lit(name).alias("table_name"), "dt", "instance_id", "landed_rows"
         )
         landed = counts if landed is None else landed.unionByName(counts)

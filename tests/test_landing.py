@@ -170,3 +170,24 @@ def test_seeds_from_package_and_from_folder_agree(spark):
     for name in SEED_SCHEMAS:
         a, b = packaged_seed(spark, name), read_seed(spark, name, folder)
         assert a.schema.simpleString() == b.schema.simpleString() and sorted(a.collect()) == sorted(b.collect())
+
+
+def test_a_table_without_source_is_refused(monkeypatch):
+    from dataclasses import replace
+
+    monkeypatch.setitem(RAW_TABLES, "plan_snapshot", replace(raw_table("plan_snapshot"), available=False))
+    with pytest.raises(RuntimeError):
+        raw_table("plan_snapshot")
+
+
+def test_auxiliary_tables_are_guarded_too(spark):
+    from obsmart.sources.fleet import fleet_source
+
+    root = fresh_dir(spark, "raw")
+    folder = "/root/testdata/sf0.001"
+    sources = {n: fleet_source(spark, folder, n) for n in AUXILIARY}
+    ids = fleet_source(spark, folder, "dim_instance").where("dt = date'2024-01-30'").drop("dt")
+    landing.offload_auxiliary(spark, sources, ids, root, "2024-01-05")
+    sources["health_sample"] = sources["health_sample"].where("false")
+    with pytest.raises(landing.ArchiveGuardError):
+        landing.offload_auxiliary(spark, sources, ids, root, "2024-01-05")
