@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, date, datetime
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from obsmart.params import DEFAULTS, Params
 from obsmart.plans.facts import FACTS
 from obsmart.plans.warehouse import PUBLISHED, Warehouse, refresh_fact
 from obsmart.quality import contract, gate, runs
-from obsmart.sources.landing import as_day, offload, offload_auxiliary, read_landed
+from obsmart.sources.landing import SIDE_BY_SIDE, as_day, offload, offload_auxiliary, read_landed
 from obsmart.sources.tables import AUXILIARY, PRIMARY, raw_table
 
 
@@ -60,8 +61,8 @@ class DailyRun:
         offloaded = self.land(day)
         checks = self.gate(PRIMARY, [day])
         gate.require_pass(checks)
-        for fact in FACTS:
-            refresh_fact(self.warehouse, fact, full=full)
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            list(pool.map(lambda fact: refresh_fact(self.warehouse, fact, full=full), FACTS))
         tables = {name: self.warehouse.table(name) for name in PUBLISHED}
         version = self.lake.publish(tables, f"publish {day}", validate=contract.enforce_if_promised)
         published = self.lake.rows(version)

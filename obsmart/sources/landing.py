@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date, timedelta
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,9 @@ from obsmart.sources.local import local_frame
 from obsmart.sources.tables import AUXILIARY, RawTable, raw_table
 
 
+SIDE_BY_SIDE = 4
+
+
 class ArchiveGuardError(RuntimeError):
     """An empty source was about to replace a partition that may be the only copy."""
 
@@ -182,12 +187,14 @@ def offload_auxiliary(
 ) -> DataFrame:
     """Every auxiliary table under the same contract (guard included), plus the
     registry snapshot of the last day. Returns (table_name, dt, instance_id, landed_rows)."""
-    landed = None
     ids = registry.select(F.col("id").alias("instance_id"))
-    for name in AUXILIARY:
-        counts = offload(spark, sources[name], name, root, first, last, ids).select(
+
+    def one(name: str) -> DataFrame:
+        return offload(spark, sources[name], name, root, first, last, ids).select(
             F.lit(name).alias("table_name"), "dt", "instance_id", "landed_rows"
         )
-        landed = counts if landed is None else landed.unionByName(counts)
+
+    with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:  # small independent jobs share the cluster
+        landed = reduce(DataFrame.unionByName, pool.map(one, AUXILIARY))
     offload_registry(spark, registry, root, last or first)
     return landed

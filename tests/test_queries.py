@@ -8,7 +8,7 @@ from pathlib import Path
 import pytest
 from compare import connect, difference, type_difference
 
-FOLDER = "/root/testdata/sf0.001"
+FOLDER = "/root/testdata/sf0.01"
 SPEC = importlib.util.spec_from_file_location("spark_entry", Path(__file__).resolve().parent.parent / "__spark_entry__.py")
 ENTRY = importlib.util.module_from_spec(SPEC)
 SPEC.loader.exec_module(ENTRY)
