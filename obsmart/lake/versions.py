@@ -107,14 +107,14 @@ class Lake:
         tables: dict[str, DataFrame],
         changes: str = "publish",
         committed_at: datetime | None = None,
-        validate: Callable[[str, DataFrame], None] | None = None,
+        validate: Callable[[Callable[[str], DataFrame]], None] | None = None,
     ) -> int:
-        """Replace all given tables together as one version. ``validate`` sees each
-        table as written, before anything becomes visible, and may raise."""
+        """Replace all given tables together as one version. ``validate`` gets a reader
+        of the tables as written, before anything becomes visible, and may raise."""
         with self.transaction(changes, committed_at) as tx:
             tx.replace_all(tables)
-            for name in tables if validate else ():
-                validate(name, tx.read(name))
+            if validate:
+                validate(tx.read)
         return tx.version
 
     def append(self, table: str, df: DataFrame, day: str | None = None, committed_at: datetime | None = None) -> int:

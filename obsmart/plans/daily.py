@@ -14,7 +14,7 @@ from obsmart.lake.versions import Lake
 from obsmart.params import DEFAULTS, Params
 from obsmart.plans.facts import FACTS
 from obsmart.plans.warehouse import PUBLISHED, Warehouse, refresh_fact
-from obsmart.quality import contract, gate, runs
+from obsmart.quality import contract, data_tests, gate, runs
 from obsmart.sources.landing import SIDE_BY_SIDE, as_day, offload, offload_auxiliary, read_landed
 from obsmart.sources.tables import AUXILIARY, PRIMARY, raw_table
 
@@ -54,9 +54,18 @@ class DailyRun:
             raw_table(name), days, self.params,
         )
 
+    def check(self, staged: Callable[[str], DataFrame]) -> None:
+        """Contracts and data tests on the tables as written, before they are visible."""
+        contract.enforce_all(staged)
+
+        def tables(name: str) -> DataFrame:
+            return staged(name) if name in PUBLISHED else self.warehouse.table(name)
+
+        data_tests.require_clean(tables, [n for n in PUBLISHED if n in data_tests.NOT_NULL])
+
     def run(self, day: str | date, run_id: str | None = None, full: bool = False) -> int:
-        """Process one closed day; returns the published version. A failing gate or
-        contract raises, and what is published stays as it was."""
+        """Process one closed day; returns the published version. A failing gate,
+        contract or data test raises, and what is published stays as it was."""
         day, started = as_day(day), time.monotonic()
         offloaded = self.land(day)
         checks = self.gate(PRIMARY, [day])
@@ -64,7 +73,7 @@ class DailyRun:
         with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
             list(pool.map(lambda fact: refresh_fact(self.warehouse, fact, full=full), FACTS))
         tables = {name: self.warehouse.table(name) for name in PUBLISHED}
-        version = self.lake.publish(tables, f"publish {day}", validate=contract.enforce_if_promised)
+        version = self.lake.publish(tables, f"publish {day}", validate=self.check)
         published = self.lake.rows(version)
         now = datetime.now(UTC)
         runs.beat(self.spark, self.beats, self.name, now, run_id)

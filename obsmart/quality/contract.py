@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import _parse_datatype_string
@@ -64,6 +66,6 @@ def enforce(df: DataFrame, name: str) -> None:
         raise ContractBroken(f"{name}: " + "; ".join(f"{r['rule']} violated {r['violations']} times" for r in broken))
 
 
-def enforce_if_promised(name: str, df: DataFrame) -> None:
-    if name in CONTRACTS:
-        enforce(df, name)
+def enforce_all(tables: Callable[[str], DataFrame]) -> None:
+    for name in CONTRACTS:
+        enforce(tables(name), name)

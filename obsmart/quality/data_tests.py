@@ -127,3 +127,16 @@ def run_tests(tables: Tables, names: list[str]) -> DataFrame:
             part = part.select(F.lit(name).alias("table_name"), "rule", "violations")
             results = part if results is None else results.unionByName(part)
     return results
+
+
+class TestsFailed(RuntimeError):
+    """A built table violates at least one of its tests."""
+
+    __test__ = False  # not a test class
+
+
+def require_clean(tables: Tables, names: list[str]) -> None:
+    """Fail closed: raise when any declared test finds a violating row."""
+    failed = run_tests(tables, names).where("violations > 0").collect()  # at most one row per rule
+    if failed:
+        raise TestsFailed("; ".join(f"{r['table_name']} {r['rule']}: {r['violations']}" for r in failed))

@@ -46,10 +46,13 @@ def land(df: DataFrame, root: str, table: RawTable) -> None:
     """Replace exactly the partitions present in ``df``; others stay untouched.
 
     ``rebalance`` keeps a partition's rows together for few files, yet lets
-    adaptive execution split one that is far larger than the rest.
+    adaptive execution split one that is far larger than the rest. Rows are
+    ordered by time inside a partition, for compression and row-group skipping.
     """
+    order = [*table.partitions, *([table.watermark] if table.watermark else [])]
     (
         df.hint("rebalance", *[F.col(c) for c in table.partitions])
+        .sortWithinPartitions(*order)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")

@@ -42,8 +42,8 @@ def test_failed_publish_leaves_the_old_version_and_no_files(spark, lake):
 
 
 def test_validation_sees_written_rows_before_commit(spark, lake):
-    def refuse(name, df):
-        if name == "b" and df.count() == 2:
+    def refuse(tables):
+        if tables("b").count() == 2:
             raise ValueError("contract")
 
     with pytest.raises(ValueError):

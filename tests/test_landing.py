@@ -117,12 +117,19 @@ def test_partition_filter_prunes_folders(spark):
 
 
 def test_jdbc_predicates_put_the_instance_first():
-    parts = jdbc.instance_predicates([2, 1], HEALTH, "2026-01-31")
+    parts = jdbc.instance_predicates([2, 1], HEALTH, "2026-01-31", slices=1)
     assert parts == [
         f"instance_id = {i} AND sampled_at >= '2026-01-31 00:00:00' AND sampled_at < '2026-02-01 00:00:00'" for i in (1, 2)
     ]
 
 
+def test_jdbc_slices_cover_the_day_without_overlap():
+    parts = jdbc.instance_predicates([1], HEALTH, "2026-01-31", slices=4)
+    edges = [p.split("'")[1::2] for p in parts]
+    assert edges[0][0] == "2026-01-31 00:00:00" and edges[-1][1] == "2026-02-01 00:00:00"
+    assert all(a[1] == b[0] for a, b in zip(edges, edges[1:], strict=False))
+
+
 class Target:
     """Stands in for the external database: a staging and a target list."""
 
