@@ -14,7 +14,7 @@ import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
-from datetime import UTC, datetime, timedelta
+from datetime import UTC, date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -108,13 +108,23 @@ class Lake:
         changes: str = "publish",
         committed_at: datetime | None = None,
         validate: Callable[[Callable[[str], DataFrame]], None] | None = None,
+        daily: dict[str, date | None] | None = None,
     ) -> int:
-        """Replace all given tables together as one version. ``validate`` gets a reader
-        of the tables as written, before anything becomes visible, and may raise."""
+        """Publish all given tables together as one version.
+
+        Tables are replaced, except those in ``daily``: there only days from the
+        given one on are written (all days for ``None``) and the others are
+        taken over from the version before. ``validate`` gets a reader of the
+        rows written, before anything becomes visible, and may raise.
+        """
+        daily = daily or {}
         with self.transaction(changes, committed_at) as tx:
-            tx.replace_all(tables)
+            tx.side_by_side(
+                [lambda n=n, df=df: tx.replace_days(n, df, daily[n]) if n in daily else tx.replace(n, df)
+                 for n, df in tables.items()]
+            )
             if validate:
-                validate(tx.read)
+                validate(tx.read_written)
         return tx.version
 
     def append(self, table: str, df: DataFrame, day: str | None = None, committed_at: datetime | None = None) -> int:
@@ -145,10 +155,17 @@ class Lake:
             storage.delete_folder(self.spark, f"{self.root}/versions/{v:08d}.json")
             self._manifests.pop(v, None)
         kept = {p["path"] for v in self.versions() for t in self.manifest(v)["tables"].values() for p in t["parts"]}
+        written_with = {p.rsplit("/", 1)[0] for p in kept if "/_day=" in p}
         for table in storage.list_names(self.spark, f"{self.root}/data"):
-            for part in storage.list_names(self.spark, f"{self.root}/data/{table}"):
-                path = f"{self.root}/data/{table}/{part}"
-                if path not in kept:
+            for name in storage.list_names(self.spark, f"{self.root}/data/{table}"):
+                folder = f"{self.root}/data/{table}/{name}"
+                unused = [folder]
+                if folder in written_with:  # some of its days are still in use
+                    days = [f"{folder}/{n}" for n in storage.list_names(self.spark, folder) if n.startswith("_day=")]
+                    unused = [d for d in days if d not in kept]
+                elif folder in kept:
+                    unused = []
+                for path in unused:
                     storage.delete_folder(self.spark, path)
         return old
 
@@ -206,23 +223,53 @@ class Transaction:
             raise PublishError(f"{table}: {seen.get['rows']} rows written, {landed} found")
         return {"path": path, "rows": landed, "day": day}
 
-    def read(self, table: str) -> DataFrame:
-        """The table as this transaction would commit it."""
+    def read_written(self, table: str) -> DataFrame:
+        """The rows of the table that this transaction has written."""
         entry = self.tables[table]
         schema = StructType.fromJson(entry["schema"])
-        return self.lake.spark.read.schema(schema).parquet(*[p["path"] for p in entry["parts"]])
+        paths = [p["path"] for p in entry["parts"] if p["path"].startswith(tuple(self._written))]
+        if not paths:
+            return self.lake.spark.createDataFrame([], schema)
+        return self.lake.spark.read.schema(schema).parquet(*paths)
+
+    def side_by_side(self, jobs: list[Callable[[], object]]) -> None:
+        """Run independent writes at the same time."""
+        with ThreadPoolExecutor(self.lake.writers) as pool:
+            for job in [pool.submit(j) for j in jobs]:
+                job.result()
 
     def replace(self, table: str, df: DataFrame) -> int:
         part = self._write(table, df)
         self.tables[table] = {"schema": df.schema.jsonValue(), "parts": [part]}
         return part["rows"]
 
-    def replace_all(self, tables: dict[str, DataFrame]) -> None:
-        """Write independent tables side by side."""
-        with ThreadPoolExecutor(self.lake.writers) as pool:
-            jobs = [pool.submit(self.replace, name, df) for name, df in tables.items()]
-            for job in jobs:
-                job.result()
+    def replace_days(self, table: str, df: DataFrame, since: date | None, column: str = "dt") -> int:
+        """Replace the days from ``since`` on, as one part per day; earlier days keep
+        their parts. Falls back to all days when there is nothing to build on."""
+        old = self.tables.get(table, {"parts": []})["parts"]
+        if since is None or any(p["day"] is None for p in old):
+            since, old = None, []
+        rows = df if since is None else df.where(F.col(column) >= F.lit(since))
+        path = f"{self.lake.root}/data/{table}/{uuid.uuid4().hex}"
+        self._written.append(path)
+        seen = Observation()
+        (
+            rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+            .withColumn("_day", F.col(column))
+            .write.partitionBy("_day")
+            .parquet(path)
+        )
+        names = [n for n in storage.list_names(self.lake.spark, path) if n.startswith("_day=")]
+        landed = {}
+        if names:
+            back = self.lake.spark.read.schema(df.schema).parquet(*[f"{path}/{n}" for n in names])
+            landed = {str(r[0]): r[1] for r in back.groupBy(column).count().collect()}  # one row per day
+        if sum(landed.values()) != seen.get["rows"]:
+            raise PublishError(f"{table}: {seen.get['rows']} rows written, {sum(landed.values())} found")
+        new = [{"path": f"{path}/{n}", "rows": landed[n.removeprefix("_day=")], "day": n.removeprefix("_day=")} for n in names]
+        kept = [p for p in old if p["day"] < since.isoformat()] if since else []
+        self.tables[table] = {"schema": df.schema.jsonValue(), "parts": kept + new}
+        return len(new)
 
     def append(self, table: str, df: DataFrame, day: str | None = None) -> int:
         entry = self.tables.setdefault(table, {"schema": df.schema.jsonValue(), "parts": []})

@@ -55,7 +55,7 @@ class DailyRun:
         )
 
     def check(self, staged: Callable[[str], DataFrame]) -> None:
-        """Contracts and data tests on the tables as written, before they are visible."""
+        """Contracts and data tests on the rows as written, before they are visible."""
         contract.enforce_all(staged)
 
         def tables(name: str) -> DataFrame:
@@ -71,9 +71,9 @@ class DailyRun:
         checks = self.gate(PRIMARY, [day])
         gate.require_pass(checks)
         with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-            list(pool.map(lambda fact: refresh_fact(self.warehouse, fact, full=full), FACTS))
+            since = dict(zip(FACTS, pool.map(lambda fact: refresh_fact(self.warehouse, fact, full=full), FACTS), strict=True))
         tables = {name: self.warehouse.table(name) for name in PUBLISHED}
-        version = self.lake.publish(tables, f"publish {day}", validate=self.check)
+        version = self.lake.publish(tables, f"publish {day}", validate=self.check, daily=since)
         published = self.lake.rows(version)
         now = datetime.now(UTC)
         runs.beat(self.spark, self.beats, self.name, now, run_id)

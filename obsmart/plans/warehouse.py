@@ -121,6 +121,12 @@ def write_fact(df: DataFrame, path: str, whole: bool = False) -> None:
     )
 
 
+def newest_day(spark: SparkSession, path: str) -> date | None:
+    """Newest day of a fact from its folder names; no file is opened."""
+    days = [n.removeprefix("dt=") for n in storage.list_names(spark, path) if n.startswith("dt=2")]
+    return date.fromisoformat(max(days)) if days else None
+
+
 class SchemaChanged(RuntimeError):
     """An incremental load would mix two shapes in one table; rebuild it instead."""
 
@@ -141,7 +147,7 @@ def refresh_fact(warehouse: Warehouse, name: str, days_from: date | None = None,
     spark = warehouse.spark
     since = None
     if not full and storage.exists(spark, f"{path}/_SUCCESS"):
-        since = days_from or spark.read.parquet(path).agg(F.max("dt")).first()[0]
+        since = days_from or newest_day(spark, path)
     fact = warehouse.build_fact(name, since)
     if since is not None:
         require_same_columns(spark.read.parquet(path), fact, name)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from obsmart.lake.versions import Lake
 from obsmart.sources.landing import as_day
+from obsmart.sources.local import local_frame
 
 # Slow-down per query bucket, days slowed down, id distance of copies.
 SLOWDOWNS = [0.0, 0.0, 0.0, 0.5, 1.5]
@@ -49,10 +50,12 @@ def spread_instances(raw: DataFrame, base: list[int], copies: int) -> DataFrame:
     Each base row is expanded to the copies it stands for; nothing is paired
     that is not kept.
     """
-    positions = F.create_map(*[c for i, b in enumerate(sorted(base)) for c in (F.lit(b), F.lit(i))])
+    positions = local_frame(
+        raw.sparkSession, [(b, i) for i, b in enumerate(sorted(base))], "instance_id BIGINT, _position INT"
+    )
     return (
-        raw.withColumn("_position", positions[F.col("instance_id")])
-        .where((F.col("_position") < copies))
+        raw.join(positions, "instance_id")
+        .where(F.col("_position") < copies)
         .withColumn("_copy", F.explode(F.sequence(F.col("_position") + 1, F.lit(copies), F.lit(len(base)))))
         .withColumn("instance_id", F.col("_copy").cast("long"))
         .withColumn("query_id", F.concat("query_id", F.lit("~i"), F.col("_copy").cast("string")))

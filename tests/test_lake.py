@@ -51,6 +51,23 @@ def test_validation_sees_written_rows_before_commit(spark, lake):
     assert lake.versions() == [] and lake.current_version() is None
 
 
+def test_daily_tables_take_over_untouched_days(spark, lake):
+    first = days(spark, "2026-01-01", "2026-01-02", "2026-01-03")
+    lake.publish({"f": first}, daily={"f": None})
+    seen = {}
+    changed = days(spark, "2026-01-01", "2026-01-03", "2026-01-04").withColumn("ms", F.lit(9.0))
+    lake.publish({"f": changed}, daily={"f": date(2026, 1, 3)}, validate=lambda t: seen.update(n=t("f").count()))
+    old, new = (lake.manifest(v)["tables"]["f"]["parts"] for v in (1, 2))
+    assert [p["day"] for p in new] == ["2026-01-01", "2026-01-02", "2026-01-03", "2026-01-04"]
+    assert new[:2] == old[:2] and seen == {"n": 20}  # only two days were written and checked
+    sums = {r["dt"].day: r["s"] for r in lake.read("f").groupBy("dt").agg(F.sum("ms").alias("s")).collect()}
+    assert sums == {1: 15.0, 2: 15.0, 3: 90.0, 4: 90.0}
+    assert lake.read("f").columns == ["id", "ms", "dt"] and lake.read("f", 1).count() == 30
+    lake.expire(timedelta(0))
+    assert lake.read("f").count() == 40 and lake.stored()[0] > 0
+    assert storage.exists(spark, new[0]["path"]) and not storage.exists(spark, old[2]["path"])
+
+
 def test_second_writer_is_detected(spark, lake):
     with pytest.raises(PublishError), lake.transaction("slow") as tx:
         tx.append("a", spark.range(1))
