@@ -172,16 +172,52 @@ class Lake:
     def compact(self, target_bytes: int = 128 << 20, committed_at: datetime | None = None) -> dict[str, tuple[int, int]]:
         """Merge parts smaller than ``target_bytes`` of each table, as one version.
         Returns (parts before, parts after) per table; row counts may not change."""
-        done: dict[str, tuple[int, int]] = {}
+        tables = self.manifest()["tables"]
+        small = {
+            name: [p for p in t["parts"] if storage.folder_size(self.spark, p["path"])[1] < target_bytes]
+            for name, t in tables.items()
+        }
+        done = {name: (len(t["parts"]), len(t["parts"])) for name, t in tables.items()}
+        if not any(len(parts) > 1 for parts in small.values()):
+            return done  # nothing to merge, no new version
         with self.transaction("compact", committed_at) as tx:
-            for table in self.tables():
-                parts = self.manifest()["tables"][table]["parts"]
-                small = [p for p in parts if storage.folder_size(self.spark, p["path"])[1] < target_bytes]
-                if len(small) > 1:
-                    tx.merge_parts(table, small, target_bytes)
-                done[table] = (len(parts), len(tx.tables[table]["parts"]))
+            for name, parts in small.items():
+                if len(parts) > 1:
+                    tx.merge_parts(name, parts, target_bytes)
+                    done[name] = (done[name][0], len(tx.tables[name]["parts"]))
         return done
 
+    def maintain(
+        self,
+        older_than: timedelta = timedelta(days=7),
+        target_bytes: int = 128 << 20,
+        as_of: datetime | None = None,
+    ) -> DataFrame:
+        """Expire, compact, then drop what only expired versions used.
+
+        Returns (metric, before, after); raises if any table's row count changed.
+        """
+        before, rows = self._state()
+        self.expire(older_than, as_of)
+        self.compact(target_bytes, committed_at=as_of)
+        self.expire(older_than, as_of)
+        after, rows_after = self._state()
+        if rows != rows_after:
+            raise PublishError(f"maintenance changed row counts: {rows} -> {rows_after}")
+        return local_frame(
+            self.spark, [(m, before[m], after[m]) for m in before], "metric STRING, before BIGINT, after BIGINT"
+        )
+
+    def _state(self) -> tuple[dict[str, int], dict[str, int]]:
+        tables = self.manifest()["tables"]
+        objects, size = self.stored()
+        metrics = {
+            "versions": len(self.versions()), "tables": len(tables),
+            "parts": sum(len(t["parts"]) for t in tables.values()), "rows": self.rows(),
+            "objects": objects, "bytes": size,
+        }
+        return metrics, {n: sum(p["rows"] for p in t["parts"]) for n, t in tables.items()}
+
     def measure(self) -> DataFrame:
         """(table_name, parts, files, bytes, row_count) of the current version; no
         rows when nothing is published."""

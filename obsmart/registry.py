@@ -299,6 +299,14 @@ def lake_measure(spark: SparkSession, folder: str) -> DataFrame:
     return _half_loads(spark, folder)[0].measure().select("table_name", "parts", "row_count")
 
 
+def lake_maintenance(spark: SparkSession, folder: str) -> DataFrame:
+    """Versions, parts and rows before and after maintenance."""
+    lake, _ = _half_loads(spark, folder)
+    return lake.maintain(timedelta(hours=1), as_of=NOON + timedelta(days=3)).where(
+        F.col("metric").isin("versions", "tables", "parts", "rows")
+    )
+
+
 # -- quality ---------------------------------------------------------------------
 def _landed_with_faults(spark: SparkSession, folder: str) -> DataFrame:
     """Landed statement counters with planted faults: day 10 lost one hour, day 15
@@ -535,7 +543,7 @@ def _builtin() -> dict[str, Query]:
     for f in (
         offload_extract_day, offload_primary, offload_auxiliary, offload_registry, offload_overwrite, offload_guard,
         instance_thresholds, lake_publish, lake_load_partitions, lake_time_travel, lake_snapshots, lake_correct_row,
-        lake_delete_rolled_back, lake_expire, lake_compact, lake_measure, quality_source_counts,
+        lake_delete_rolled_back, lake_expire, lake_compact, lake_maintenance, lake_measure, quality_source_counts,
         quality_landed_counts, quality_newest_watermark, quality_reconciliation, quality_completeness,
         quality_freshness, quality_schema_drift, quality_gate, quality_gate_auxiliary, quality_day_status,
         quality_data_tests, quality_violations, quality_duplicate_polls, quality_contracts,

@@ -61,10 +61,11 @@ def land(df: DataFrame, root: str, table: RawTable) -> None:
     )
 
 
-def read_landed(spark: SparkSession, root: str, name: str) -> DataFrame:
-    """Landed rows under the declared schema (empty when nothing was landed)."""
+def read_landed(spark: SparkSession, root: str, name: str, location: str | None = None) -> DataFrame:
+    """Landed rows under the declared schema (empty when nothing was landed).
+    ``location`` reads one table from somewhere else."""
     table = raw_table(name)
-    path = f"{root}/{name}"
+    path = location or f"{root}/{name}"
     if not storage.exists(spark, path):
         return spark.createDataFrame([], table.landed_schema)
     return spark.read.schema(table.landed_schema).option("basePath", path).parquet(path).select(

@@ -354,6 +354,9 @@ oracle("lake_expire", "SELECT dt, count(*) AS rows, 1::BIGINT AS versions_left F
 oracle("lake_compact", """
 SELECT count(*) AS rows, CAST(sum(id) AS BIGINT) AS id_sum, 30::BIGINT AS parts_before, 1::BIGINT AS parts_after, 31::BIGINT AS versions
 FROM plan_snapshot""")
+oracle("lake_maintenance", """
+SELECT * FROM (VALUES ('versions', 2::BIGINT, 1::BIGINT), ('tables', 1, 1), ('parts', 2, 1)) m(metric, before, after)
+UNION ALL SELECT 'rows', count(*), count(*) FROM query_snapshot""")
 oracle("lake_measure", "SELECT 'query_snapshot' AS table_name, 2::BIGINT AS parts, count(*) AS row_count FROM query_snapshot")
 
 # --- scale ---------------------------------------------------------------------------------
