@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,6 +15,7 @@ from obsmart.plans.facts import FACTS, dim_instance, fct_query_daily, int_change
 from obsmart.plans.marts import MARTS
 from obsmart.plans.staging import STAGING
 from obsmart.sources import storage
+from obsmart.sources.landing import SIDE_BY_SIDE
 from obsmart.sources.seeds import SEED_SCHEMAS, packaged_seed
 
 # The tables a publish makes visible, together.
@@ -66,9 +68,19 @@ class Warehouse:
 
     def build_mart(self, name: str) -> DataFrame:
         builder, inputs = MARTS[name]
+        self.prepare(name)
         args = [self.table(i) for i in inputs]
         return builder(*args, self.params) if name in TAKES_PARAMS else builder(*args)
 
+    def prepare(self, *marts: str) -> None:
+        """Write the missing tables the marts read, independent ones side by side:
+        facts first, then the marts that other marts read."""
+        below = _inputs_below(marts)
+        for level, write in ((FACTS, self.fact), (READ_BY_MARTS, self.mart)):
+            wanted = [n for n in level if n in below]
+            with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+                list(pool.map(write, wanted))
+
     # -- relations by name --------------------------------------------------
     def table(self, name: str) -> DataFrame:
         if name in SEED_SCHEMAS:
@@ -108,6 +120,12 @@ class Warehouse:
 READ_BY_MARTS = {i for _, inputs in MARTS.values() for i in inputs if i in MARTS}
 
 
+def _inputs_below(marts: Iterable[str]) -> set[str]:
+    direct = {i for m in marts for i in MARTS[m][1]}
+    nested = [i for i in direct if i in MARTS]
+    return direct | (_inputs_below(nested) if nested else set())
+
+
 def write_fact(df: DataFrame, path: str, whole: bool = False) -> None:
     """Overwrite the days present in ``df``, or the whole table (only that
     leaves a success marker behind). ``rebalance`` aims at one well-sized file
