@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructField, StructType, _parse_datatype_string
+from pyspark.sql.types import StructType, _parse_datatype_string
 
 AXES = ("reconciliation", "completeness", "freshness", "schema_drift")
 
@@ -19,10 +19,6 @@ class RawTable:
     immutable: bool = True  # False: a closed day may still change, re-extract on D+1
     available: bool = True
 
-    @property
-    def required(self) -> list[str]:
-        return [f.name for f in self.schema if not f.nullable]
-
     @property
     def columns(self) -> list[str]:
         return [f.name for f in self.schema]
@@ -147,6 +143,3 @@ def raw_table(name: str) -> RawTable:
         raise RuntimeError(f"raw table {name!r} has no source yet")
     return table
 
-
-def same_type(a: StructField, b: StructField) -> bool:
-    return a.dataType == b.dataType

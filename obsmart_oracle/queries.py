@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.ctes import block, compose
+from obsmart_oracle.ctes import block, compose
 
 ORACLES: dict[str, str] = {}
 
