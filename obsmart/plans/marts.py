@@ -459,7 +459,9 @@ def mart_uptime_slo(
         pct(F.sum("up_samples"), F.sum("samples"), 3).alias("window_uptime_pct"),
         F.min("uptime_pct").alias("worst_day_uptime_pct"),
         F.min_by("dt", F.struct("uptime_pct", "dt")).alias("worst_day"),
-        rounded(F.avg("avg_ping_ms"), 1).alias("avg_ping_ms"),
+        # the daily means are tenths: added as integers, the result does not depend on row order
+        rounded(ratio(F.sum(F.round(F.col("avg_ping_ms") * 10, 0).cast("long")), F.count("avg_ping_ms") * 10), 1)
+        .alias("avg_ping_ms"),
     )
     up, target = F.col("window_uptime_pct"), F.col("target_pct")
     spent = ratio(F.lit(100.0) - up, F.lit(100.0) - target)
