@@ -54,8 +54,10 @@ def stage(df: DataFrame, label: str) -> DataFrame:
 
 def n_words(text: Column) -> Column:
     """Words of a text; null and empty texts have none."""
-    runs = F.split(F.coalesce(text, F.lit("")), SPACE)
-    return F.size(F.filter(runs, lambda w: w != "")).cast("long")
+    text = F.coalesce(text, F.lit(""))
+    spaces = [" ", "\t", "\n", "\v", "\f", "\r"]
+    outer = F.substring(text, 1, 1).isin(spaces).cast("long") + F.substring(text, -1, 1).isin(spaces).cast("long")
+    return F.when(text == "", F.lit(0).cast("long")).otherwise(F.size(F.split(text, SPACE)) - outer)
 
 
 def unit_hash(*values: Column | str) -> Column:
