@@ -6,15 +6,17 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmart.llm import mixing, packing, sharding, wavelet
+from obsmart.llm import mixing, packing, sharding, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_source_mix": mixing.op3_source_mix,
     "op6_karmarkar_karp_packing": packing.op6_karmarkar_karp_packing,
+    "op8_warc_index": warc.op8_warc_index,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_wavelet_matrix": wavelet.op10_wavelet_matrix,
 }
 
 ORACLES: dict[str, str] = {
     "op3_source_mix": mixing.OP3_SQL,
+    "op8_warc_index": warc.OP8_SQL,
 }
