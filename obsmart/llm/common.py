@@ -19,7 +19,7 @@ from obsmart.session import fresh_dir
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text handled at once inside a task, in bytes.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 8 << 20
 
 
 _SHIPPED: set[str] = set()

@@ -31,13 +31,21 @@ class WordEncoder:
     """Encodes columns of texts with a tokenizer that splits at white space,
     separates letters from other signs and lower-cases."""
 
-    #: Pure letters that go through the tokenizer in one call.
+    #: Words of plain letters that go through the tokenizer in one call.
     CHUNK = 1000
+    #: Letters that neither normalizing nor lower-casing changes; words of
+    #: these alone need no more than the tokenizer's byte spelling and merges.
+    PLAIN = "^[a-zß-öø-ÿ]+$"
 
-    def __init__(self, path: str, cache_words: int = 1_000_000):
-        from tokenizers import Tokenizer
+    def __init__(self, path: str, cache_words: int = 400_000):
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.plain = Tokenizer.from_file(path)
+        self.plain.normalizer = normalizers.Sequence([])
+        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
+            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        )
         size = self.tokenizer.get_vocab_size()
         self.width = 2 if size <= 1 << 16 else 4
         self.cache_words = cache_words
@@ -47,49 +55,59 @@ class WordEncoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.place: dict[str, int] = {}
+        self.known = pa.array([], pa.large_string())
         self.ids = np.empty(0, np.uint32)
         self.starts = np.empty(0, np.int64)
         self.lengths = np.empty(0, np.int64)
 
-    def _learn(self, words: list[str]) -> None:
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+    def _learn(self, words: pa.Array) -> None:
+        names = words.to_pylist()
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(names, add_special_tokens=False)]
         lengths = np.fromiter(map(len, found), np.int64, len(found))
         self._keep(words, np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum())), lengths)
 
-    def _learn_letters(self, words: list[str]) -> None:
-        """Words of letters alone: joined by spaces, each ends at its one token
-        with a word end. Where the counts don't agree, each is encoded alone."""
-        chunks = [words[i : i + self.CHUNK] for i in range(0, len(words), self.CHUNK)]
-        joined = self.tokenizer.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False)
+    def _learn_plain(self, words: pa.Array) -> None:
+        """Joined by spaces, each word ends at its one token with a word end.
+        Where the counts don't agree, each is encoded alone."""
+        chunks = [words.slice(i, self.CHUNK) for i in range(0, len(words), self.CHUNK)]
+        joined = self.plain.encode_batch_fast([" ".join(c.to_pylist()) for c in chunks], add_special_tokens=False)
+        flats, sizes = [], []
         for chunk, encoding in zip(chunks, joined, strict=True):
             ids = np.array(encoding.ids, np.uint32)
             ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) == len(chunk) and ends[-1] == len(ids):
-                self._keep(chunk, ids, np.diff(ends, prepend=0))
-            else:
-                self._learn(chunk)
+            if len(ends) != len(chunk) or ends[-1] != len(ids):
+                return self._learn(words)
+            flats.append(ids)
+            sizes.append(np.diff(ends, prepend=0))
+        return self._keep(words, np.concatenate(flats), np.concatenate(sizes))
 
-    def _keep(self, words: list[str], flat: np.ndarray, lengths: np.ndarray) -> None:
-        self.place.update(zip(words, range(len(self.lengths), len(self.lengths) + len(words)), strict=True))
+    def _keep(self, words: pa.Array, flat: np.ndarray, lengths: np.ndarray) -> None:
         self.starts = np.concatenate([self.starts, len(self.ids) + np.cumsum(lengths) - lengths])
         self.lengths = np.concatenate([self.lengths, lengths])
         self.ids = np.concatenate([self.ids, flat])
+        self.known = pa.concat_arrays([self.known, words])
 
     def _places(self, pieces: pa.Array) -> np.ndarray:
         """Where each distinct piece is in the cache; unknown ones are learnt."""
-        names = pieces.to_pylist()
-        missing = [w for w in names if w not in self.place]
-        if len(self.place) + len(missing) > self.cache_words:
+        at = pc.index_in(pieces, value_set=self.known)
+        if not at.null_count:
+            return at.to_numpy(zero_copy_only=False)
+        missing = pieces.filter(at.is_null())
+        if len(self.known) + len(missing) > self.cache_words:
             self._forget()
-            missing = names
-        if missing:
-            letters = pc.match_substring_regex(pa.array(missing, pa.large_string()), r"^\pL+$").to_pylist()
-            if plain := [w for w, alone in zip(missing, letters, strict=True) if alone]:
-                self._learn_letters(plain)
-            if rest := [w for w, alone in zip(missing, letters, strict=True) if not alone]:
-                self._learn(rest)
-        return np.fromiter(map(self.place.__getitem__, names), np.int64, len(names))
+            missing, at = pieces, pa.nulls(len(pieces), pa.int32())
+        plain = pc.match_substring_regex(missing, self.PLAIN)
+        order = pa.concat_arrays([missing.filter(plain), missing.filter(pc.invert(plain))])
+        first = len(self.known)
+        if n := pc.sum(plain).as_py():
+            self._learn_plain(order.slice(0, n))
+        if n < len(order):
+            self._learn(order.slice(n))
+        out = at.fill_null(-1).to_numpy(zero_copy_only=False).copy()
+        plain = plain.to_numpy(zero_copy_only=False)
+        rank = np.where(plain, np.cumsum(plain), n + np.cumsum(~plain)) - 1
+        out[out < 0] = first + rank
+        return out
 
     def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Ids of distinct words, laid end to end, with each word's start and length."""
