@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmart.llm import mixing, packing, sharding, warc, wavelet
+from obsmart.llm import mixing, packing, quality_rules, sharding, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_cascade": quality_rules.op1_quality_cascade,
     "op3_source_mix": mixing.op3_source_mix,
     "op6_karmarkar_karp_packing": packing.op6_karmarkar_karp_packing,
     "op8_warc_index": warc.op8_warc_index,
@@ -17,6 +18,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op1_quality_cascade": quality_rules.op1_quality_cascade,
+    "op1_quality_cascade": quality_rules.OP1_SQL,
     "op3_source_mix": mixing.OP3_SQL,
     "op8_warc_index": warc.OP8_SQL,
 }
