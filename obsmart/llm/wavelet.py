@@ -68,14 +68,14 @@ class WaveletMatrix:
         return self._ranks[level]
 
     def all_ids(self) -> np.ndarray:
-        """Every id in order."""
-        out = np.zeros(self.length, np.uint32)
-        place = count = np.arange(self.length, dtype=np.int32)
-        for level, zeros in enumerate(self.zeros):
-            bit = self._bits(level)
-            ones = np.cumsum(bit, dtype=np.int32) - bit
-            out = (out << 1) | bit[place]
-            place = np.where(bit, ones + zeros, count - ones)[place]
+        """Every id in order: the planes' partitions are undone from the last."""
+        out = np.zeros(self.length, np.uint16 if len(self.planes) <= 16 else np.uint32)
+        for level in range(len(self.planes) - 1, -1, -1):
+            bit, zeros = self._bits(level).astype(bool), self.zeros[level]
+            before = np.empty_like(out)
+            before[~bit] = out[:zeros]
+            before[bit] = out[zeros:] | (1 << (len(self.planes) - 1 - level))
+            out = before
         return out
 
     def access(self, at: int) -> int:
