@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmart.llm import mixing, ngram_join, packing, quality_rules, sharding, warc, wavelet
+from obsmart.llm import html_wrapper, mixing, ngram_join, packing, quality_rules, sharding, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_cascade": quality_rules.op1_quality_cascade,
     "op3_source_mix": mixing.op3_source_mix,
+    "op4_wrapper_extraction": html_wrapper.op4_wrapper_extraction,
     "op5_signature_tree_join": ngram_join.op5_signature_tree_join,
     "op6_karmarkar_karp_packing": packing.op6_karmarkar_karp_packing,
     "op8_warc_index": warc.op8_warc_index,
