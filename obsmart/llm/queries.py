@@ -6,10 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmart.llm import html_wrapper, mixing, ngram_join, packing, quality_rules, sharding, warc, wavelet
+from obsmart.llm import html_wrapper, mixing, ngram_join, packing, quality_rules, sharding, topk_search, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_cascade": quality_rules.op1_quality_cascade,
+    "op2_voronoi_top_k": topk_search.op2_voronoi_top_k,
     "op3_source_mix": mixing.op3_source_mix,
     "op4_wrapper_extraction": html_wrapper.op4_wrapper_extraction,
     "op5_signature_tree_join": ngram_join.op5_signature_tree_join,
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 ORACLES: dict[str, str] = {
     "op1_quality_cascade": quality_rules.op1_quality_cascade,
     "op1_quality_cascade": quality_rules.OP1_SQL,
+    "op2_voronoi_top_k": topk_search.OP2_SQL,
     "op3_source_mix": mixing.OP3_SQL,
     "op8_warc_index": warc.OP8_SQL,
 }
