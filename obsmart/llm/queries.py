@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmart.llm import html_wrapper, mixing, ngram_join, packing, quality_rules, sharding, topk_search, warc, wavelet
+from obsmart.llm import html_wrapper, license_scan, mixing, ngram_join, packing, quality_rules, sharding, topk_search, warc, wavelet
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_cascade": quality_rules.op1_quality_cascade,
@@ -15,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_wrapper_extraction": html_wrapper.op4_wrapper_extraction,
     "op5_signature_tree_join": ngram_join.op5_signature_tree_join,
     "op6_karmarkar_karp_packing": packing.op6_karmarkar_karp_packing,
+    "op7_license_scan": license_scan.op7_license_scan,
     "op8_warc_index": warc.op8_warc_index,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_wavelet_matrix": wavelet.op10_wavelet_matrix,
@@ -25,5 +26,6 @@ ORACLES: dict[str, str] = {
     "op1_quality_cascade": quality_rules.OP1_SQL,
     "op2_voronoi_top_k": topk_search.OP2_SQL,
     "op3_source_mix": mixing.OP3_SQL,
+    "op7_license_scan": license_scan.OP7_SQL,
     "op8_warc_index": warc.OP8_SQL,
 }
