@@ -168,8 +168,11 @@ def judged(docs: DataFrame, rules: tuple[Rule, ...] = RULES) -> DataFrame:
 
 
 def kept(docs: DataFrame) -> DataFrame:
-    """The rows that no rule rejects, with their own columns."""
-    return judged(docs).where("kept").select("row.*")
+    """The rows that no rule rejects, with their own columns. A row number keeps
+    the condition above the counts: pushed through them, it would hold a copy of
+    every step, and each would be worked out many times."""
+    numbered = judged(docs).withColumn("place", F.monotonically_increasing_id())
+    return numbered.where("kept and place >= 0").select("row.*")
 
 
 def op1_quality_cascade(spark, folder: str) -> DataFrame:
