@@ -1,4 +1,4 @@
 """Column expressions shared by the models."""
-from obsmart.functions.numeric import daynum, hours_between, pct, ratio, rounded
+from obsmart.functions.numeric import daynum, hours_between, pct, ratio, rounded, tenths
 
-__all__ = ["daynum", "hours_between", "pct", "ratio", "rounded"]
+__all__ = ["daynum", "hours_between", "pct", "ratio", "rounded", "tenths"]

@@ -25,6 +25,13 @@ def pct(part: Column, whole: Column, places: int) -> Column:
     return rounded(ratio(F.lit(100.0) * part, whole), places)
 
 
+def tenths(numerator: Column, denominator: Column) -> Column:
+    """Quotient of two non-negative integers in tenths, a half rounded up; worked
+    out in integers, so that no tie depends on how a double is stored."""
+    double, half_up = 2 * denominator, 20 * numerator + denominator
+    return F.when(denominator > 0, (half_up - F.pmod(half_up, double)) / double / F.lit(10.0))
+
+
 def daynum(day: Column) -> Column:
     """Days since 1970-01-01."""
     return F.datediff(day, F.lit("1970-01-01").cast("date")).cast("long")

@@ -170,21 +170,24 @@ class Lake:
         return old
 
     def compact(self, target_bytes: int = 128 << 20, committed_at: datetime | None = None) -> dict[str, tuple[int, int]]:
-        """Merge parts smaller than ``target_bytes`` of each table, as one version.
+        """Merge parts of the same day (or of none) smaller than ``target_bytes``, as
+        one version: a table published by day stays in parts by day.
         Returns (parts before, parts after) per table; row counts may not change."""
         tables = self.manifest()["tables"]
-        small = {
-            name: [p for p in t["parts"] if storage.folder_size(self.spark, p["path"])[1] < target_bytes]
-            for name, t in tables.items()
-        }
         done = {name: (len(t["parts"]), len(t["parts"])) for name, t in tables.items()}
-        if not any(len(parts) > 1 for parts in small.values()):
+        groups = []
+        for name, t in tables.items():
+            for day in dict.fromkeys(p["day"] for p in t["parts"]):
+                of_day = [p for p in t["parts"] if p["day"] == day]
+                if len(of_day) > 1:
+                    groups.append((name, [p for p in of_day if storage.folder_size(self.spark, p["path"])[1] < target_bytes]))
+        groups = [(name, parts) for name, parts in groups if len(parts) > 1]
+        if not groups:
             return done  # nothing to merge, no new version
         with self.transaction("compact", committed_at) as tx:
-            for name, parts in small.items():
-                if len(parts) > 1:
-                    tx.merge_parts(name, parts, target_bytes)
-                    done[name] = (done[name][0], len(tx.tables[name]["parts"]))
+            for name, parts in groups:
+                tx.merge_parts(name, parts, target_bytes)
+                done[name] = (done[name][0], len(tx.tables[name]["parts"]))
         return done
 
     def maintain(
@@ -283,8 +286,10 @@ class Transaction:
         """Replace the days from ``since`` on, as one part per day; earlier days keep
         their parts. Falls back to all days when there is nothing to build on."""
         old = self.tables.get(table, {"parts": []})["parts"]
-        if since is None or any(p["day"] is None for p in old):
+        if since is None or not old or any(p["day"] is None for p in old):
             since, old = None, []
+        else:  # days that an earlier, failed publish should have added are still missing
+            since = min(since, date.fromisoformat(max(p["day"] for p in old)))
         rows = df if since is None else df.where(F.col(column) >= F.lit(since))
         path = f"{self.lake.root}/data/{table}/{uuid.uuid4().hex}"
         self._written.append(path)
@@ -345,7 +350,7 @@ class Transaction:
         schema = StructType.fromJson(entry["schema"])
         size = sum(storage.folder_size(self.lake.spark, p["path"])[1] for p in small)
         merged = self.lake.spark.read.schema(schema).parquet(*[p["path"] for p in small])
-        new = self._write(table, merged.coalesce(max(1, -(-size // target_bytes))))
+        new = self._write(table, merged.coalesce(max(1, -(-size // target_bytes))), small[0]["day"])
         if new["rows"] != sum(p["rows"] for p in small):
             raise PublishError(f"{table}: compaction changed the row count")
         paths = {p["path"] for p in small}

@@ -55,13 +55,16 @@ def rank_ranges(counts: DataFrame, keys: Sequence[str], value: str, n: str) -> D
     )
 
 
-def interpolated_quantile(value: str, q: float, only: Column) -> Column:
-    """Exact, linearly interpolated quantile as an aggregate over ``rank_ranges``."""
-    position = F.lit(q) * (F.col("rank_all") - 1)
-    low, high = F.floor(position), F.ceil(position)
+def interpolated_percentile(value: str, percent: int, only: Column) -> Column:
+    """Exact, linearly interpolated percentile of integers, in hundredths, as an
+    aggregate over ``rank_ranges``; worked out in integers."""
+    position = F.lit(percent).cast("long") * (F.col("rank_all") - 1)
+    rest = F.pmod(position, F.lit(100).cast("long"))
+    low = ((position - rest) / 100).cast("long")
+    high = low + F.when(rest > 0, 1).otherwise(0)
 
     def at(rank: Column) -> Column:
         inside = only & (F.col("rank_from") <= rank) & (rank < F.col("rank_to"))
-        return F.max(F.when(inside, F.col(value).cast("double")))
+        return F.max(F.when(inside, F.col(value).cast("long")))
 
-    return at(low) + (at(high) - at(low)) * F.max(F.when(only, position - low))
+    return at(low) * 100 + (at(high) - at(low)) * F.max(F.when(only, rest))

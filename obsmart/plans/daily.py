@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import UTC, date, datetime
@@ -13,9 +14,10 @@ from pyspark.sql import functions as F
 from obsmart.lake.versions import Lake
 from obsmart.params import DEFAULTS, Params
 from obsmart.plans.facts import FACTS
-from obsmart.plans.warehouse import PUBLISHED, Warehouse, refresh_fact
+from obsmart.plans.warehouse import PUBLISHED, Warehouse, load_start, refresh_fact
 from obsmart.quality import contract, data_tests, gate, runs
-from obsmart.sources.landing import SIDE_BY_SIDE, as_day, offload, offload_auxiliary, read_landed
+from obsmart.sources import storage
+from obsmart.sources.landing import SIDE_BY_SIDE, ArchiveGuardError, as_day, offload, offload_registry, read_landed
 from obsmart.sources.tables import AUXILIARY, PRIMARY, raw_table
 
 
@@ -30,9 +32,13 @@ class DailyRun:
         root: str,
         params: Params = DEFAULTS,
         name: str = "daily",
+        write_back: Callable[[int], None] | None = None,
     ):
         self.spark, self.source, self.registry, self.params, self.name = spark, source, registry, params, name
         self.raw_root, self.log, self.beats = f"{root}/raw", f"{root}/run_log", f"{root}/heartbeat"
+        self.pending, self.write_back = f"{root}/unpublished", write_back
+        #: What went wrong beside the main branch of the last run.
+        self.problems: list[str] = []
         self.lake = Lake(spark, f"{root}/lake")
         self.warehouse = Warehouse(spark, lambda n: read_landed(spark, self.raw_root, n), f"{root}/facts", params)
 
@@ -40,14 +46,47 @@ class DailyRun:
         return self.registry().select(F.col("id").alias("instance_id"))
 
     def land(self, first: str | date, last: str | date | None = None) -> int:
-        """Primary table first (guarded), then the auxiliary ones."""
+        """Land the primary table, guarded."""
         landed = offload(
             self.spark, self.source(PRIMARY), PRIMARY, self.raw_root, first, last, self.instances()
         ).agg(F.sum("landed_rows")).first()[0]
-        sources = {n: self.source(n) for n in AUXILIARY}
-        offload_auxiliary(self.spark, sources, self.registry(), self.raw_root, first, last)
         return landed or 0
 
+    def land_auxiliary(self, day: date) -> list[str]:
+        """Land and gate each auxiliary table and the registry on its own; what
+        is refused or fails its gate is returned and keeps back nothing else."""
+
+        def one(name: str) -> str | None:
+            try:
+                offload(self.spark, self.source(name), name, self.raw_root, day, None, self.instances())
+                gate.require_pass(self.gate(name, [day]))
+            except (ArchiveGuardError, gate.GateBlocked) as refused:
+                return f"{name}: {refused}"
+            return None
+
+        with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
+            found = list(pool.map(one, AUXILIARY))
+        try:
+            offload_registry(self.spark, self.registry(), self.raw_root, day)
+        except ArchiveGuardError as refused:
+            found.append(f"dim_instance: {refused}")
+        return [x for x in found if x]
+
+    def unpublished(self, starts: dict[str, date | None]) -> dict[str, date | None]:
+        """Note the first day of each fact that is about to change, and return the
+        oldest day noted since the last publish that went through. The notes
+        outlive a failed run, so that its days are published by the next."""
+        for fact, start in starts.items():
+            storage.create_text(self.spark, f"{self.pending}/{fact}={start or 'all'}={uuid.uuid4().hex}", "")
+        oldest = dict(starts)
+        for name in storage.list_names(self.spark, self.pending):
+            fact, start, _ = name.split("=")
+            if start == "all" or oldest.get(fact, None) is None:
+                oldest[fact] = None
+            else:
+                oldest[fact] = min(oldest[fact], date.fromisoformat(start))
+        return oldest
+
     def gate(self, name: str, days: list[date]) -> DataFrame:
         return gate.evaluate(
             self.spark, self.source(name), read_landed(self.spark, self.raw_root, name), self.instances(),
@@ -64,23 +103,38 @@ class DailyRun:
         data_tests.require_clean(tables, [n for n in PUBLISHED if n in data_tests.NOT_NULL])
 
     def run(self, day: str | date, run_id: str | None = None, full: bool = False) -> int:
-        """Process one closed day; returns the published version. A failing gate,
-        contract or data test raises, and what is published stays as it was."""
+        """Process one closed day, the newest or an older one; returns the published
+        version. A failing gate, contract or data test raises, and what is
+        published stays as it was. What fails beside the main branch (auxiliary
+        tables, writing back, the run log) is listed in ``problems``."""
         day, started = as_day(day), time.monotonic()
         offloaded = self.land(day)
+        self.problems = self.land_auxiliary(day)
         checks = self.gate(PRIMARY, [day])
         gate.require_pass(checks)
+        starts = {fact: load_start(self.warehouse, fact, day, full) for fact in FACTS}
+        since = self.unpublished(starts)
         with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
-            since = dict(zip(FACTS, pool.map(lambda fact: refresh_fact(self.warehouse, fact, full=full), FACTS), strict=True))
+            list(pool.map(lambda fact: refresh_fact(self.warehouse, fact, starts[fact], starts[fact] is None), FACTS))
         tables = {name: self.warehouse.table(name) for name in PUBLISHED}
         version = self.lake.publish(tables, f"publish {day}", validate=self.check, daily=since)
+        storage.delete_folder(self.spark, self.pending)
         published = self.lake.rows(version)
         now = datetime.now(UTC)
-        runs.beat(self.spark, self.beats, self.name, now, run_id)
+        with ThreadPoolExecutor(2) as pool:
+            beat = pool.submit(runs.beat, self.spark, self.beats, self.name, now, run_id)
+            if self.write_back:
+                failed = pool.submit(self.write_back, version).exception()
+                if failed:
+                    self.problems.append(f"write back: {failed}")
+            beat.result()
         records = runs.run_records(
             checks, gate.day_status(checks), F.lit(run_id), F.lit(now), F.lit(time.monotonic() - started),
             F.lit(offloaded), F.lit(published), F.lit(now),
         )
-        runs.append_runs(records.coalesce(1), self.log)
+        try:
+            runs.append_runs(records.coalesce(1), self.log)
+        except Exception as failed:  # the version is published: a log must not undo that
+            self.problems.append(f"run log: {failed}")
         return version
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsmart.functions import pct, ratio, rounded
+from obsmart.functions import pct, ratio, tenths
 from obsmart.operators.counters import (
     endpoints,
     label_per_key,
@@ -15,7 +15,7 @@ from obsmart.operators.counters import (
     with_hour,
 )
 from obsmart.operators.ranking import latest_per_key
-from obsmart.operators.windows import interpolated_quantile, rank_ranges
+from obsmart.operators.windows import interpolated_percentile, rank_ranges
 
 QUERY_DAY = ["instance_id", "query_id", "dt"]
 QUERY_HOUR = [*QUERY_DAY, "hour"]
@@ -167,13 +167,13 @@ def fct_uptime_daily(samples: DataFrame) -> DataFrame:
             F.coalesce(F.sum(F.when(up, n)), zero).alias("up_samples"),
             F.coalesce(F.sum(F.when(~up, n)), zero).alias("down_samples"),
             F.sum(F.when(up, F.col("ping_millis") * n)).alias("ping_sum"),
-            interpolated_quantile("ping_millis", 0.95, up).alias("p95"),
+            interpolated_percentile("ping_millis", 95, up).alias("p95"),
         )
         .select(
             *day, "samples", "up_samples", "down_samples",
             pct(F.col("up_samples"), F.col("samples"), 2).alias("uptime_pct"),
-            rounded(ratio(F.col("ping_sum"), F.col("up_samples")), 1).alias("avg_ping_ms"),
-            rounded(F.col("p95"), 1).alias("p95_ping_ms"),
+            tenths(F.col("ping_sum"), F.col("up_samples")).alias("avg_ping_ms"),
+            tenths(F.col("p95"), F.lit(100).cast("long")).alias("p95_ping_ms"),
         )
     )
 

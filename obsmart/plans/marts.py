@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from obsmart.functions import daynum, pct, ratio, rounded
+from obsmart.functions import daynum, pct, ratio, rounded, tenths
 from obsmart.operators.counters import label_per_key
 from obsmart.operators.lookup import newest, with_override
 from obsmart.operators.ranking import latest_per_key, top_k
@@ -460,8 +460,7 @@ def mart_uptime_slo(
         F.min("uptime_pct").alias("worst_day_uptime_pct"),
         F.min_by("dt", F.struct("uptime_pct", "dt")).alias("worst_day"),
         # the daily means are tenths: added as integers, the result does not depend on row order
-        rounded(ratio(F.sum(F.round(F.col("avg_ping_ms") * 10, 0).cast("long")), F.count("avg_ping_ms") * 10), 1)
-        .alias("avg_ping_ms"),
+        tenths(F.sum(F.round(F.col("avg_ping_ms") * 10, 0).cast("long")), F.count("avg_ping_ms") * 10).alias("avg_ping_ms"),
     )
     up, target = F.col("window_uptime_pct"), F.col("target_pct")
     spent = ratio(F.lit(100.0) - up, F.lit(100.0) - target)

@@ -49,6 +49,7 @@ class Warehouse:
         self.spark, self.raw, self.root, self.params = spark, raw, root, params
         self.seed = seed or (lambda name: packaged_seed(spark, name))
         self._marts: dict[str, str] = {}
+        self._superseded: dict[str, str] = {}
 
     # -- lazy builders -----------------------------------------------------
     def staging(self, name: str, since: date | None = None) -> DataFrame:
@@ -105,15 +106,21 @@ class Warehouse:
 
     def mart(self, name: str) -> DataFrame:
         """Marts other marts read are written once per state of the facts."""
-        if name not in READ_BY_MARTS:
-            return self.build_mart(name)
+        return self.stored(name) if name in READ_BY_MARTS else self.build_mart(name)
+
+    def stored(self, name: str) -> DataFrame:
+        """A mart as written for the present state of the facts; the folder it
+        replaces is deleted."""
         if name not in self._marts:
             path = f"{self.root}/{name}-{uuid.uuid4().hex[:12]}"
             self.build_mart(name).write.parquet(path)
             self._marts[name] = path
+            if old := self._superseded.pop(name, None):
+                storage.delete_folder(self.spark, old)
         return self.spark.read.parquet(self._marts[name])
 
     def facts_changed(self) -> None:
+        self._superseded.update(self._marts)
         self._marts.clear()
 
 
@@ -141,8 +148,19 @@ def write_fact(df: DataFrame, path: str, whole: bool = False) -> None:
 
 def newest_day(spark: SparkSession, path: str) -> date | None:
     """Newest day of a fact from its folder names; no file is opened."""
-    days = [n.removeprefix("dt=") for n in storage.list_names(spark, path) if n.startswith("dt=2")]
-    return date.fromisoformat(max(days)) if days else None
+    names = [n.removeprefix("dt=") for n in storage.list_names(spark, path) if n.startswith("dt=")]
+    days = [date.fromisoformat(n) for n in names if n != "__HIVE_DEFAULT_PARTITION__"]
+    return max(days, default=None)
+
+
+def load_start(warehouse: Warehouse, name: str, day: date | None = None, full: bool = False) -> date | None:
+    """First day that an incremental load replaces: the newest day of the target,
+    or ``day`` where that is older; None for a full load."""
+    path = f"{warehouse.root}/{name}"
+    if full or not storage.exists(warehouse.spark, f"{path}/_SUCCESS"):
+        return None
+    newest = newest_day(warehouse.spark, path)
+    return min(newest, day) if newest and day else newest
 
 
 class SchemaChanged(RuntimeError):

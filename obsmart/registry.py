@@ -6,7 +6,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from datetime import UTC, date, datetime, timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from obsmart import scale
@@ -17,7 +17,7 @@ from obsmart.plans import serving
 from obsmart.plans.facts import FACTS
 from obsmart.plans.marts import MARTS
 from obsmart.plans.staging import STAGING
-from obsmart.plans.warehouse import PUBLISHED, Warehouse, refresh_fact
+from obsmart.plans.warehouse import PUBLISHED, Warehouse, load_start, refresh_fact
 from obsmart.quality import contract, data_tests, gate, runs
 from obsmart.session import fresh_dir
 from obsmart.sources import landing
@@ -29,10 +29,24 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The events cover thirty days, fewer than some default windows ask for.
 PARAMS = replace(DEFAULTS, baseline_min_observations=2, index_window_days=30, index_min_obs_days=20)
-FIRST, LAST = date(2024, 1, 1), date(2024, 1, 30)
-DAYS = landing.days_between(FIRST, LAST)
 NOON = datetime(2024, 2, 1, 12, tzinfo=UTC)
 
+_SPANS: dict[tuple[str, str], tuple[date, date]] = {}
+
+
+def span(spark: SparkSession, folder: str) -> tuple[date, date]:
+    """First and last day of the given events."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _SPANS:
+        day = F.to_date("ts")
+        _SPANS[key] = tuple(spark.read.parquet(f"{folder}/events.parquet").agg(F.min(day), F.max(day)).first())
+    return _SPANS[key]
+
+
+def days_of(spark: SparkSession, folder: str) -> list[date]:
+    return landing.days_between(*span(spark, folder))
+
+
 _WAREHOUSES: dict[tuple[str, str], Warehouse] = {}
 
 
@@ -87,7 +101,9 @@ def _serving(name: str) -> Query:
         w = warehouse(spark, folder)
 
         def tables(table: str) -> DataFrame:
-            return pipeline_run_log(spark, folder) if table == "pipeline_run_log" else w.table(table)
+            if table == "pipeline_run_log":
+                return stored_run_log(spark, folder)
+            return w.stored(table) if table in MARTS else w.table(table)
 
         return serving.SERVING[name](tables)
 
@@ -105,7 +121,7 @@ def offload_extract_day(spark: SparkSession, folder: str) -> DataFrame:
     for name, table in RAW_TABLES.items():
         if table.watermark is None:
             continue
-        rows = landing.extract_days(fleet_source(spark, folder, name), table, FIRST, LAST)
+        rows = landing.extract_days(fleet_source(spark, folder, name), table, *span(spark, folder))
         per_day = rows.groupBy("dt").agg(
             F.count(F.lit(1)).alias("rows"), F.min(table.watermark).alias("first_at"),
             F.max(table.watermark).alias("last_at"), F.sum("id").alias("id_sum"),
@@ -117,7 +133,7 @@ def offload_extract_day(spark: SparkSession, folder: str) -> DataFrame:
 def offload_primary(spark: SparkSession, folder: str) -> DataFrame:
     """Land the statement counters and read them back under the declared schema."""
     root = fresh_dir(spark, "raw")
-    landing.offload(spark, fleet_source(spark, folder, "query_snapshot"), "query_snapshot", root, FIRST, LAST,
+    landing.offload(spark, fleet_source(spark, folder, "query_snapshot"), "query_snapshot", root, *span(spark, folder),
                     registry_ids(spark, folder))
     return landing.read_landed(spark, root, "query_snapshot")
 
@@ -125,28 +141,41 @@ def offload_primary(spark: SparkSession, folder: str) -> DataFrame:
 def offload_auxiliary(spark: SparkSession, folder: str) -> DataFrame:
     """Land the eight auxiliary tables; rows per table and partition."""
     sources = {name: fleet_source(spark, folder, name) for name in AUXILIARY}
-    registry = fleet_source(spark, folder, "dim_instance").where(F.col("dt") == F.lit(LAST)).drop("dt")
-    return landing.offload_auxiliary(spark, sources, registry, fresh_dir(spark, "raw"), FIRST, LAST)
+    registry = fleet_source(spark, folder, "dim_instance").where(F.col("dt") == F.lit(span(spark, folder)[1])).drop("dt")
+    return landing.offload_auxiliary(spark, sources, registry, fresh_dir(spark, "raw"), *span(spark, folder))
 
 
 def offload_registry(spark: SparkSession, folder: str) -> DataFrame:
-    """The registry snapshot of every day."""
+    """The registry snapshot of every day, each landed by itself; an empty
+    registry is skipped on a day without a snapshot and refused on one with."""
     root = fresh_dir(spark, "raw")
     snapshots = fleet_source(spark, folder, "dim_instance")
-    landing.land(snapshots, root, raw_table("dim_instance"))
-    return landing.read_landed(spark, root, "dim_instance")
+    first, last = span(spark, folder)
+    none = snapshots.where("false").drop("dt")
+    rows = [("empty before", landing.offload_registry(spark, none, root, first - timedelta(days=1)))]
+    for day in landing.days_between(first, last):
+        landing.offload_registry(spark, snapshots.where(F.col("dt") == F.lit(day)).drop("dt"), root, day)
+    try:
+        landing.offload_registry(spark, none, root, last)
+    except landing.ArchiveGuardError:
+        rows.append(("refused", 1))
+    landed = landing.read_landed(spark, root, "dim_instance")
+    marks = local_frame(spark, rows, "mark STRING, n BIGINT").groupBy().pivot("mark", ["empty before", "refused"]).agg(F.first("n"))
+    marks = marks.toDF("landed_before", "refused")
+    return landed.join(marks, F.lit(True))
 
 
 def offload_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     """Loading a partition again replaces it; other partitions stay."""
     root = fresh_dir(spark, "raw")
     source = fleet_source(spark, folder, "plan_snapshot")
-    landing.offload(spark, source, "plan_snapshot", root, FIRST, LAST)
-    once = landing.landed_counts(spark, root, "plan_snapshot", FIRST, LAST).withColumnRenamed("landed_rows", "first_rows")
+    first, last = span(spark, folder)
+    landing.offload(spark, source, "plan_snapshot", root, first, last)
+    once = landing.landed_counts(spark, root, "plan_snapshot", first, last).withColumnRenamed("landed_rows", "first_rows")
     once.write.parquet(f"{root}/once")  # the next load replaces the files behind `once`
-    half = FIRST + timedelta(days=14)
-    landing.offload(spark, source, "plan_snapshot", root, FIRST, half)
-    again = landing.landed_counts(spark, root, "plan_snapshot", FIRST, LAST).withColumnRenamed("landed_rows", "second_rows")
+    half = first + timedelta(days=14)
+    landing.offload(spark, source, "plan_snapshot", root, first, half)
+    again = landing.landed_counts(spark, root, "plan_snapshot", first, last).withColumnRenamed("landed_rows", "second_rows")
     return spark.read.parquet(f"{root}/once").join(again, ["dt", "instance_id"], "full_outer")
 
 
@@ -161,8 +190,8 @@ def offload_guard(spark: SparkSession, folder: str) -> DataFrame:
     left = kept.groupBy("dt", "instance_id").agg(F.count(F.lit(1)).alias("source_rows"))
     return landing.partition_actions(
         left,
-        landing.landed_partitions(spark, root, table, DAYS),
-        landing.expected_partitions(spark, registry_ids(spark, folder), DAYS),
+        landing.landed_partitions(spark, root, table, days_of(spark, folder)),
+        landing.expected_partitions(spark, registry_ids(spark, folder), days_of(spark, folder)),
     )
 
 
@@ -192,7 +221,7 @@ def _incremental(name: str) -> Query:
             return fleet_source(spark, folder, table).where(F.col("dt") <= F.lit(seen["until"]))
 
         w = Warehouse(spark, raw, fresh_dir(spark, "incremental"), PARAMS)
-        for until in (date(2024, 1, 20), date(2024, 1, 26), LAST):
+        for until in (date(2024, 1, 20), date(2024, 1, 26), span(spark, folder)[1]):
             seen["until"] = until
             refresh_fact(w, name)
         return w.fact(name)
@@ -209,6 +238,35 @@ def lake_publish(spark: SparkSession, folder: str) -> DataFrame:
     return lake.measure().select("table_name", "row_count")
 
 
+def lake_publish_after_failures(spark: SparkSession, folder: str) -> DataFrame:
+    """Published days of a fact after days 10 to 16, the publishes of days 12 and
+    13 failing, and a correction of day 11 that arrives after day 15."""
+    lake, root = Lake(spark, fresh_dir(spark, "lake")), fresh_dir(spark, "facts")
+    state = {"until": date(2024, 1, 9), "redone": False}
+
+    def raw(name: str) -> DataFrame:
+        df = fleet_source(spark, folder, name).where(F.col("dt").between(F.lit(date(2024, 1, 10)), F.lit(state["until"])))
+        return df if state["redone"] else df.where((F.col("dt") != F.lit(date(2024, 1, 11))) | (F.col("instance_id") != 2))
+
+    w = Warehouse(spark, raw, root, PARAMS)
+
+    def refused(_) -> None:
+        raise RuntimeError("refused on purpose")
+
+    for day in (10, 11, 12, 13, 14, 15, 11, 16):
+        day = date(2024, 1, day)
+        state["redone"] = state["redone"] or day < state["until"]
+        state["until"] = max(state["until"], day)
+        start = load_start(w, "fct_uptime_daily", day)
+        refresh_fact(w, "fct_uptime_daily", start, start is None)
+        try:
+            fails = refused if day.day in (12, 13) else None
+            lake.publish({"fct_uptime_daily": w.fact("fct_uptime_daily")}, str(day), validate=fails, daily={"fct_uptime_daily": start})
+        except RuntimeError:
+            continue
+    return lake.read("fct_uptime_daily").select("instance_id", "dt", "samples")
+
+
 def _half_loads(spark: SparkSession, folder: str) -> tuple[Lake, DataFrame]:
     lake = Lake(spark, fresh_dir(spark, "lake"))
     raw = fleet_source(spark, folder, "query_snapshot")
@@ -286,7 +344,7 @@ def lake_expire(spark: SparkSession, folder: str) -> DataFrame:
 def lake_compact(spark: SparkSession, folder: str) -> DataFrame:
     """A commit per day, then compaction: parts, and an order-free content check."""
     lake = Lake(spark, fresh_dir(spark, "lake"))
-    scale.daily_commits(lake, "plan_snapshot", fleet_source(spark, folder, "plan_snapshot"), DAYS)
+    scale.daily_commits(lake, "plan_snapshot", fleet_source(spark, folder, "plan_snapshot"), days_of(spark, folder))
     (before, after), = lake.compact().values()
     content = lake.read("plan_snapshot").agg(F.count(F.lit(1)).alias("rows"), F.sum("id").alias("id_sum"))
     return content.withColumns(
@@ -326,12 +384,12 @@ def _landed_with_faults(spark: SparkSession, folder: str) -> DataFrame:
 def _gate(spark: SparkSession, folder: str) -> DataFrame:
     return gate.evaluate(
         spark, fleet_source(spark, folder, "query_snapshot").drop("dt"), _landed_with_faults(spark, folder),
-        registry_ids(spark, folder), raw_table("query_snapshot"), DAYS, PARAMS,
+        registry_ids(spark, folder), raw_table("query_snapshot"), days_of(spark, folder), PARAMS,
     )
 
 
 def quality_source_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return gate.source_counts(fleet_source(spark, folder, "query_snapshot").drop("dt"), raw_table("query_snapshot"), DAYS)
+    return gate.source_counts(fleet_source(spark, folder, "query_snapshot").drop("dt"), raw_table("query_snapshot"), days_of(spark, folder))
 
 
 def quality_landed_counts(spark: SparkSession, folder: str) -> DataFrame:
@@ -347,7 +405,7 @@ def quality_reconciliation(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def quality_completeness(spark: SparkSession, folder: str) -> DataFrame:
-    expected = landing.expected_partitions(spark, registry_ids(spark, folder), DAYS)
+    expected = landing.expected_partitions(spark, registry_ids(spark, folder), days_of(spark, folder))
     return gate.missing_instances(quality_landed_counts(spark, folder), expected)
 
 
@@ -379,13 +437,27 @@ def quality_gate(spark: SparkSession, folder: str) -> DataFrame:
     return _gate(spark, folder).select("dt", "axis", "status")
 
 
+def _lost(table) -> Column:
+    """Planted losses of the auxiliary tables: instance 2 on day 12, the evening
+    of day 18, all of day 22."""
+    dt = F.col("dt")
+    evening = (dt == F.lit(date(2024, 1, 18))) & (F.hour(table.watermark) >= 15)
+    return ((dt == F.lit(date(2024, 1, 12))) & (F.col("instance_id") == 2)) | evening | (dt == F.lit(date(2024, 1, 22)))
+
+
 def quality_gate_auxiliary(spark: SparkSession, folder: str) -> DataFrame:
-    """The gate of every auxiliary table, landed without loss."""
+    """The gate of every auxiliary table, landed with losses; the source of the
+    sizes gained a column and a column of the waits another type."""
     result = None
     for name in AUXILIARY:
-        source = fleet_source(spark, folder, name)
+        table, source = raw_table(name), fleet_source(spark, folder, name)
+        seen = source
+        if name == "size_snapshot":
+            seen = source.withColumn("extra", F.lit(1))
+        elif name == "wait_event_snapshot":
+            seen = source.withColumn("total_ms", F.col("total_ms").cast("string"))
         checks = gate.evaluate(
-            spark, source.drop("dt"), source, registry_ids(spark, folder), raw_table(name), DAYS, PARAMS
+            spark, seen.drop("dt"), source.where(~_lost(table)), registry_ids(spark, folder), table, days_of(spark, folder), PARAMS
         )
         per_axis = checks.groupBy("table_name", "axis").agg(
             F.count_if(F.col("status") == gate.OK).alias("ok_days"),
@@ -457,6 +529,19 @@ def pipeline_run_log(spark: SparkSession, folder: str) -> DataFrame:
     return records.drop("offload_rows").join(landed, "dt", "left").withColumn("offload_rows", F.col("n")).drop("n")
 
 
+_RUN_LOGS: dict[tuple[str, str], str] = {}
+
+
+def stored_run_log(spark: SparkSession, folder: str) -> DataFrame:
+    """The run log as written, once per session and folder."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _RUN_LOGS:
+        path = f"{fresh_dir(spark, 'runs')}/log"
+        pipeline_run_log(spark, folder).write.parquet(path)
+        _RUN_LOGS[key] = path
+    return spark.read.parquet(_RUN_LOGS[key])
+
+
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
     """Appended in two batches, as two runs would, then read back."""
     path = f"{fresh_dir(spark, 'runs')}/log"
@@ -497,7 +582,7 @@ def staleness(spark: SparkSession, folder: str) -> DataFrame:
         ids.select(F.concat(F.lit("forgotten-"), F.col("instance_id").cast("string")).alias("dag_id"))
     ).withColumn("max_age_seconds", F.lit(3600).cast("long"))
     verdicts = runs.staleness(
-        watched, runs.latest_beats(_beats(spark, folder)), F.lit("2024-01-31 00:00:00").cast("timestamp")
+        watched, runs.latest_beats(_beats(spark, folder)), F.lit(span(spark, folder)[1] + timedelta(days=1)).cast("timestamp")
     )
     return verdicts.select("dag_id", "stale", rounded(F.col("age_seconds"), 3).alias("age_seconds"), "max_age_seconds")
 
@@ -511,14 +596,15 @@ def scale_replicate_day(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def scale_slow_down(spark: SparkSession, folder: str) -> DataFrame:
-    raw = scale.slow_down(fleet_source(spark, folder, "query_snapshot"), LAST)
+    raw = scale.slow_down(fleet_source(spark, folder, "query_snapshot"), span(spark, folder)[1])
     return raw.groupBy("query_id", "dt").agg(F.count(F.lit(1)).alias("rows"),
                                              rounded(F.sum("total_time_ms"), 3).alias("total_time_ms"))
 
 
 def scale_spread_instances(spark: SparkSession, folder: str) -> DataFrame:
-    """Twenty synthetic instances cycling over the first six."""
-    raw = scale.spread_instances(fleet_source(spark, folder, "query_snapshot"), [1, 2, 3, 4, 5, 6], 20)
+    """Two synthetic instances for each base one, cycling over all of them."""
+    base = [r[0] for r in registry_ids(spark, folder).collect()]  # a registry: one number a database
+    raw = scale.spread_instances(fleet_source(spark, folder, "query_snapshot"), base, 2 * len(base))
     return raw.groupBy("instance_id", "query_id").agg(
         F.count(F.lit(1)).alias("rows"), F.sum("id").alias("id_sum"), F.sum("calls").alias("calls")
     )
@@ -527,7 +613,7 @@ def scale_spread_instances(spark: SparkSession, folder: str) -> DataFrame:
 def scale_daily_commits(spark: SparkSession, folder: str) -> DataFrame:
     """The versions left behind by one commit per day."""
     lake = Lake(spark, fresh_dir(spark, "lake"))
-    scale.daily_commits(lake, "health_sample", fleet_source(spark, folder, "health_sample"), DAYS)
+    scale.daily_commits(lake, "health_sample", fleet_source(spark, folder, "health_sample"), days_of(spark, folder))
     return lake.snapshots().select("version", "changes", "row_count")
 
 
@@ -542,7 +628,7 @@ def _builtin() -> dict[str, Query]:
     named.update({f"incremental_{name}": _incremental(name) for name in FACTS})
     for f in (
         offload_extract_day, offload_primary, offload_auxiliary, offload_registry, offload_overwrite, offload_guard,
-        instance_thresholds, lake_publish, lake_load_partitions, lake_time_travel, lake_snapshots, lake_correct_row,
+        instance_thresholds, lake_publish, lake_publish_after_failures, lake_load_partitions, lake_time_travel, lake_snapshots, lake_correct_row,
         lake_delete_rolled_back, lake_expire, lake_compact, lake_maintenance, lake_measure, quality_source_counts,
         quality_landed_counts, quality_newest_watermark, quality_reconciliation, quality_completeness,
         quality_freshness, quality_schema_drift, quality_gate, quality_gate_auxiliary, quality_day_status,

@@ -61,7 +61,8 @@ WHERE NOT ((dt = DATE '2024-01-10' AND extract(hour FROM captured_at) = 12)
         OR (dt = DATE '2024-01-25' AND extract(hour FROM captured_at) >= 9)
         OR dt = DATE '2024-01-28')
 """)
-block("days", "SELECT CAST(d AS DATE) AS dt FROM range(DATE '2024-01-01', DATE '2024-01-31', INTERVAL 1 DAY) r(d)")
+block("days", "SELECT CAST(d AS DATE) AS dt FROM range((SELECT CAST(min(ts) AS DATE) FROM events), "
+      "(SELECT CAST(max(ts) AS DATE) + 1 FROM events), INTERVAL 1 DAY) r(d)")
 block("instances", "SELECT DISTINCT instance_id FROM ev")
 block("src_counts", "SELECT dt, instance_id, count(*) AS source_rows FROM query_snapshot GROUP BY ALL")
 block("land_counts", "SELECT dt, instance_id, count(*) AS landed_rows FROM landed GROUP BY ALL")
@@ -142,17 +143,28 @@ _RAW_AT = {
 _POLLED = ("wait_event_snapshot", "index_usage_snapshot", "health_sample")
 
 
+# Planted: see the query. Sources that changed, by what the change is worth.
+_CHANGED = {"size_snapshot": "WARN", "wait_event_snapshot": "FAIL"}
+
+
 def _aux_axes(table: str) -> str:
     at = _RAW_AT[table]
+    left = (
+        f"(SELECT * FROM {table} WHERE NOT (dt = DATE '2024-01-12' AND instance_id = 2) AND dt <> DATE '2024-01-22' "
+        f"AND NOT (dt = DATE '2024-01-18' AND extract(hour FROM {at}) >= 15))"
+    )
     fresh = (
         f"SELECT {_freshness('w.newest')} AS status FROM days d "
-        f"LEFT JOIN (SELECT dt, max({at}) AS newest FROM {table} GROUP BY dt) w ON w.dt = d.dt"
+        f"LEFT JOIN (SELECT dt, max({at}) AS newest FROM {left} GROUP BY dt) w ON w.dt = d.dt"
         if table in _POLLED
         else "SELECT 'SKIP' AS status FROM days"
     )
     axes = {
-        "reconciliation": "SELECT 'OK' AS status FROM days", "completeness": "SELECT 'SKIP' AS status FROM days",
-        "freshness": fresh, "schema_drift": "SELECT 'OK' AS status FROM days",
+        "reconciliation": f"SELECT CASE WHEN EXISTS (SELECT instance_id, count(*) FROM {table} s WHERE s.dt = d.dt GROUP BY 1 "
+        f"EXCEPT SELECT instance_id, count(*) FROM {left} l WHERE l.dt = d.dt GROUP BY 1) THEN 'FAIL' ELSE 'OK' END AS status FROM days d",
+        "completeness": "SELECT 'SKIP' AS status FROM days",
+        "freshness": fresh,
+        "schema_drift": f"SELECT '{_CHANGED.get(table, 'OK')}' AS status FROM days",
     }
     return " UNION ALL ".join(
         f"SELECT '{table}' AS table_name, '{axis}' AS axis, count(*) FILTER (WHERE status = 'OK') AS ok_days, "
@@ -181,34 +193,35 @@ def _table_block(name: str) -> str:
 
 
 def _data_tests() -> str:
+    # The columns and words that the tables must have.
     not_null = {
-        "stg_query_snapshot": "instance_id query_id dt captured_at calls",
-        "fct_query_daily": "instance_id query_id dt delta_calls delta_total_time_ms",
-        "mart_query_regression": "instance_id query_id latency_increase_ms",
-        "fct_query_hourly": "instance_id query_id dt hour", "fct_size_daily": "instance_id object_name dt",
-        "mart_capacity_forecast": "instance_id risk_flag", "fct_wait_event_daily": "instance_id event_name dt",
-        "fct_backup_daily": "instance_id dt", "fct_plan_change_daily": "instance_id dt",
-        "mart_wait_top": "instance_id event_name", "mart_plan_regression": "instance_id query_id verdict",
-        "mart_backup_rpo": "instance_id as_of_dt rpo_status", "mart_weekly_ops_report": "week_start instance_id",
-        "fct_config_change_daily": "instance_id dt", "mart_config_change": "instance_id change_kind",
-        "int_change_events": "instance_id change_source",
-        "mart_config_impact": "instance_id change_source correlation", "fct_uptime_daily": "instance_id dt",
-        "mart_uptime_slo": "instance_id slo_status", "dim_instance": "instance_id engine",
-        "fct_index_daily": "instance_id index_name dt delta_scans",
-        "mart_index_verdict": "instance_id index_name verdict",
+        "stg_query_snapshot": ["instance_id", "query_id", "dt", "captured_at", "calls"],
+        "fct_query_daily": ["instance_id", "query_id", "dt", "delta_calls", "delta_total_time_ms"],
+        "mart_query_regression": ["instance_id", "query_id", "latency_increase_ms"],
+        "fct_query_hourly": ["instance_id", "query_id", "dt", "hour"], "fct_size_daily": ["instance_id", "object_name", "dt"],
+        "mart_capacity_forecast": ["instance_id", "risk_flag"], "fct_wait_event_daily": ["instance_id", "event_name", "dt"],
+        "fct_backup_daily": ["instance_id", "dt"], "fct_plan_change_daily": ["instance_id", "dt"],
+        "mart_wait_top": ["instance_id", "event_name"], "mart_plan_regression": ["instance_id", "query_id", "verdict"],
+        "mart_backup_rpo": ["instance_id", "as_of_dt", "rpo_status"], "mart_weekly_ops_report": ["week_start", "instance_id"],
+        "fct_config_change_daily": ["instance_id", "dt"], "mart_config_change": ["instance_id", "change_kind"],
+        "int_change_events": ["instance_id", "change_source"],
+        "mart_config_impact": ["instance_id", "change_source", "correlation"], "fct_uptime_daily": ["instance_id", "dt"],
+        "mart_uptime_slo": ["instance_id", "slo_status"], "dim_instance": ["instance_id", "engine"],
+        "fct_index_daily": ["instance_id", "index_name", "dt", "delta_scans"],
+        "mart_index_verdict": ["instance_id", "index_name", "verdict"],
     }
     rows = [(t, f"not_null({c})", f"SELECT count(*) FROM {_table_block(t)} WHERE {c} IS NULL")
-            for t, cs in not_null.items() for c in cs.split()]
+            for t, cs in not_null.items() for c in cs]
     accepted = {
-        "mart_plan_regression": ("verdict", "REGRESSED IMPROVED NEUTRAL PENDING AMBIGUOUS"),
-        "mart_backup_rpo": ("rpo_status", "ok breach no_backup_observed"),
-        "mart_config_impact": ("correlation", "followed_by_regression followed_by_plan_flip followed_by_latency_rise "
-                                              "followed_by_size_growth no_signal"),
-        "mart_uptime_slo": ("slo_status", "meets at_risk breach"),
-        "mart_index_verdict": ("verdict", "in_use constraint_backed insufficient_observation candidate_unused"),
+        "mart_plan_regression": ("verdict", ["REGRESSED", "IMPROVED", "NEUTRAL", "PENDING", "AMBIGUOUS"]),
+        "mart_backup_rpo": ("rpo_status", ["ok", "breach", "no_backup_observed"]),
+        "mart_config_impact": ("correlation", ["followed_by_regression", "followed_by_plan_flip", "followed_by_latency_rise",
+                                              "followed_by_size_growth", "no_signal"]),
+        "mart_uptime_slo": ("slo_status", ["meets", "at_risk", "breach"]),
+        "mart_index_verdict": ("verdict", ["in_use", "constraint_backed", "insufficient_observation", "candidate_unused"]),
     }
     for t, (c, values) in accepted.items():
-        listed = ", ".join(f"'{v}'" for v in values.split())
+        listed = ", ".join(f"'{v}'" for v in values)
         rows.append((t, f"accepted({c})", f"SELECT count(*) FROM {_table_block(t)} WHERE {c} NOT IN ({listed})"))
     for t in ("fct_query_daily", "fct_query_hourly"):
         for c in ("delta_calls", "delta_total_time_ms"):
@@ -262,7 +275,7 @@ oracle("staleness", """
 SELECT w.dag_id, l.dag_id IS NULL OR l.age > 3600 AS stale, round(l.age, 3) AS age_seconds, 3600::BIGINT AS max_age_seconds
 FROM (SELECT 'collect-' || instance_id AS dag_id FROM instances
       UNION ALL SELECT 'forgotten-' || instance_id FROM instances) w
-LEFT JOIN (SELECT dag_id, date_diff('microsecond', last_success_at, TIMESTAMP '2024-01-31') / 1000000.0 AS age
+LEFT JOIN (SELECT dag_id, date_diff('microsecond', last_success_at, (SELECT CAST(max(dt) + 1 AS TIMESTAMP) FROM days)) / 1000000.0 AS age
            FROM last_life) l ON l.dag_id = w.dag_id""")
 
 # --- serving -----------------------------------------------------------------------
@@ -310,7 +323,7 @@ oracle("offload_primary", "SELECT * FROM query_snapshot")
 oracle("offload_auxiliary", "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, dt, instance_id, count(*) AS landed_rows FROM {t} GROUP BY dt, instance_id"
     for t in _RAW_AT if t != "query_snapshot"))
-oracle("offload_registry", "SELECT * FROM dim_snapshot")
+oracle("offload_registry", "SELECT *, 0::BIGINT AS landed_before, 1::BIGINT AS refused FROM dim_snapshot")
 oracle("offload_overwrite", """
 SELECT dt, instance_id, count(*) AS first_rows, count(*) AS second_rows FROM plan_snapshot GROUP BY ALL""")
 block("health_counts", "SELECT dt, instance_id, count(*) AS n FROM health_sample GROUP BY ALL")
@@ -334,6 +347,8 @@ LEFT JOIN backup_rpo_thresholds b USING (instance_id)""")
 oracle("lake_publish", "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {b}"
     for t, b in {**FACT_BLOCKS, **MART_BLOCKS, "dim_instance": "dim_now"}.items()))
+oracle("lake_publish_after_failures", """
+SELECT instance_id, dt, samples FROM f_uptime WHERE dt BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'""")
 block("halves", """
 SELECT *, CASE WHEN dt > DATE '2024-01-15' THEN 1 ELSE 2 END AS loaded_in FROM query_snapshot
 """)
@@ -352,7 +367,7 @@ SELECT dt, count(*) AS rows_kept, CASE WHEN dt <> DATE '2024-01-10' THEN count(*
 FROM query_snapshot GROUP BY dt""")
 oracle("lake_expire", "SELECT dt, count(*) AS rows, 1::BIGINT AS versions_left FROM query_snapshot GROUP BY dt")
 oracle("lake_compact", """
-SELECT count(*) AS rows, CAST(sum(id) AS BIGINT) AS id_sum, 30::BIGINT AS parts_before, 1::BIGINT AS parts_after, 31::BIGINT AS versions
+SELECT count(*) AS rows, CAST(sum(id) AS BIGINT) AS id_sum, count(DISTINCT dt) AS parts_before, count(DISTINCT dt) AS parts_after, count(DISTINCT dt) AS versions
 FROM plan_snapshot""")
 oracle("lake_maintenance", """
 SELECT * FROM (VALUES ('versions', 2::BIGINT, 1::BIGINT), ('tables', 1, 1), ('parts', 2, 1)) m(metric, before, after)
@@ -366,14 +381,16 @@ SELECT f.instance_id, f.query_id, CAST(DATE '2024-02-01' + CAST(r.n AS INTEGER)
 FROM f_query_daily f CROSS JOIN range(60) r(n) WHERE f.dt = DATE '2024-01-12'""")
 oracle("scale_slow_down", """
 SELECT query_id, dt, count(*) AS rows,
-       round(sum(total_time_ms * CASE WHEN dt > DATE '2024-01-23'
+       round(sum(total_time_ms * CASE WHEN dt > (SELECT max(dt) - 7 FROM days)
                  THEN [1.0, 1.0, 1.0, 1.5, 2.5][CAST(('0x' || substr(md5(query_id), 1, 8)) AS BIGINT) % 5 + 1]
                  ELSE 1.0 END), 3) AS total_time_ms
 FROM query_snapshot GROUP BY query_id, dt""")
 oracle("scale_spread_instances", """
 SELECT j.n AS instance_id, q.query_id || '~i' || j.n AS query_id, count(*) AS rows,
        CAST(sum(q.id + j.n * 1000000000) AS BIGINT) AS id_sum, CAST(sum(q.calls) AS BIGINT) AS calls
-FROM query_snapshot q JOIN range(1, 21) j(n) ON q.instance_id = (j.n - 1) % 6 + 1
+FROM query_snapshot q JOIN (SELECT instance_id, row_number() OVER (ORDER BY instance_id) AS place, count(*) OVER () AS m
+                            FROM instances) i ON i.instance_id = q.instance_id
+JOIN range(1, (SELECT 2 * count(*) + 1 FROM instances)) j(n) ON j.n IN (i.place, i.place + i.m)
 GROUP BY 1, 2""")
 oracle("scale_daily_commits", """
 SELECT row_number() OVER (ORDER BY dt) AS version, 'append health_sample ' || dt AS changes,

@@ -73,6 +73,75 @@ def test_incremental_facts_equal_a_rebuild_from_landed_data(spark, run):
         assert sorted(map(repr, got.select(*want.columns).collect())) == sorted(map(repr, want.collect())), fact
 
 
+def _published(chain, fact):
+    return sorted(map(repr, chain.lake.read(fact).select(sorted(chain.lake.read(fact).columns)).collect()))
+
+
+def test_failed_publishes_and_older_days_lose_nothing(spark, run, monkeypatch):
+    _, _, source = run
+    missing = {"on": True}
+
+    def rows(name):
+        df = source[name]
+        if name == "wait_event_snapshot" and missing["on"]:
+            return df.where("to_date(captured_at) <> date'2024-01-11' or event_name <> 'click'")
+        return df
+
+    chain = DailyRun(spark, rows, lambda: _registry(spark), fresh_dir(spark, "failing"))
+    chain.run("2024-01-10")
+    with monkeypatch.context() as m:
+        def refuse(self, staged):
+            raise RuntimeError("contract")
+
+        m.setattr(DailyRun, "check", refuse)
+        for day in ("2024-01-11", "2024-01-12"):
+            with pytest.raises(RuntimeError):
+                chain.run(day)
+    missing["on"] = False
+    with monkeypatch.context() as m:  # an older day is landed again, and its publish fails as well
+        m.setattr(DailyRun, "check", refuse)
+        with pytest.raises(RuntimeError):
+            chain.run("2024-01-11")
+    assert chain.lake.versions() == [1]
+    chain.run("2024-01-13")
+    rebuilt = Warehouse(spark, lambda n: read_landed(spark, chain.raw_root, n), fresh_dir(spark, "rebuild"))
+    for fact in FACTS:
+        want = rebuilt.build_fact(fact)
+        assert _published(chain, fact) == sorted(map(repr, want.select(sorted(want.columns)).collect())), fact
+    before = {p["path"] for p in chain.lake.manifest()["tables"]["fct_query_daily"]["parts"]}
+    chain.lake.compact()
+    chain.run("2024-01-14")
+    after = chain.lake.manifest()["tables"]["fct_query_daily"]["parts"]
+    assert len(before - {p["path"] for p in after}) <= 1 and len(after) == 5  # the newest day is replaced, one is added
+
+
+def test_side_branches_do_not_stop_the_main_one(spark, run, monkeypatch):
+    _, _, source = run
+    empty = {"on": False}
+    told = []
+
+    def rows(name):
+        return source[name].where("false") if name == "backup_run" and empty["on"] else source[name]
+
+    def write_back(version):
+        told.append(version)
+        raise RuntimeError("no database")
+
+    chain = DailyRun(spark, rows, lambda: _registry(spark), fresh_dir(spark, "side"), write_back=write_back)
+    chain.run("2024-01-10")
+    assert chain.problems == ["write back: no database"] and told == [1]
+    empty["on"] = True
+
+    def broken(*_):
+        raise OSError("log store is down")
+
+    monkeypatch.setattr(runs, "append_runs", broken)
+    version = chain.run("2024-01-10")
+    assert version == 2 and chain.lake.current_version() == 2
+    kinds = [p.split(":")[0] for p in chain.problems]
+    assert kinds == ["backup_run", "write back", "run log"]
+
+
 def test_gate_failure_blocks_before_anything_is_published(spark, run):
     chain, _, source = run
     half = source["query_snapshot"].where(F.hour("captured_at") < 9)
