@@ -9,14 +9,21 @@ Two texts link when their sets of word shingles have a Jaccard similarity of
    order puts rare shingles first; how frequent each is, is counted over all
    documents in a table of fixed size, so a shingle that a third of all texts
    share comes last and heads no block but that of texts without rarer ones.
-3. The classes of one such shingle form a block. A block is a signature tree:
+3. The classes of one such shingle form a block. Classes that differ too much
+   from all others of their block, by how many shingles lie in each part of the
+   hash range, leave it at once (a difference in counts is a difference in sets;
+   very large blocks skip this). What is left is a signature tree:
    classes sorted by size in leaves, and above them nodes with OR-combined
    token bitmaps and size ranges. Tree pairs are descended together; a pair of
    nodes is dropped when no two of their sets can overlap enough. Large blocks
    are cut into tiles by size, so that no task holds more than two of them.
-4. Pairs that the bitmaps cannot exclude are compared shingle by shingle.
+4. Pairs that the bitmaps cannot exclude are compared shingle by shingle. Each
+   set is sent once to each tile of its pairs, not to each pair: pairs connected
+   with one another are dealt together, up to ``CHUNK`` sets with as many others.
 5. Links are joined to components by passing on the smallest class and
-   jumping along labels, a few rounds over the links alone.
+   jumping along labels. Tasks first reduce the links they have to a forest
+   with the same components, so what is joined grows with the classes, not with
+   the pairs of a large group; numbers of links are added up beside it.
 
 Rows cross between stages packed in blocks of bytes, one for each task and
 target partition; nothing is dropped, sampled or capped.
@@ -32,11 +39,13 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmart.llm.common import partitions, ship_code, slices, stage, table
+from obsmart.llm.common import partition_id, partitions, ship_code, slices, stage, table
 from obsmart.llm.shingles import digests, shingle_sets, spread
 
 WORDS, LEAST = 4, 85
@@ -44,12 +53,24 @@ WORDS, LEAST = 4, 85
 COUNTERS, BITMAP_BITS = 1 << 20, 2048
 #: Classes of a leaf, children of a node, classes of a tile.
 LEAF, FAN, TILE = 32, 8, 2048
+#: Sets of a comparing tile, on either side; tasks whose forests are merged in one.
+CHUNK, MERGED = 1024, 12
+#: Rows of (tile, class) up to which they are sent to every task, about 10 MB.
+BROADCAST_ROWS = 150_000
+#: Text shingled at once, in bytes; its arrays take some ten times as much.
+TEXT_BYTES = 2 << 20
 #: Entries that a task gathers before it passes them on.
 HELD = 1 << 20
 #: Parts in which tables of fixed size are added up.
 PARTS = 16
 
-ENTRY = np.dtype([("token", "<u8"), ("a", "<u8"), ("b", "<u8"), ("n", "<i4")])
+#: Parts of the hash range in which each set's shingles are counted, and
+#: neighbours in a block with which the counts are compared.
+CELLS, NEAR = 32, 64
+
+#: A shingle heads a block: the set's short name, its size, whether the shingle is
+#: among the first few that a larger partner must meet, and its counts by cell.
+ENTRY = np.dtype([("token", "<u8"), ("a", "<u8"), ("n", "<i4"), ("early", "u1"), ("cells", "u1", CELLS)])
 PAIR = np.dtype([("a", "<u8"), ("a2", "<u8"), ("b", "<u8"), ("b2", "<u8")])
 
 
@@ -58,18 +79,25 @@ def prefix_sizes(sizes: np.ndarray, least: int) -> np.ndarray:
     return np.where(sizes > 0, sizes - -(-least * sizes // 100) + 1, 0)
 
 
+def early_sizes(sizes: np.ndarray, least: int) -> np.ndarray:
+    """How many first shingles of each set a partner that is as large must meet."""
+    return np.where(sizes > 0, sizes - -(-2 * least * sizes // (100 + least)) + 1, 0)
+
+
 def packed(rows: np.ndarray, target: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows sorted by target partition, one row of bytes for each."""
     order = np.argsort(target, kind="stable")
     rows, target = rows[order], target[order]
     first = np.flatnonzero(np.diff(target, prepend=-1))
     if len(first):
-        blobs = [part.tobytes() for part in np.split(rows, first[1:])]
+        pack = zstandard.ZstdCompressor(level=1).compress
+        blobs = [pack(part.tobytes()) for part in np.split(rows, first[1:])]
         yield pa.RecordBatch.from_arrays([pa.array(target[first].astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "data"])
 
 
 def unpacked(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> np.ndarray:
-    found = [np.frombuffer(b, kind) for batch in batches for b in batch.column("data").to_pylist()]
+    unpack = zstandard.ZstdDecompressor().decompress
+    found = [np.frombuffer(unpack(b), kind) for batch in batches for b in batch.column("data").to_pylist()]
     return np.concatenate(found) if found else np.zeros(0, kind)
 
 
@@ -179,85 +207,111 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = np.zeros(COUNTERS, np.int64)
-        names = ["doc_id", "n", "c", "part", "data"]
+        names = ["doc_id", "n", "c", "a", "part", "data"]
         for batch in batches:
-            for first, text in slices(batch.column(1)):
+            for first, text in slices(batch.column(1), TEXT_BYTES):
                 numbers, sizes = shingle_sets(text, words)
                 counts += np.bincount((numbers >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64), minlength=COUNTERS)
-                rows = len(text)
+                rows, digest = len(text), digests(numbers, sizes)
+                short = pa.array(digest[:, 0].copy().view(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(first, rows), pa.array(sizes), key(digests(numbers, sizes)), pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names
+                    [batch.column(0).slice(first, rows), pa.array(sizes), key(digest), short, pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names
                 )
         if counts.any():
             pieces = [p.tobytes() for p in np.split(np.minimum(counts, 2**32 - 1).astype("<u4"), PARTS)]
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.int64()), pa.nulls(PARTS, pa.binary()), pa.array(range(PARTS), pa.int32()), pa.array(pieces, pa.binary())], names
+                [*[pa.nulls(PARTS, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.int64())], pa.array(range(PARTS), pa.int32()), pa.array(pieces, pa.binary())], names
             )
 
-    return docs.mapInArrow(work, "doc_id long, n long, c binary, part int, data binary")
+    return docs.mapInArrow(work, "doc_id long, n long, c binary, a long, part int, data binary")
 
 
 def _blocks(docs: DataFrame, words: int, least: int, levels, parts: int) -> DataFrame:
-    """(block, tile, side, c, n): the classes of every block of two or more,
-    dealt to tiles; a tile pairs side 0 with side 1, or side 0 with itself."""
+    """(block, tile, side, a, n): the classes, by their short names, of every
+    block of two or more, dealt to tiles; a tile pairs side 0 with side 1, or
+    side 0 with itself. Short names that two classes share only add candidates."""
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rank = levels.value
-        seen: set[bytes] = set()
+        rank = levels.value.astype(np.uint64) << np.uint64(56)
+        seen: set[int] = set()
         held, amount = [], 0
         for batch in batches:
-            for _, text in slices(batch.column(0)):
+            for _, text in slices(batch.column(0), TEXT_BYTES):
                 numbers, sizes = shingle_sets(text, words)
-                names = digests(numbers, sizes)
-                need = prefix_sizes(sizes, least)
+                names = digests(numbers, sizes)[:, 0]
+                need, early = prefix_sizes(sizes, least), early_sizes(sizes, least)
                 begin = np.cumsum(sizes) - sizes
-                fresh = np.zeros(len(sizes), bool)
-                for k, name in enumerate(names.view("V16").ravel().tolist()):
-                    if sizes[k] and name not in seen:
-                        fresh[k] = True
-                        seen.add(name)
-                if len(seen) > HELD:
-                    seen.clear()
-                level = rank[(numbers >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)]
                 mixed = spread(numbers)
-                for k in np.flatnonzero(fresh).tolist():
+                order = rank[(numbers >> np.uint64(64 - COUNTERS.bit_length() + 1)).astype(np.int64)] | (mixed >> np.uint64(8))
+                cell = (mixed % np.uint64(CELLS)).astype(np.int64)
+                for k, name in enumerate(names.tolist()):
+                    if not sizes[k] or name in seen:
+                        continue
+                    seen.add(name)
                     part = slice(begin[k], begin[k] + sizes[k])
-                    order = np.lexsort((mixed[part], level[part]))[: need[k]]
-                    rows = np.empty(len(order), ENTRY)
-                    rows["token"], rows["a"], rows["b"], rows["n"] = numbers[part][order], names[k, 0], names[k, 1], sizes[k]
+                    first = np.argsort(order[part])[: need[k]]
+                    rows = np.empty(len(first), ENTRY)
+                    rows["token"], rows["a"], rows["n"] = numbers[part][first], name, sizes[k]
+                    rows["early"] = np.arange(len(first)) < early[k]
+                    rows["cells"] = np.minimum(np.bincount(cell[part], minlength=CELLS), 255)
                     held.append(rows)
                     amount += len(rows)
-                if amount > HELD:
-                    rows = np.concatenate(held)
-                    yield from packed(rows, spread(rows["token"]) % np.uint64(parts))
-                    held, amount = [], 0
+                if len(seen) > HELD:
+                    seen.clear()  # it only saves repeating copies
+            if amount > HELD // 4:
+                rows = np.concatenate(held)
+                yield from packed(rows, spread(rows["token"]) % np.uint64(parts))
+                held, amount = [], 0
         if held:
             rows = np.concatenate(held)
             yield from packed(rows, spread(rows["token"]) % np.uint64(parts))
 
+    def partnered(rows: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """Rows that some row of their block may link with; all of a large block."""
+        alive = np.repeat(lengths > NEAR, lengths)
+        some = np.flatnonzero(np.repeat((lengths > 1) & (lengths <= NEAR), lengths))
+        for step in range(1, NEAR):
+            some = some[some + step < len(rows)]
+            some = some[rows["token"][some] == rows["token"][some + step]]
+            if not len(some):
+                break
+            x, y = rows[some], rows[some + step]
+            close = (100 * x["n"].astype(np.int64) >= least * y["n"].astype(np.int64)) & (x["early"] > 0)
+            x, y, at = x[close], y[close], some[close]
+            apart = np.abs(x["cells"].astype(np.int16) - y["cells"].astype(np.int16)).sum(axis=1, dtype=np.int64)
+            at = at[(100 + least) * apart <= (100 - least) * (x["n"].astype(np.int64) + y["n"])]
+            alive[at] = alive[at + step] = True
+        return alive
+
     def get(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows = unpacked(batches, ENTRY)
-        order = np.lexsort((rows["b"], rows["a"], rows["n"], rows["token"]))
-        rows = rows[order]
+
+        def runs() -> tuple[np.ndarray, np.ndarray]:
+            starts = np.flatnonzero(np.concatenate([[True], rows["token"][1:] != rows["token"][:-1]])) if len(rows) else np.zeros(0, np.int64)
+            return starts, np.diff(np.append(starts, len(rows)))
+
+        rows = rows[np.argsort(rows["token"], kind="stable")]
+        _, lengths = runs()
+        rows = rows[np.repeat(lengths > 1, lengths)]
+        # by size, the larger of two being the later; of equal sizes, those last whose shingle isn't early
+        rows = rows[np.lexsort((rows["a"], 1 - rows["early"], rows["n"], rows["token"]))]
         new = np.ones(len(rows), bool)
-        new[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["a"][1:] != rows["a"][:-1]) | (rows["b"][1:] != rows["b"][:-1])
+        new[1:] = (rows["token"][1:] != rows["token"][:-1]) | (rows["a"][1:] != rows["a"][:-1])
         rows = rows[new]
-        starts = np.flatnonzero(np.concatenate([[True], rows["token"][1:] != rows["token"][:-1]])) if len(rows) else np.zeros(0, np.int64)
-        lengths = np.diff(np.append(starts, len(rows)))
+        rows = rows[partnered(rows, runs()[1])]
+        starts, lengths = runs()
 
         def out(rows: np.ndarray, tile: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(rows["token"].view(np.int64)), pa.array(tile.astype(np.int64)), pa.array(side.astype(np.int32)),
-                 key(np.stack([rows["a"], rows["b"]], axis=1)), pa.array(rows["n"].astype(np.int64))],
-                ["block", "tile", "side", "c", "n"],
+                [pa.array(rows["token"].copy().view(np.int64)), pa.array(tile.astype(np.int64)), pa.array(side.astype(np.int32)),
+                 pa.array(rows["a"].copy().view(np.int64)), pa.array(rows["n"].astype(np.int64))],
+                ["block", "tile", "side", "a", "n"],
             )
 
-        small = np.repeat((lengths > 1) & (lengths <= TILE), lengths)
-        if small.any():
-            some = rows[small]
-            for at in range(0, len(some), 1 << 16):
-                part = some[at : at + (1 << 16)]
-                yield out(part, np.zeros(len(part)), np.zeros(len(part)))
+        some = rows[np.repeat((lengths > 1) & (lengths <= TILE), lengths)]
+        for at in range(0, len(some), 1 << 16):
+            part = some[at : at + (1 << 16)]
+            yield out(part, np.zeros(len(part)), np.zeros(len(part)))
         for start, length in zip(starts[lengths > TILE].tolist(), lengths[lengths > TILE].tolist(), strict=True):
             cuts = [rows[start + i : min(start + i + TILE, start + length)] for i in range(0, length, TILE)]
             for i, low in enumerate(cuts):
@@ -271,7 +325,7 @@ def _blocks(docs: DataFrame, words: int, least: int, levels, parts: int) -> Data
                     yield out(both, np.full(len(both), i * len(cuts) + j), side)
 
     dealt = docs.select("text").mapInArrow(put, "part int, data binary").repartitionById(parts, F.col("part"))
-    return dealt.mapInArrow(get, "block long, tile long, side int, c binary, n long")
+    return dealt.mapInArrow(get, "block long, tile long, side int, a long, n long")
 
 
 def _known(spark: SparkSession, ids: DataFrame) -> tuple[object, int]:
@@ -292,7 +346,7 @@ def _known(spark: SparkSession, ids: DataFrame) -> tuple[object, int]:
 
 
 def _candidates(docs: DataFrame, words: int, known, bits: int) -> DataFrame:
-    """(c, n, bitmap, numbers) of the documents whose id may be wanted."""
+    """(c, a, n, bitmap, numbers) of the documents whose id may be wanted."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         wanted = np.unpackbits(known.value).astype(bool)
@@ -300,7 +354,7 @@ def _candidates(docs: DataFrame, words: int, known, bits: int) -> DataFrame:
             x = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             hit = batch.column(0).is_null().to_numpy(zero_copy_only=False)
             hit = hit | np.all([wanted[spread(x + np.uint64(k)) % np.uint64(bits)] for k in range(3)], axis=0)
-            for first, text in slices(batch.column(1).filter(pa.array(hit))):
+            for first, text in slices(batch.column(1).filter(pa.array(hit)), TEXT_BYTES):
                 numbers, sizes = shingle_sets(text, words)
                 names = digests(numbers, sizes)
                 ends = np.cumsum(sizes)
@@ -308,22 +362,68 @@ def _candidates(docs: DataFrame, words: int, known, bits: int) -> DataFrame:
                 maps[np.repeat(np.arange(len(sizes)), sizes), (spread(numbers) % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
                 some = np.flatnonzero(sizes)
                 yield pa.RecordBatch.from_arrays(
-                    [key(names[some]), pa.array(sizes[some]), pa.array([m.tobytes() for m in np.packbits(maps[some], axis=1)], pa.binary()),
+                    [key(names[some]), pa.array(names[some, 0].view(np.int64)), pa.array(sizes[some]), pa.array([m.tobytes() for m in np.packbits(maps[some], axis=1)], pa.binary()),
                      pa.array([numbers[ends[k] - sizes[k] : ends[k]].tobytes() for k in some.tolist()], pa.binary())],
-                    ["c", "n", "bitmap", "numbers"],
+                    ["c", "a", "n", "bitmap", "numbers"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(work, "c binary, n long, bitmap binary, numbers binary")
+    return docs.select("doc_id", "text").mapInArrow(work, "c binary, a long, n long, bitmap binary, numbers binary")
+
+
+def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(others, smallest): what the pairs connect, as pairs of each name with
+    the smallest of its component."""
+    names, ends = np.unique(np.concatenate([a, b]), return_inverse=True)
+    parent = list(range(len(names)))
+
+    def head(x: int) -> int:
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for x, y in zip(ends[: len(a)].tolist(), ends[len(a) :].tolist(), strict=True):
+        x, y = head(x), head(y)
+        parent[max(x, y)] = min(x, y)
+    heads = np.fromiter(map(head, range(len(names))), np.int64, len(names))
+    some = np.flatnonzero(heads != np.arange(len(names)))
+    return names[some], names[heads[some]]
+
+
+def binary(names: np.ndarray) -> pa.Array:
+    flat = pa.py_buffer(np.ascontiguousarray(names))
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(16), len(names), [None, flat]).cast(pa.binary())
+
+
+def _names(column: pa.Array) -> np.ndarray:
+    return np.array(column.to_pylist(), "V16")
+
+
+def merged_forests(edges: DataFrame, parts: int, label: str) -> DataFrame:
+    """(a, b) from (part, a, b): the forests of ``MERGED`` tasks as one."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found = pa.Table.from_batches(batches, pa.schema([("a", pa.binary()), ("b", pa.binary())])).combine_chunks()
+        if found.num_rows:
+            others, smallest = stars(_names(found["a"]), _names(found["b"]))
+            yield pa.RecordBatch.from_arrays([binary(others), binary(smallest)], ["a", "b"])
+
+    few = max(1, -(-parts // MERGED))
+    dealt = edges.repartitionById(few, F.pmod("part", F.lit(few))).select("a", "b")
+    return stage(dealt.mapInArrow(work, "a binary, b binary"), label)
 
 
 def _pairs(tiles: DataFrame, least: int, parts: int) -> DataFrame:
-    """Distinct (a, b), a < b, of the pairs that no signature tree excludes."""
+    """The pairs that no signature tree excludes, a before b: (a, bs) with all
+    partners of a class in one row, and (part, a, b) of each task's forest."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, amount = [], 0
 
         def rows(names: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
             x, y = names[i], names[j]
+            other = (x != y).any(axis=1)
+            x, y = x[other], y[other]
             less = (x[:, 0] < y[:, 0]) | ((x[:, 0] == y[:, 0]) & (x[:, 1] < y[:, 1]))
             x, y = np.where(less[:, None], x, y), np.where(less[:, None], y, x)
             out = np.empty(len(x), PAIR)
@@ -351,7 +451,7 @@ def _pairs(tiles: DataFrame, least: int, parts: int) -> DataFrame:
             nonlocal held, amount
             if held:
                 found = np.unique(np.concatenate(held))
-                yield from packed(found, spread(found["a"] ^ spread(found["b"])) % np.uint64(parts))
+                yield from packed(found, spread(found["a"]) % np.uint64(parts))
             held, amount = [], 0
 
         group: list[pa.RecordBatch] = []
@@ -377,41 +477,107 @@ def _pairs(tiles: DataFrame, least: int, parts: int) -> DataFrame:
         yield from flush()
 
     def distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = partition_id()
         found = np.unique(unpacked(batches, PAIR))
-        for at in range(0, len(found), 1 << 16):
-            x = found[at : at + (1 << 16)]
-            yield pa.RecordBatch.from_arrays([key(np.stack([x["a"], x["a2"]], axis=1)), key(np.stack([x["b"], x["b2"]], axis=1))], ["a", "b"])
+        a = np.stack([found["a"], found["a2"]], axis=1)
+        b = np.stack([found["b"], found["b2"]], axis=1)
+        if not len(found):
+            return
+        starts = np.flatnonzero(np.concatenate([[True], (a[1:] != a[:-1]).any(axis=1)]))
+        big = np.ascontiguousarray(b.astype(">u8"))
+        lists = [x.tobytes() for x in np.split(big, starts[1:])]
+        n = len(starts)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), key(a[starts]), pa.nulls(n, pa.binary()), pa.array(lists, pa.binary())], ["part", "a", "b", "bs"])
+        others, smallest = stars(np.ascontiguousarray(a.astype(">u8")).view("V16").ravel(), big.view("V16").ravel())
+        n = len(others)
+        yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), binary(others), binary(smallest), pa.nulls(n, pa.binary())], ["part", "a", "b", "bs"])
 
     dealt = tiles.mapInArrow(work, "part int, data binary").repartitionById(parts, F.col("part"))
-    return dealt.mapInArrow(distinct, "a binary, b binary")
+    return dealt.mapInArrow(distinct, "part int, a binary, b binary, bs binary")
+
 
+def _tiles(pairs: DataFrame, groups: DataFrame) -> DataFrame:
+    """Deal pairs to tiles of their group: (tile, pairs) in packed form, and
+    (tile, c) for each set that a tile needs."""
 
-def _linked(pairs: DataFrame, sets: DataFrame, least: int, parts: int) -> DataFrame:
-    """The pairs whose sets overlap enough: each set ``a`` is read once and
-    compared with the sets of its partners as they pass by."""
-    own = sets.join(pairs.select(F.col("a").alias("c")).distinct(), "c", "left_semi")
-    own = own.select(F.col("c").alias("a"), F.lit(None).cast("binary").alias("b"), "numbers")
-    partners = pairs.join(sets.select(F.col("c").alias("b"), "numbers"), "b").select("a", "b", "numbers")
-    both = own.union(partners).repartition(parts, "a").sortWithinPartitions("a", F.col("b").asc_nulls_first())
+    def chunk(names: np.ndarray, chunks: int) -> np.ndarray:
+        return (spread(names[:, 0] ^ np.uint64(chunks)) % np.uint64(chunks)).astype(np.int64)
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = np.zeros(0, np.uint64)
         for batch in batches:
-            a, b, data = (c.to_pylist() for c in batch.columns)
-            keep = []
-            for k, other in enumerate(b):
-                numbers = np.frombuffer(data[k], np.uint64)
-                if other is None:
-                    mine = numbers
-                    continue
-                at = np.searchsorted(mine, numbers)
-                at[at == len(mine)] = 0
-                shared = int((mine[at] == numbers).sum())
-                if 100 * shared >= least * (len(mine) + len(numbers) - shared):
-                    keep.append(k)
-            yield pa.RecordBatch.from_arrays([pa.array([a[k] for k in keep], pa.binary()), pa.array([b[k] for k in keep], pa.binary())], ["a", "b"])
+            tiles, packed_, wanted = [], [], set()
+            for a, bs, root, m in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                chunks = -(-m // CHUNK)
+                b = np.frombuffer(bs, ">u8").reshape(-1, 2).astype(np.uint64)
+                i = int(chunk(np.frombuffer(a, ">u8").reshape(1, 2).astype(np.uint64), chunks)[0])
+                j = chunk(b, chunks)
+                for k in np.unique(j).tolist():
+                    tile = root + np.array([min(i, k), max(i, k)], ">u4").tobytes()
+                    mine = np.frombuffer(bs, "V16")[j == k]
+                    tiles.append(tile)
+                    packed_.append(a + mine.tobytes())
+                    wanted.update((tile, x) for x in (a, *mine.tolist()))
+            n, m = len(tiles), len(wanted)
+            names = sorted(wanted)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([*tiles, *(t for t, _ in names)], pa.binary()), pa.array([*[None] * n, *(bytes(c) for _, c in names)], pa.binary()), pa.array([*packed_, *[None] * m], pa.binary())],
+                ["tile", "c", "pairs"],
+            )
+
+    rows = pairs.join(groups, pairs["a"] == groups["c"]).select("a", "bs", "root", "m")
+    return rows.mapInArrow(work, "tile binary, c binary, pairs binary")
+
+
+def _linked(tiles: DataFrame, needed: DataFrame, sets: DataFrame, least: int, parts: int) -> DataFrame:
+    """Links among the tiles' pairs: (part, a, b) of each task's forest, and
+    (a, linked): rows of other classes that a class links with."""
+    small = needed.count() <= BROADCAST_ROWS
+    needed = sets.join(F.broadcast(needed) if small else needed, "c").select("tile", "c", "copies", "numbers")
+    listed = tiles.where("c is null").select("tile", "c", F.lit(0).cast("long").alias("copies"), F.col("pairs").alias("numbers"))
+    dealt = listed.union(needed).repartition(parts, "tile").sortWithinPartitions("tile", F.col("c").asc_nulls_first())
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part = partition_id()
+
+        def compare(listed: list[bytes], own: dict[bytes, tuple[int, np.ndarray]]) -> pa.RecordBatch:
+            a, b, linked = [], [], dict[bytes, int]()
+            for row in listed:
+                x, (copies, mine) = row[:16], own[row[:16]]
+                for at in range(16, len(row), 16):
+                    y = row[at : at + 16]
+                    more, numbers = own[y]
+                    small, large = (mine, numbers) if len(mine) < len(numbers) else (numbers, mine)
+                    place = np.searchsorted(large, small)
+                    place[place == len(large)] = 0
+                    shared = int((large[place] == small).sum())
+                    if 100 * shared >= least * (len(mine) + len(numbers) - shared):
+                        a.append(x)
+                        b.append(y)
+                        linked[x] = linked.get(x, 0) + more
+                        linked[y] = linked.get(y, 0) + copies
+            others, smallest = stars(np.array(a, "V16"), np.array(b, "V16"))
+            n, m = len(others), len(linked)
+            return pa.RecordBatch.from_arrays(
+                [pa.array([part] * n + [None] * m, pa.int32()), pa.array([*map(bytes, others.tolist()), *linked], pa.binary()),
+                 pa.array([*map(bytes, smallest.tolist()), *[None] * m], pa.binary()), pa.array([None] * n + list(linked.values()), pa.int64())],
+                ["part", "a", "b", "linked"],
+            )
+
+        last, listed, own = None, [], {}
+        for batch in batches:
+            for tile, c, copies, numbers in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                if tile != last:
+                    if listed:
+                        yield compare(listed, own)
+                    last, listed, own = tile, [], {}
+                if c is None:
+                    listed.append(numbers)
+                else:
+                    own[c] = (copies, np.frombuffer(numbers, np.uint64))
+        if listed:
+            yield compare(listed, own)
 
-    return both.mapInArrow(work, "a binary, b binary")
+    return dealt.mapInArrow(work, "part int, a binary, b binary, linked long")
 
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:
@@ -445,31 +611,40 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     if len(counts):
         levels = np.floor(4 * np.log2(counts.astype(np.float64) + 1)).astype(np.uint8)
     levels = spark.sparkContext.broadcast(levels)
-    sets = read.where("part is null").select("doc_id", "n", "c")
+    sets = read.where("part is null").select("doc_id", "n", "c", "a")
     classes = stage(
-        sets.where("n > 0").groupBy("c").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "join-classes"
+        sets.where("n > 0").groupBy("c", "a").agg(F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "join-classes"
     )
     blocks = stage(_blocks(docs, words, least, levels, parts), "join-blocks")
-    wanted = stage(classes.join(blocks.select("c").distinct(), "c", "left_semi").select("first_id"), "join-wanted")
+    wanted = stage(classes.join(blocks.select("a").distinct(), "a", "left_semi").select("first_id"), "join-wanted")
     known, bits = _known(spark, wanted)
-    found = stage(_candidates(docs, words, known, bits).dropDuplicates(["c"]), "join-candidates")
-    tiles = blocks.join(found.select("c", "bitmap"), "c").select("block", "tile", "side", "n", "c", "bitmap")
+    found = stage(_candidates(docs, words, known, bits), "join-candidates")
+    maps = found.select("a", "c", "bitmap").dropDuplicates(["c"])
+    tiles = blocks.join(maps, "a").select("block", "tile", "side", "n", "c", "bitmap")
     dealt = tiles.repartition(parts, "block", "tile").sortWithinPartitions("block", "tile", "n", "c")
     pairs = stage(_pairs(dealt, least, parts), "join-pairs")
-    links = stage(_linked(pairs, found.select("c", "numbers"), least, parts), "join-links")
-    return _result(sets, classes, links)
+    groups = _groups(merged_forests(pairs.where("b is not null").select("part", "a", "b"), parts, "join-pair-forest"))
+    dealt = stage(_tiles(pairs.where("bs is not null").select("a", "bs"), groups), "join-tiles")
+    needed = dealt.where("c is not null").select("tile", "c").distinct().join(classes.select("c", "copies"), "c")
+    links = stage(_linked(dealt, stage(needed, "join-needed"), found.select("c", "numbers"), least, parts), "join-links")
+    edges = merged_forests(links.where("b is not null").select("part", "a", "b"), parts, "join-link-forest")
+    degree = links.where("linked is not null").groupBy(F.col("a").alias("c")).agg(F.sum("linked").alias("linked"))
+    return _result(sets, classes, components(edges), stage(degree, "join-degrees"))
 
 
-def _result(sets: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
-    roots = components(links)
-    both = links.union(links.select("b", "a")).toDF("c", "other")
-    others = classes.select(F.col("c").alias("other"), "copies")
-    degree = both.join(others, "other").groupBy("c").agg(F.sum("copies").alias("linked"))
+def _groups(edges: DataFrame) -> DataFrame:
+    """(c, root, m): each class's group of connected pairs, and its classes."""
+    roots = components(edges, "join-groups")
+    sizes = stage(roots.groupBy("root").agg(F.count(F.lit(1)).alias("m")), "join-group-sizes")
+    return stage(roots.join(sizes, "root").select("c", "root", "m"), "join-groups")
+
+
+def _result(sets: DataFrame, classes: DataFrame, roots: DataFrame, degree: DataFrame) -> DataFrame:
     named = roots.join(classes.select("c", "first_id"), "c")
     least_id = stage(named.groupBy("root").agg(F.min("first_id").alias("component_id")), "join-named")
     of_class = stage(
         classes.join(stage(roots.join(least_id, "root").select("c", "component_id"), "join-roots"), "c", "left")
-        .join(stage(degree, "join-degrees"), "c", "left")
+        .join(degree, "c", "left")
         .select(
             "c",
             F.coalesce("component_id", "first_id").alias("component_id"),
@@ -482,6 +657,30 @@ def _result(sets: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
     return linked.union(alone).withColumnRenamed("n", "n_shingles")
 
 
+def representatives(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
+    """One row of each group of linked rows, with its columns: that of the
+    smallest doc_id. Rows that share a doc_id are one document; rows without one
+    stay. Only rows that a filter of the dropped or repeated ids lets through
+    are shuffled, to be looked up exactly; the others stay where they are."""
+    spark = docs.sparkSession
+    found = join(docs, words, least).where("doc_id is not null")
+    of_id = found.groupBy("doc_id").agg(F.min("component_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
+    odd = stage(of_id.where("first_id <> doc_id or n > 1"), "join-odd")
+    known, bits = _known(spark, odd.select("doc_id"))
+
+    @F.pandas_udf("boolean")
+    def listed(ids: pd.Series) -> pd.Series:
+        held = np.unpackbits(known.value).astype(bool)
+        x = ids.fillna(0).to_numpy(np.int64).view(np.uint64)
+        return pd.Series(np.all([held[spread(x + np.uint64(k)) % np.uint64(bits)] for k in range(3)], axis=0) & ids.notna().to_numpy())
+
+    rows = docs.select(F.struct("*").alias("row"), docs["doc_id"].alias("id"), listed(docs["doc_id"]).alias("maybe"))
+    dropped = odd.select(F.col("doc_id").alias("id"), (F.col("first_id") != F.col("doc_id")).alias("gone"))
+    exact = rows.where("maybe").join(dropped, "id", "left").where(~F.coalesce("gone", F.lit(False)))
+    one = exact.groupBy("id").agg(F.min_by("row", F.xxhash64("row.text")).alias("row"))
+    return rows.where(~F.col("maybe")).select("row.*").union(one.select("row.*"))
+
+
 def op5_signature_tree_join(spark, folder: str) -> DataFrame:
     """Per document: size of its shingle set and its component of links."""
     return join(table(spark, folder, "documents"))
