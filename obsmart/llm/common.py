@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
+import gc
 import tempfile
 import zipfile
 from collections.abc import Iterator
@@ -19,7 +22,7 @@ from obsmart.session import fresh_dir
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 #: Text handled at once inside a task, in bytes.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 3 << 20
 
 
 _SHIPPED: set[str] = set()
@@ -86,6 +89,16 @@ def texts(column: pa.Array) -> pa.Array:
     return column.fill_null("") if column.null_count else column
 
 
+def given_back(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The batches of a task; when it ends, memory that its arrays no longer use
+    goes back to the system, for Python workers live on beside the next stage."""
+    yield from batches
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
 def partition_id() -> int:
     context = TaskContext.get()
     return context.partitionId() if context else 0

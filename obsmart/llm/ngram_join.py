@@ -45,7 +45,7 @@ import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from obsmart.llm.common import partition_id, partitions, ship_code, slices, stage, table
+from obsmart.llm.common import given_back, partition_id, partitions, ship_code, slices, stage, table
 from obsmart.llm.shingles import digests, shingle_sets, spread
 
 WORDS, LEAST = 4, 85
@@ -79,6 +79,10 @@ def prefix_sizes(sizes: np.ndarray, least: int) -> np.ndarray:
     return np.where(sizes > 0, sizes - -(-least * sizes // 100) + 1, 0)
 
 
+def freed(work: Callable) -> Callable:
+    return lambda batches: given_back(work(batches))
+
+
 def early_sizes(sizes: np.ndarray, least: int) -> np.ndarray:
     """How many first shingles of each set a partner that is as large must meet."""
     return np.where(sizes > 0, sizes - -(-2 * least * sizes // (100 + least)) + 1, 0)
@@ -114,7 +118,7 @@ def added_up(rows: DataFrame, kind: str, how: Callable) -> np.ndarray:
             columns = [pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["part", "data"])
 
-    summed = rows.repartitionById(PARTS, F.col("part")).mapInArrow(work, "part int, data binary").collect()  # PARTS rows
+    summed = rows.repartitionById(PARTS, F.col("part")).mapInArrow(freed(work), "part int, data binary").collect()  # PARTS rows
     return np.concatenate([np.frombuffer(r.data, kind) for r in sorted(summed, key=lambda r: r.part)]) if summed else np.zeros(0, kind)
 
 
@@ -223,7 +227,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                 [*[pa.nulls(PARTS, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.int64())], pa.array(range(PARTS), pa.int32()), pa.array(pieces, pa.binary())], names
             )
 
-    return docs.mapInArrow(work, "doc_id long, n long, c binary, a long, part int, data binary")
+    return docs.mapInArrow(freed(work), "doc_id long, n long, c binary, a long, part int, data binary")
 
 
 def _blocks(docs: DataFrame, words: int, least: int, levels, parts: int) -> DataFrame:
@@ -324,8 +328,8 @@ def _blocks(docs: DataFrame, words: int, least: int, levels, parts: int) -> Data
                     side[len(low) :] = 1
                     yield out(both, np.full(len(both), i * len(cuts) + j), side)
 
-    dealt = docs.select("text").mapInArrow(put, "part int, data binary").repartitionById(parts, F.col("part"))
-    return dealt.mapInArrow(get, "block long, tile long, side int, a long, n long")
+    dealt = docs.select("text").mapInArrow(freed(put), "part int, data binary").repartitionById(parts, F.col("part"))
+    return dealt.mapInArrow(freed(get), "block long, tile long, side int, a long, n long")
 
 
 def _known(spark: SparkSession, ids: DataFrame) -> tuple[object, int]:
@@ -341,7 +345,7 @@ def _known(spark: SparkSession, ids: DataFrame) -> tuple[object, int]:
         pieces = [p.tobytes() for p in np.split(np.packbits(held), PARTS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(pieces, pa.binary())], ["part", "data"])
 
-    table_ = added_up(ids.mapInArrow(work, "part int, data binary"), "u1", np.bitwise_or)
+    table_ = added_up(ids.mapInArrow(freed(work), "part int, data binary"), "u1", np.bitwise_or)
     return spark.sparkContext.broadcast(table_), bits
 
 
@@ -367,7 +371,7 @@ def _candidates(docs: DataFrame, words: int, known, bits: int) -> DataFrame:
                     ["c", "a", "n", "bitmap", "numbers"],
                 )
 
-    return docs.select("doc_id", "text").mapInArrow(work, "c binary, a long, n long, bitmap binary, numbers binary")
+    return docs.select("doc_id", "text").mapInArrow(freed(work), "c binary, a long, n long, bitmap binary, numbers binary")
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -410,7 +414,7 @@ def merged_forests(edges: DataFrame, parts: int, label: str) -> DataFrame:
 
     few = max(1, -(-parts // MERGED))
     dealt = edges.repartitionById(few, F.pmod("part", F.lit(few))).select("a", "b")
-    return stage(dealt.mapInArrow(work, "a binary, b binary"), label)
+    return stage(dealt.mapInArrow(freed(work), "a binary, b binary"), label)
 
 
 def _pairs(tiles: DataFrame, least: int, parts: int) -> DataFrame:
@@ -492,8 +496,8 @@ def _pairs(tiles: DataFrame, least: int, parts: int) -> DataFrame:
         n = len(others)
         yield pa.RecordBatch.from_arrays([pa.array(np.full(n, part, np.int32)), binary(others), binary(smallest), pa.nulls(n, pa.binary())], ["part", "a", "b", "bs"])
 
-    dealt = tiles.mapInArrow(work, "part int, data binary").repartitionById(parts, F.col("part"))
-    return dealt.mapInArrow(distinct, "part int, a binary, b binary, bs binary")
+    dealt = tiles.mapInArrow(freed(work), "part int, data binary").repartitionById(parts, F.col("part"))
+    return dealt.mapInArrow(freed(distinct), "part int, a binary, b binary, bs binary")
 
 
 def _tiles(pairs: DataFrame, groups: DataFrame) -> DataFrame:
@@ -525,7 +529,7 @@ def _tiles(pairs: DataFrame, groups: DataFrame) -> DataFrame:
             )
 
     rows = pairs.join(groups, pairs["a"] == groups["c"]).select("a", "bs", "root", "m")
-    return rows.mapInArrow(work, "tile binary, c binary, pairs binary")
+    return rows.mapInArrow(freed(work), "tile binary, c binary, pairs binary")
 
 
 def _linked(tiles: DataFrame, needed: DataFrame, sets: DataFrame, least: int, parts: int) -> DataFrame:
@@ -577,7 +581,7 @@ def _linked(tiles: DataFrame, needed: DataFrame, sets: DataFrame, least: int, pa
         if listed:
             yield compare(listed, own)
 
-    return dealt.mapInArrow(work, "part int, a binary, b binary, linked long")
+    return dealt.mapInArrow(freed(work), "part int, a binary, b binary, linked long")
 
 
 def components(links: DataFrame, label: str = "components") -> DataFrame:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsmart.llm.common import partition_id, ship_code, slices, table
+from obsmart.llm.common import given_back, partition_id, ship_code, slices, table
 from obsmart.llm.tokens import encoder, tokenizer_path
 
 WINDOW = 4096
@@ -166,7 +166,7 @@ def pack(docs: DataFrame, tokenizer: str | None = None, window: int = WINDOW) ->
             yield close(block)
 
     schema = "doc_id long, start long, length long, ids binary, doc_tokens long, sequence_id long, offset long"
-    return docs.select("doc_id", "text").mapInArrow(work, schema)
+    return docs.select("doc_id", "text").mapInArrow(lambda batches: given_back(work(batches)), schema)
 
 
 def op6_karmarkar_karp_packing(spark, folder: str) -> DataFrame:

@@ -37,7 +37,7 @@ class WordEncoder:
     #: these alone need no more than the tokenizer's byte spelling and merges.
     PLAIN = "^[a-zß-öø-ÿ]+$"
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str, cache_words: int = 250_000):
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)

@@ -30,7 +30,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from obsmart.llm.common import offsets, partitions, ship_code, slices, stage
+from obsmart.llm.common import given_back, offsets, partitions, ship_code, slices, stage
 from obsmart.llm.tokens import encoder, tokenizer_path
 from obsmart.session import fresh_dir
 
@@ -237,7 +237,7 @@ def write(docs: DataFrame, folder: str, tokenizer: str | None = None, shard_ids:
                     yield from close()
         yield from close()
 
-    coded = docs.mapInArrow(encode, "part int, doc_id long, n long, ids binary")
+    coded = docs.mapInArrow(lambda batches: given_back(encode(batches)), "part int, doc_id long, n long, ids binary")
     dealt = coded.repartitionById(max(1, len(bounds) + 1), F.col("part")).sortWithinPartitions("part", "doc_id", "n", "ids")
     store, root = pafs.FileSystem.from_uri(folder)
     store.create_dir(root)
