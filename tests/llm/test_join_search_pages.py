@@ -119,6 +119,24 @@ def test_wrapper_tells_template_from_content(spark):
     assert html_wrapper.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_copies_and_shared_titles_take_no_text_from_other_pages(spark):
+    def page(i, title, tail=""):
+        return f"<html><body><div class=top>Welcome</div><div class=x1><h1>{title}</h1><p>Body {i}</div>{tail}</body>"
+
+    def article(i, title):
+        return f"<html><body><main><h1>{title}</h1><p>Body {i}</main></body>"
+
+    rows = [(i, "http://copies.example/", page("copied", "Home")) for i in range(85)]
+    rows += [(i, f"http://copies.example/{i}", page(i, f"Title {i}", f"<table><tr><td>cell {i}</td></tr></table>")) for i in range(85, 100)]
+    rows += [(200 + i, f"http://titles.example/{i}", page(i, "Same" if i < 85 else f"Own {i}")) for i in range(100)]
+    rows += [(400 + i, f"http://main.example/{i}", article(i, "Same")) for i in range(20)]
+    got = {r.page_id: r.text for r in html_wrapper.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert all(got[i] == "Home\nBody copied" for i in range(85))
+    assert all(got[i] == f"Title {i}\nBody {i}\ncell {i}" for i in range(85, 100))
+    assert all(got[200 + i] == (f"Body {i}" if i < 85 else f"Own {i}\nBody {i}") for i in range(100))
+    assert all(got[400 + i] == f"Same\nBody {i}" for i in range(20))
+
+
 def test_dropped_elements_and_broken_markup():
     def texts(page):
         return [b[1] for b in page_tree.shaped(page_tree.tree(page))[1]]
