@@ -108,10 +108,16 @@ def place(keys: np.ndarray, node: Node) -> np.ndarray:
     return out
 
 
-def shard(docs: DataFrame, shards: int = SHARDS, label: str = "shards") -> DataFrame:
-    """(doc_id, size, text_crc32, shard, grown_shard, slot)."""
+def shard(
+    docs: DataFrame, shards: int = SHARDS, label: str = "shards", first: int = SHARDS, weights: dict[int, float] | None = None
+) -> DataFrame:
+    """(doc_id, size, text_crc32, shard, grown_shard, slot). ``first`` is the size
+    of the first tree and stays the same when shards are added, so that
+    grown_shard is the shard of a call with one shard more."""
+    if shards < first:
+        raise ValueError(f"{shards} shards are fewer than the {first} of the first tree; name its size in first")
     ship_code(docs.sparkSession)
-    now, grown = tree(shards, shards), tree(shards + 1, shards)
+    now, grown = tree(shards, first, weights), tree(shards + 1, first, weights)
     bytes_ = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     narrow = docs.select("doc_id", (F.octet_length(bytes_) + OVERHEAD).cast("long").alias("size"), F.crc32(bytes_).alias("text_crc32"))
 

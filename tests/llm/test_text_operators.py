@@ -152,6 +152,20 @@ def test_growing_moves_keys_into_the_new_shard_alone():
         before = after
 
 
+def test_one_shard_more_is_what_was_announced(docs, odd):
+    def column(df, name, *args, **more):
+        return sorted((r.doc_id is None, r.doc_id, r.text_crc32, r[name]) for r in sharding.shard(df, *args, **more).collect())
+
+    for df in (docs, odd.where("doc_id is not null")):
+        for n in (40, 41):
+            assert column(df, "shard", n + 1) == column(df, "grown_shard", n)
+    weights = {3: 3.0, 8: 20.0}
+    grown = column(docs, "grown_shard", 8, first=8, weights=weights)
+    assert column(docs, "shard", 9, first=8, weights=weights) == grown and sum(r[3] == 8 for r in grown) > len(grown) / 2
+    with pytest.raises(ValueError, match="first"):
+        sharding.shard(docs, 8)
+
+
 def test_a_heavier_shard_takes_from_the_others_in_proportion():
     keys = np.arange(40_000, dtype=np.int64).view(np.uint64)
     counts = np.bincount(sharding.place(keys, sharding.tree(8, 8, {3: 3.0})), minlength=8)
