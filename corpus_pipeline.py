@@ -24,9 +24,9 @@ def quality(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """One document of each group of linked documents: the one with the smallest
-    doc_id. Documents without words are groups of their own; of rows that
-    repeat the doc_id of a group's first, one stays for each."""
+    """One row of each group of linked documents: the one with the smallest
+    doc_id, whether ids repeat or are missing. Documents without words are
+    groups of their own."""
     return ngram_join.representatives(docs, WORDS, LEAST)
 
 

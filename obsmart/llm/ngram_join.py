@@ -44,8 +44,9 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from obsmart.llm.common import given_back, partition_id, partitions, ship_code, slices, stage, table
+from obsmart.llm.common import WORD, given_back, partition_id, partitions, ship_code, slices, stage, table
 from obsmart.llm.shingles import digests, shingle_sets, spread
 
 WORDS, LEAST = 4, 85
@@ -617,6 +618,14 @@ def components(links: DataFrame, label: str = "components") -> DataFrame:
 def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     """(doc_id, n_shingles, component_id, n_links) of every row; n_links counts
     the other rows that it links with."""
+    sets, classes, roots, links = _classes(docs, words, least)
+    degree = links.where("linked is not null").groupBy(F.col("a").alias("c")).agg(F.sum("linked").alias("linked"))
+    return _result(sets, classes, roots, stage(degree, "join-degrees"))
+
+
+def _classes(docs: DataFrame, words: int, least: int) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """The rows' sets, their classes, the root of each class in a link, and the
+    compared tiles with the numbers of links."""
     docs = docs.select("doc_id", "text")
     spark = docs.sparkSession
     ship_code(spark)
@@ -644,8 +653,7 @@ def join(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     needed = dealt.where("c is not null").select("tile", "c").distinct().join(classes.select("c", "copies"), "c")
     links = stage(_linked(dealt, stage(needed, "join-needed"), found.select("c", "numbers"), least, parts), "join-links")
     edges = merged_forests(links.where("b is not null").select("part", "a", "b"), parts, "join-link-forest")
-    degree = links.where("linked is not null").groupBy(F.col("a").alias("c")).agg(F.sum("linked").alias("linked"))
-    return _result(sets, classes, components(edges), stage(degree, "join-degrees"))
+    return sets, classes, components(edges), links
 
 
 def _groups(edges: DataFrame) -> DataFrame:
@@ -675,25 +683,52 @@ def _result(sets: DataFrame, classes: DataFrame, roots: DataFrame, degree: DataF
 
 def representatives(docs: DataFrame, words: int = WORDS, least: int = LEAST) -> DataFrame:
     """One row of each group of linked rows, with its columns: that of the
-    smallest doc_id. Rows that share a doc_id are one document; rows without one
-    stay. Only rows that a filter of the dropped or repeated ids lets through
-    are shuffled, to be looked up exactly; the others stay where they are."""
+    smallest doc_id (null is larger than any other), then of the smallest class,
+    then of the smallest hash of the row. Rows without words are groups of
+    their own. Ids need not be distinct: rows are told apart by id and class.
+    Rows whose id a filter of the dropped or repeated rows' ids lets through are
+    given their class again, and only those that a filter of the staying ids and
+    classes lets through are shuffled, to be looked up exactly."""
     spark = docs.sparkSession
-    found = join(docs, words, least).where("doc_id is not null")
-    of_id = found.groupBy("doc_id").agg(F.min("component_id").alias("first_id"), F.count(F.lit(1)).alias("n"))
-    odd = stage(of_id.where("first_id <> doc_id or n > 1"), "join-odd")
-    known, bits = _known(spark, odd.select("doc_id"))
+    sets, classes, roots, _ = _classes(docs, words, least)
+    named = roots.join(classes.select("c", "first_id"), "c")
+    best = named.groupBy("root").agg(F.min(F.struct(F.col("first_id").isNull().alias("none"), "first_id", "c")).alias("best"))
+    lost = stage(named.join(stage(best, "join-best"), "root").where("c <> best.c").select("c"), "join-lost")
+    odd = lost.union(classes.where("copies > 1").select("c")).distinct()
+    odd_ids = stage(sets.where("n > 0").join(odd, "c", "left_semi").select("doc_id").where("doc_id is not null").distinct(), "join-odd")
+    known, bits = _known(spark, odd_ids)
 
     @F.pandas_udf("boolean")
     def listed(ids: pd.Series) -> pd.Series:
         held = np.unpackbits(known.value).astype(bool)
         x = ids.fillna(0).to_numpy(np.int64).view(np.uint64)
-        return pd.Series(np.all([held[spread(x + np.uint64(k)) % np.uint64(bits)] for k in range(3)], axis=0) & ids.notna().to_numpy())
+        return pd.Series(np.all([held[spread(x + np.uint64(k)) % np.uint64(bits)] for k in range(3)], axis=0) | ids.isna().to_numpy())
+
+    def named_row(c: str, doc_id: str):
+        return F.concat(F.col(c), F.coalesce(F.col(doc_id).cast("string"), F.lit("~")).cast("binary"))
 
-    rows = docs.select(F.struct("*").alias("row"), docs["doc_id"].alias("id"), listed(docs["doc_id"]).alias("maybe"))
-    dropped = odd.select(F.col("doc_id").alias("id"), (F.col("first_id") != F.col("doc_id")).alias("gone"))
-    exact = rows.where("maybe").join(dropped, "id", "left").where(~F.coalesce("gone", F.lit(False)))
-    one = exact.groupBy("id").agg(F.min_by("row", F.xxhash64("row.text")).alias("row"))
+    staying = classes.join(lost, "c", "left_anti").where(listed("first_id"))
+    mixed = F.col("a").bitwiseXOR(F.coalesce("first_id", F.lit(-1)))
+    staying = stage(staying.select(named_row("c", "first_id").alias("k"), mixed.alias("x")), "join-staying")
+    wanted, wanted_bits = _known(spark, staying.select("x"))
+
+    def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = np.unpackbits(wanted.value).astype(bool)
+        for batch in batches:
+            ids = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+            for first, text in slices(batch.column(0).field("text"), TEXT_BYTES):
+                names = digests(*shingle_sets(text, words))
+                x = names[:, 0] ^ ids[first : first + len(text)]
+                may_stay = pa.array(np.all([held[spread(x + np.uint64(k)) % np.uint64(wanted_bits)] for k in range(3)], axis=0))
+                part = batch.slice(first, len(text))
+                columns = [c.filter(may_stay) for c in (part.column(0), part.column(1), key(names))]
+                yield pa.RecordBatch.from_arrays(columns, ["row", "id", "c"])
+
+    rows = docs.select(F.struct("*").alias("row"), docs["doc_id"].alias("id"))
+    rows = rows.withColumn("maybe", F.coalesce("row.text", F.lit("")).rlike(WORD) & listed("id"))
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("id", T.LongType()), T.StructField("c", T.BinaryType())])
+    found = rows.where("maybe").select("row", "id").mapInArrow(freed(classed), schema).withColumn("k", named_row("c", "id"))
+    one = found.groupBy("k").agg(F.min_by("row", F.xxhash64("row")).alias("row")).join(staying, "k", "left_semi")
     return rows.where(~F.col("maybe")).select("row.*").union(one.select("row.*"))
 
 

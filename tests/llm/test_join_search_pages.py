@@ -72,6 +72,18 @@ def test_one_row_of_each_group_stays_with_its_columns(spark, odd, none):
     assert sorted(r.doc_id for r in kept.collect()) == sorted(i for i, v in linked(rows, 5, 80).items() if v[1] == i)
 
 
+def test_one_row_of_each_group_stays_whatever_its_ids(spark):
+    draw = random.Random(11)
+    a, b, c, d = (" ".join(f"{g}{draw.randrange(10**6)}" for _ in range(40)) for g in "abcd")
+    rows = [(3, a), (5, a), (5, b), (7, b), (None, c), (None, c), (None, c + " tail"), (None, d), (9, d), (11, "x y z"), (11, "p q r"), (12, ""), (12, None),
+            (13, "one two three"), (13, "one two three")]
+    kept = ngram_join.representatives(spark.createDataFrame(rows, "doc_id long, text string"), 5, 80).collect()
+    got = sorted(((r.doc_id or 0, r.text or "") for r in kept))
+    null = [t for i, t in got if i == 0]
+    assert len(null) == 1 and null[0] in (c, c + " tail")
+    assert [x for x in got if x[0]] == [(3, a), (5, b), (9, d), (11, "p q r"), (11, "x y z"), (12, ""), (12, ""), (13, "one two three")]
+
+
 # --- top-k search ------------------------------------------------------------------
 def test_search_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk_search, "GROUP_QUERIES", 2)
