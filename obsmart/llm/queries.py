@@ -22,7 +22,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
-    "op1_quality_cascade": quality_rules.op1_quality_cascade,
     "op1_quality_cascade": quality_rules.OP1_SQL,
     "op2_voronoi_top_k": topk_search.OP2_SQL,
     "op3_source_mix": mixing.OP3_SQL,
