@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmart.llm import html_wrapper, license_scan, mixing, ngram_join, packing, quality_rules, sharding, topk_search, warc, wavelet
+from obsmart.llm import (
+    fill_middle, html_wrapper, license_scan, mixing, ngram_join, packing, quality_rules, sharding, topk_search, warc, wavelet,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_cascade": quality_rules.op1_quality_cascade,
@@ -19,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc_index": warc.op8_warc_index,
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_wavelet_matrix": wavelet.op10_wavelet_matrix,
+    "op11_fenwick_fill_middle": fill_middle.op11_fenwick_fill_middle,
 }
 
 ORACLES: dict[str, str] = {
@@ -27,4 +30,5 @@ ORACLES: dict[str, str] = {
     "op3_source_mix": mixing.OP3_SQL,
     "op7_license_scan": license_scan.OP7_SQL,
     "op8_warc_index": warc.OP8_SQL,
+    "op11_fenwick_fill_middle": fill_middle.OP11_SQL,
 }
