@@ -34,7 +34,7 @@ from itertools import combinations, permutations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsmart.llm.common import given_back, ship_code, slices, table, texts
@@ -74,14 +74,11 @@ def scan(data: np.ndarray, start: np.ndarray) -> dict[str, np.ndarray]:
     before = np.empty(len(state) + 1, np.uint8)  # the state in which each byte is met
     before[1:] = state
     before[start] = BETWEEN  # every text begins between words
-    step = STEPS[before[:-1], state]
-    opens = np.flatnonzero(step == 1)
-    # a word ends where the next byte closes it, or with its text
-    inside = state == INSIDE
-    ends = inside.copy()
-    ends[:-1] &= before[1:-1] != state[1:]
-    ends[start[1:][start[1:] > start[:-1]] - 1] |= inside[start[1:][start[1:] > start[:-1]] - 1]
-    closes = np.flatnonzero(ends) + 1
+    opens = np.flatnonzero(STEPS[before[:-1], state] == 1)
+    after = np.empty(len(state), np.uint8)  # the state that each byte is left for
+    after[:-1] = state[1:]
+    after[start[1:][start[1:] > start[:-1]] - 1] = BETWEEN
+    closes = np.flatnonzero(STEPS[state, after] == -1) + 1
     text = np.searchsorted(start, opens, side="right") - 1
     return {
         "words": np.bincount(text, minlength=n),
@@ -190,13 +187,17 @@ def failed_by_text() -> Column:
 
 
 def labelled(rows: DataFrame, labels: DataFrame) -> DataFrame:
-    """Add ``good`` and ``toxic`` to rows with a doc_id. The rows are counts of
-    equal documents by then, and each doc_id has at most one label row."""
-    by_id = labels.where(F.col("doc_id").isNotNull()).groupBy("doc_id").agg(
+    """Add ``good`` and ``toxic`` to rows with a doc_id and a digest. The rows are
+    counts of equal documents by then, and each doc_id has at most one label
+    row. Rows without a doc_id match nothing; they are dealt by their digest."""
+    by_id = labels.where(F.col("doc_id").isNotNull()).groupBy(F.col("doc_id").alias("_id")).agg(
         F.coalesce(F.max("quality") == 1, F.lit(False)).alias("good"), F.coalesce(F.max("toxic") == 1, F.lit(False)).alias("toxic")
     )
-    found = rows.join(by_id.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id"), "left").drop("_id")
-    return found.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("good", "toxic")})
+    none = F.lit(b"")
+    rows = rows.withColumn("_spread", F.when(F.col("doc_id").isNull(), F.col("digest")).otherwise(none))
+    by_id = by_id.withColumn("_none", none)
+    found = rows.join(by_id, (F.col("doc_id") == F.col("_id")) & (F.col("_spread") == F.col("_none")), "left")
+    return found.drop("_id", "_spread", "_none").withColumns({c: F.coalesce(c, F.lit(False)) for c in ("good", "toxic")})
 
 
 def failure_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -212,17 +213,14 @@ def failure_counts(docs: DataFrame, labels: DataFrame) -> DataFrame:
         F.sum("n").alias("n"), smallest, F.sum(F.when(F.col("doc_id").isNull(), F.col("n"))).alias("nameless"),
         F.min_by("n", "doc_id").alias("at_first"),
     )
-    # what is left of a digest is one entry for each part and label
-    entry = F.struct("part", "mask", "good", "toxic", "n", "first", "nameless", "at_first")
-    whole = groups.groupBy("digest").agg(F.collect_list(entry).alias("entries"), F.min("first").alias("least"))
-    each = whole.select("least", F.inline("entries"))
+    each = groups.withColumn("least", F.min("first").over(Window.partitionBy("digest")))  # a few rows a digest
     fine = F.coalesce("nameless", F.lit(0)) + F.when(F.col("first") == F.col("least"), F.col("at_first")).otherwise(0)
     copy = 1 << FILTERS.index("E")
     split = F.array(
         F.struct(F.col("mask").alias("mask"), fine.alias("n")),
         F.struct((F.col("mask") + copy).cast("int").alias("mask"), (F.col("n") - fine).alias("n")),
     )
-    rows = each.select("part", "good", "toxic", F.inline(split)).where("n > 0 OR mask < 16")
+    rows = each.select("part", "good", "toxic", F.inline(split)).where("n > 0")
     return rows.groupBy("part", "mask").agg(
         F.sum("n").alias("n"), F.sum(F.when(F.col("good"), F.col("n")).otherwise(0)).alias("good"),
         F.sum(F.when(F.col("toxic"), F.col("n")).otherwise(0)).alias("toxic"),

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from obsmart.llm import (
-    fill_middle, html_wrapper, license_scan, mixing, ngram_join, packing, quality_rules, sharding, topk_search, warc, wavelet,
+    fill_middle, filter_audit, html_wrapper, license_scan, mixing, ngram_join, packing, quality_rules, sharding, topk_search, warc, wavelet,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_wavelet_matrix": wavelet.op10_wavelet_matrix,
     "op11_fenwick_fill_middle": fill_middle.op11_fenwick_fill_middle,
+    "op13_transducer_audit": filter_audit.op13_transducer_audit,
 }
 
 ORACLES: dict[str, str] = {
@@ -31,4 +32,5 @@ ORACLES: dict[str, str] = {
     "op7_license_scan": license_scan.OP7_SQL,
     "op8_warc_index": warc.OP8_SQL,
     "op11_fenwick_fill_middle": fill_middle.OP11_SQL,
+    "op13_transducer_audit": filter_audit.OP13_SQL,
 }
