@@ -119,6 +119,25 @@ def offsets(df: DataFrame, part: str, amount: str) -> DataFrame:
     return df.sparkSession.createDataFrame(rows, f"{part} int, part_start long")
 
 
+#: Rows of a key, in thousandths of all, from which it no longer goes through one task.
+HEAVY_SHARE = 1
+
+
+def met(left: DataFrame, right: DataFrame, keys: list[str], n: str, how: str = "inner") -> DataFrame:
+    """``left`` joined to ``right``, stored and with one row for each key, whose
+    column ``n`` says how many rows of ``left`` at most it meets. Keys with more
+    than a thousandth of all rows, so at most a thousand of them, are sent to
+    every task; all others are joined by Spark as it sees fit."""
+    total = right.agg(F.sum(n)).first()[0] or 0
+    limit = max(100, total * HEAVY_SHARE // 1000)
+    heavy = right.where(F.col(n) > limit)
+    if heavy.isEmpty():
+        return left.join(right, keys, how)
+    few = F.broadcast(heavy)  # a thousand rows at most: their n add up to no more than the total
+    rest = left.join(F.broadcast(heavy.select(*keys)), keys, "left_anti")
+    return left.join(few, keys, how).unionByName(rest.join(right.where(F.col(n) <= limit), keys, how))
+
+
 def numbered(df: DataFrame, order: list[str], label: str) -> DataFrame:
     """Add ``row_index``: the row's place in the whole order, from 0, without
     gaps. Range partitions are sorted and numbered side by side."""

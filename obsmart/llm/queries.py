@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from obsmart.llm import (
-    fill_middle, filter_audit, html_wrapper, license_scan, mixing, ngram_join, packing, quality_rules, sharding, topk_search, warc, wavelet,
+    fill_middle, filter_audit, html_wrapper, license_scan, mixing, ngram_join, packing, quality_rules,
+    repeated_spans, sharding, topk_search, warc, wavelet,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -22,6 +23,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_hash_tree_shards": sharding.op9_hash_tree_shards,
     "op10_wavelet_matrix": wavelet.op10_wavelet_matrix,
     "op11_fenwick_fill_middle": fill_middle.op11_fenwick_fill_middle,
+    "op12_debruijn_dedup": repeated_spans.op12_debruijn_dedup,
     "op13_transducer_audit": filter_audit.op13_transducer_audit,
 }
 
@@ -32,5 +34,6 @@ ORACLES: dict[str, str] = {
     "op7_license_scan": license_scan.OP7_SQL,
     "op8_warc_index": warc.OP8_SQL,
     "op11_fenwick_fill_middle": fill_middle.OP11_SQL,
+    "op12_debruijn_dedup": repeated_spans.OP12_SQL,
     "op13_transducer_audit": filter_audit.OP13_SQL,
 }
