@@ -17,7 +17,7 @@ from obsmart.plans.facts import FACTS
 from obsmart.plans.warehouse import PUBLISHED, Warehouse, load_start, refresh_fact
 from obsmart.quality import contract, data_tests, gate, runs
 from obsmart.sources import storage
-from obsmart.sources.landing import SIDE_BY_SIDE, ArchiveGuardError, as_day, offload, offload_registry, read_landed
+from obsmart.sources.landing import SIDE_BY_SIDE, ArchiveGuardError, Load, as_day, load, offload_registry, read_landed
 from obsmart.sources.tables import AUXILIARY, PRIMARY, raw_table
 
 
@@ -33,10 +33,13 @@ class DailyRun:
         params: Params = DEFAULTS,
         name: str = "daily",
         write_back: Callable[[int], None] | None = None,
+        read_day: Callable[[str, date], DataFrame] | None = None,
     ):
+        """``source`` gives a whole source table; ``read_day``, where it is given, only
+        what a load of one day needs (see ``jdbc.DaySource``)."""
         self.spark, self.source, self.registry, self.params, self.name = spark, source, registry, params, name
         self.raw_root, self.log, self.beats = f"{root}/raw", f"{root}/run_log", f"{root}/heartbeat"
-        self.pending, self.write_back = f"{root}/unpublished", write_back
+        self.pending, self.write_back, self.read_day = f"{root}/unpublished", write_back, read_day
         #: What went wrong beside the main branch of the last run.
         self.problems: list[str] = []
         self.lake = Lake(spark, f"{root}/lake")
@@ -45,12 +48,17 @@ class DailyRun:
     def instances(self) -> DataFrame:
         return self.registry().select(F.col("id").alias("instance_id"))
 
-    def land(self, first: str | date, last: str | date | None = None) -> int:
-        """Land the primary table, guarded."""
-        landed = offload(
-            self.spark, self.source(PRIMARY), PRIMARY, self.raw_root, first, last, self.instances()
-        ).agg(F.sum("landed_rows")).first()[0]
-        return landed or 0
+    def rows(self, name: str, day: date) -> DataFrame:
+        """The source rows of one table that a load of ``day`` picks from."""
+        return self.read_day(name, day) if self.read_day else self.source(name)
+
+    def land(self, name: str, day: date) -> Load:
+        """Land one table, guarded; its source is read once."""
+        return load(self.spark, self.rows(name, day), name, self.raw_root, day, None, self.instances())
+
+    def gate_load(self, landed: Load) -> DataFrame:
+        """The gate of what was just landed, from the counts the load took."""
+        return gate.evaluate_load(self.spark, landed, self.instances(), self.params)
 
     def land_auxiliary(self, day: date) -> list[str]:
         """Land and gate each auxiliary table and the registry on its own; what
@@ -58,8 +66,7 @@ class DailyRun:
 
         def one(name: str) -> str | None:
             try:
-                offload(self.spark, self.source(name), name, self.raw_root, day, None, self.instances())
-                gate.require_pass(self.gate(name, [day]))
+                gate.require_pass(self.gate_load(self.land(name, day)))
             except (ArchiveGuardError, gate.GateBlocked) as refused:
                 return f"{name}: {refused}"
             return None
@@ -88,8 +95,9 @@ class DailyRun:
         return oldest
 
     def gate(self, name: str, days: list[date]) -> DataFrame:
+        """The gate of days landed earlier: both sides are read."""
         return gate.evaluate(
-            self.spark, self.source(name), read_landed(self.spark, self.raw_root, name), self.instances(),
+            self.spark, self.source(name), read_landed(self.spark, self.raw_root, name, days=days), self.instances(),
             raw_table(name), days, self.params,
         )
 
@@ -108,10 +116,11 @@ class DailyRun:
         published stays as it was. What fails beside the main branch (auxiliary
         tables, writing back, the run log) is listed in ``problems``."""
         day, started = as_day(day), time.monotonic()
-        offloaded = self.land(day)
+        primary = self.land(PRIMARY, day)
         self.problems = self.land_auxiliary(day)
-        checks = self.gate(PRIMARY, [day])
+        checks = self.gate_load(primary)
         gate.require_pass(checks)
+        offloaded = primary.landed.agg(F.sum("landed_rows")).first()[0] or 0
         starts = {fact: load_start(self.warehouse, fact, day, full) for fact in FACTS}
         since = self.unpublished(starts)
         with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType
 
 from obsmart.quality.data_tests import not_null, row_rules
 
@@ -38,7 +38,7 @@ CHECKS = {"fct_query_daily": ["delta_calls >= 0", "delta_total_time_ms >= 0"]}
 
 def shape_problems(df: DataFrame, name: str) -> list[str]:
     """Names and types that differ from the contract; decided from the schema alone."""
-    promised = {f.name: f.dataType for f in _parse_datatype_string(CONTRACTS[name])}
+    promised = {f.name: f.dataType for f in StructType.fromDDL(CONTRACTS[name])}
     have = {f.name: f.dataType for f in df.schema}
     wrong = [f"{c}: missing" for c in promised if c not in have]
     wrong += [f"{c}: not promised" for c in have if c not in promised]
@@ -52,7 +52,7 @@ def shape_problems(df: DataFrame, name: str) -> list[str]:
 
 def value_violations(df: DataFrame, name: str) -> DataFrame:
     """(rule, violations) of the NOT NULL and CHECK clauses, in one pass."""
-    rules = {f"not_null({f.name})": not_null(f.name) for f in _parse_datatype_string(CONTRACTS[name]) if not f.nullable}
+    rules = {f"not_null({f.name})": not_null(f.name) for f in StructType.fromDDL(CONTRACTS[name]) if not f.nullable}
     rules.update({f"check({c})": ~F.expr(c) for c in CHECKS.get(name, [])})
     return row_rules(df, rules)
 

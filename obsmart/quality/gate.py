@@ -1,7 +1,7 @@
 """The gate between landing and transforming: four checks per table and day.
 
-Every check is a small aggregate per day. Nothing is transformed while one of
-them fails.
+All checks come from one count of the source and one sum of the landed rows by
+(day, instance). Nothing is transformed while one of them fails.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from pyspark.sql.types import StructType
 
 from obsmart.functions import hours_between
 from obsmart.params import DEFAULTS, Params
-from obsmart.sources.landing import expected_partitions, extract_days
+from obsmart.sources.landing import Load, expected_partitions, extract_days, summary
 from obsmart.sources.local import local_frame
 from obsmart.sources.tables import AXES, RawTable
 
@@ -82,10 +82,6 @@ def schema_drift(actual: StructType, declared: StructType) -> tuple[str, str]:
     return OK, f"{len(declared)} columns as declared"
 
 
-def _skipped(days: DataFrame) -> DataFrame:
-    return days.select("dt", F.lit(SKIP).alias("status"), F.lit("not required for this table").alias("detail"))
-
-
 def evaluate(
     spark: SparkSession,
     source: DataFrame,
@@ -97,64 +93,74 @@ def evaluate(
 ) -> DataFrame:
     """(dt, table_name, axis, status, detail) for every requested day and axis.
 
-    Axes the table is not held to are reported as skipped, not as passed.
+    The source is counted and the landed rows are summed up once, whatever the
+    number of axes. Axes the table is not held to are reported as skipped, not
+    as passed.
     """
-    day_rows = local_frame(spark, [(d,) for d in days], "dt DATE")
     inside = landed.where(F.col("dt").isin(days))
-    landed_rows = counts(inside, "landed_rows")
-    zero = F.lit(0)
-
-    def reconciliation() -> DataFrame:
-        both = reconcile(source_counts(source, table, days), landed_rows)
-        per_day = both.groupBy("dt").agg(
-            F.sum("source_rows").alias("s"), F.sum("landed_rows").alias("l"), F.count_if(~F.col("matches")).alias("bad")
-        )
-        bad = F.coalesce("bad", zero)
-        return day_rows.join(per_day, "dt", "left").select(
-            "dt",
-            F.when(bad > 0, FAIL).otherwise(OK).alias("status"),
-            F.format_string("source %d, landed %d, %d instances differ", F.coalesce("s", zero), F.coalesce("l", zero),
-                            bad).alias("detail"),
-        )
-
-    def completeness() -> DataFrame:
-        absent = missing_instances(landed_rows, expected_partitions(spark, registry, days))
-        per_day = absent.groupBy("dt").agg(F.count(F.lit(1)).alias("gone"))
-        gone = F.coalesce("gone", zero)
-        return day_rows.join(per_day, "dt", "left").select(
-            "dt",
-            F.when(gone > 0, FAIL).otherwise(OK).alias("status"),
-            F.format_string("%d instances missing", gone).alias("detail"),
-        )
-
-    def freshness() -> DataFrame:
-        joined = day_rows.join(newest_watermark(inside, table), "dt", "left")
-        newest_at = F.col("newest_at")
-        return joined.select(
-            "dt",
-            freshness_status(newest_at, p).alias("status"),
-            F.when(newest_at.isNull(), "no rows")
-            .otherwise(F.format_string("%.1f hours before the end of the day", freshness_gap(newest_at)))
-            .alias("detail"),
-        )
-
-    def drift() -> DataFrame:
-        status, detail = schema_drift(source.schema, table.schema)
-        return day_rows.select("dt", F.lit(status).alias("status"), F.lit(detail).alias("detail"))
-
-    checks = {
-        "reconciliation": reconciliation, "completeness": completeness, "freshness": freshness, "schema_drift": drift,
+    return judge(spark, source_counts(source, table, days), summary(inside, table), source.schema, registry, table, days, p)
+
+
+def evaluate_load(spark: SparkSession, load: Load, registry: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+    """The gate of a load that has just been placed, from the counts taken when its
+    rows were read and when they were read back: neither side is read again."""
+    return judge(spark, load.source, load.landed, load.schema, registry, load.table, load.days, p)
+
+
+def judge(
+    spark: SparkSession,
+    source: DataFrame,
+    landed: DataFrame,
+    schema: StructType,
+    registry: DataFrame,
+    table: RawTable,
+    days: list[date],
+    p: Params = DEFAULTS,
+) -> DataFrame:
+    """All axes from one row a (dt, instance_id) of either side: (source_rows) and
+    (landed_rows, newest_at). The sides and the expected partitions are laid
+    over one another once and summed up by day."""
+    rows, zero = F.lit(0).cast("long"), F.lit(0)
+    nothing = F.lit(None).cast("timestamp_ntz")
+    expected = expected_partitions(spark, registry, days)
+    sides = (
+        source.select("dt", "instance_id", "source_rows", rows.alias("landed_rows"), nothing.alias("newest_at"), F.lit(False).alias("wanted"))
+        .unionByName(landed.select("dt", "instance_id", rows.alias("source_rows"), "landed_rows", "newest_at", F.lit(False).alias("wanted")))
+        .unionByName(expected.select("dt", "instance_id", rows.alias("source_rows"), rows.alias("landed_rows"), nothing.alias("newest_at"), F.lit(True).alias("wanted")))
+    )
+    parts = sides.groupBy("dt", "instance_id").agg(
+        F.sum("source_rows").alias("source_rows"), F.sum("landed_rows").alias("landed_rows"),
+        F.max("newest_at").alias("newest_at"), F.bool_or("wanted").alias("wanted"),
+    )
+    per_day = parts.groupBy("dt").agg(
+        F.sum("source_rows").alias("s"), F.sum("landed_rows").alias("l"),
+        F.count_if(F.col("source_rows") != F.col("landed_rows")).alias("bad"),
+        F.count_if(F.col("wanted") & (F.col("landed_rows") == 0)).alias("gone"), F.max("newest_at").alias("newest_at"),
+    )
+    day_rows = local_frame(spark, [(d,) for d in days], "dt DATE")
+    whole = day_rows.join(per_day, "dt", "left")
+    newest_at, bad, gone = F.col("newest_at"), F.coalesce("bad", zero), F.coalesce("gone", zero)
+    drift, drift_detail = schema_drift(schema, table.schema)
+    found = {
+        "reconciliation": (
+            F.when(bad > 0, FAIL).otherwise(OK),
+            F.format_string("source %d, landed %d, %d instances differ", F.coalesce("s", zero), F.coalesce("l", zero), bad),
+        ),
+        "completeness": (F.when(gone > 0, FAIL).otherwise(OK), F.format_string("%d instances missing", gone)),
+        "freshness": (
+            freshness_status(newest_at, p),
+            F.when(newest_at.isNull(), "no rows").otherwise(
+                F.format_string("%.1f hours before the end of the day", freshness_gap(newest_at))
+            ),
+        ),
+        "schema_drift": (F.lit(drift), F.lit(drift_detail)),
     }
-    parts = [
-        (checks[axis]() if axis in table.gate else _skipped(day_rows)).select(
-            "dt", F.lit(table.name).alias("table_name"), F.lit(axis).alias("axis"), "status", "detail"
-        )
-        for axis in AXES
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
+    skipped = (F.lit(SKIP), F.lit("not required for this table"))
+    axes = []
+    for axis in AXES:
+        status, detail = found[axis] if axis in table.gate else skipped
+        axes.append(F.struct(F.lit(axis).alias("axis"), status.alias("status"), detail.alias("detail")))
+    return whole.select("dt", F.lit(table.name).alias("table_name"), F.inline(F.array(*axes)))
 
 
 def day_status(checks: DataFrame) -> DataFrame:

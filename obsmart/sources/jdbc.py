@@ -2,32 +2,74 @@
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Callable
 from datetime import date, datetime, time, timedelta
-from itertools import pairwise
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 
-from obsmart.sources.landing import as_day
-from obsmart.sources.tables import RawTable
+from obsmart.sources.landing import as_day, landed_counts
+from obsmart.sources.tables import RawTable, raw_table
 
 FETCH_ROWS = 50_000
+#: Connections that one load opens at most, however many databases there are;
+#: slices of the day that one database is cut into at most.
+CONNECTIONS, MOST_SLICES = 32, 24
 
 
-def instance_predicates(instances: list[int], table: RawTable, day: str | date, slices: int = 4) -> list[str]:
-    """One predicate, hence one Spark partition, per instance and slice of the day.
+class Piece(NamedTuple):
+    """Slice ``part`` of ``slices`` of the day of one instance."""
 
-    Equality on the instance comes first so that the source's (instance_id,
-    time) index serves every query; slices keep a database that produces a
-    third of all rows from becoming a single task.
+    instance: int
+    part: int = 0
+    slices: int = 1
+
+
+def balanced(instances: list[int], rows: dict[int, int], connections: int = CONNECTIONS) -> list[list[Piece]]:
+    """What each connection reads, at most ``connections`` lists of about equal weight.
+
+    An instance weighs as many rows as it had the day before, an unknown one as
+    many as the average. One that weighs more than a connection's share is cut
+    into equal slices of the day; pieces are then dealt, heaviest first, to the
+    connection with the least so far. The registry is one number a database.
+    """
+    known = [rows[i] for i in instances if i in rows]
+    usual = max(1, sum(known) // max(1, len(known)))
+    weights = {i: max(1, rows.get(i, usual)) for i in sorted(set(instances))}
+    share = max(1, -(-sum(weights.values()) // connections))
+    pieces = []
+    for i, weight in weights.items():
+        slices = min(MOST_SLICES, -(-weight // share))
+        pieces += [(weight / slices, Piece(i, k, slices)) for k in range(slices)]
+    lists: list[list[Piece]] = [[] for _ in range(min(connections, len(pieces)))]
+    heap = [(0.0, n) for n in range(len(lists))]
+    for weight, piece in sorted(pieces, key=lambda x: (-x[0], x[1])):
+        have, n = heapq.heappop(heap)
+        lists[n].append(piece)
+        heapq.heappush(heap, (have + weight, n))
+    return lists
+
+
+def connection_predicates(lists: list[list[Piece]], table: RawTable, day: str | date) -> list[str]:
+    """One predicate, hence one Spark partition and one connection, per list.
+
+    Instances come first, so that the source's (instance_id, time) index serves
+    every branch.
     """
     start = datetime.combine(as_day(day), time())
-    edges = [start + timedelta(days=1) * n / slices for n in range(slices + 1)]
-    return [
-        f"instance_id = {i} AND {table.watermark} >= '{low}' AND {table.watermark} < '{high}'"
-        for i in sorted(instances)
-        for low, high in pairwise(edges)
-    ]
+
+    def span(k: int, slices: int) -> str:
+        low, high = (start + timedelta(days=1) * n / slices for n in (k, k + 1))
+        return f"{table.watermark} >= '{low}' AND {table.watermark} < '{high}'"
+
+    out = []
+    for pieces in lists:
+        whole = sorted(p.instance for p in pieces if p.slices == 1)
+        branches = [f"instance_id IN ({', '.join(map(str, whole))}) AND {span(0, 1)}"] if whole else []
+        branches += [f"instance_id = {p.instance} AND {span(p.part, p.slices)}" for p in sorted(pieces) if p.slices > 1]
+        out.append(" OR ".join(f"({b})" for b in branches) if len(branches) > 1 else branches[0])
+    return out
 
 
 def registry_ids(registry: DataFrame) -> list[int]:
@@ -35,14 +77,45 @@ def registry_ids(registry: DataFrame) -> list[int]:
     return [r["id"] for r in registry.select("id").orderBy("id").toLocalIterator()]
 
 
+Reader = Callable[[str, list[str]], DataFrame]
+
+
+def jdbc_reader(spark: SparkSession, url: str, **properties: str) -> Reader:
+    """The usual reader: one connection a predicate."""
+    options = {"fetchsize": str(FETCH_ROWS), "preferTimestampNTZ": "true", **properties}
+    return lambda name, predicates: spark.read.jdbc(url, name, predicates=predicates, properties=options)
+
+
 def read_day(
-    spark: SparkSession, url: str, table: RawTable, instances: list[int], day: str | date, **properties: str
+    reader: Reader, table: RawTable, instances: list[int], rows: dict[int, int], day: str | date, connections: int = CONNECTIONS
 ) -> DataFrame:
-    """One day of one table. Only the declared columns are asked for."""
-    options = {"fetchsize": str(FETCH_ROWS), "preferTimestampNTZ": "true", **properties}
-    return spark.read.jdbc(
-        url, table.name, predicates=instance_predicates(instances, table, day), properties=options
-    ).select(*table.columns)
+    """One day of one table through at most ``connections`` connections. Only the
+    declared columns are asked for."""
+    found = reader(table.name, connection_predicates(balanced(instances, rows, connections), table, day))
+    return found.select(*table.columns)
+
+
+class DaySource:
+    """A day of any table of the monitoring database, as ``DailyRun`` asks for it:
+    the registry drives the scan, yesterday's landed rows balance it."""
+
+    def __init__(
+        self, spark: SparkSession, reader: Reader, registry: Callable[[], DataFrame], raw_root: str, connections: int = CONNECTIONS
+    ):
+        self.spark, self.reader, self.registry, self.raw_root, self.connections = spark, reader, registry, raw_root, connections
+
+    def rows_before(self, name: str, day: date) -> dict[int, int]:
+        """Landed rows by instance of the day before, from file footers: one number a database."""
+        before = day - timedelta(days=1)
+        counts = landed_counts(self.spark, self.raw_root, name, before, before)
+        return {r["instance_id"]: r["landed_rows"] for r in counts.toLocalIterator()}
+
+    def __call__(self, name: str, day: date) -> DataFrame:
+        table = raw_table(name)
+        instances = registry_ids(self.registry())
+        if not instances:
+            return self.spark.createDataFrame([], table.schema)
+        return read_day(self.reader, table, instances, self.rows_before(name, day), day, self.connections)
 
 
 class WriteBackError(RuntimeError):
@@ -101,3 +174,19 @@ BASELINE_TARGET = "baseline_longterm"
 BASELINE_COLUMNS = [
     "instance_id", "query_id", "dow", "hour", "mean_delta_calls", "stddev_delta_calls", "observations", "computed_at",
 ]
+
+
+def baseline_write_back(
+    mart: Callable[[int], DataFrame],
+    stage: Callable[[DataFrame, str], None],
+    staged_rows: Callable[[str], int],
+    run_in_transaction: Callable[[list[str]], None],
+    configured: bool = True,
+) -> Callable[[int], None]:
+    """What ``DailyRun`` calls after a publish: the published baseline goes to its
+    external table. ``mart`` reads the mart as of a version."""
+
+    def after(version: int) -> None:
+        write_back(mart(version), BASELINE_TARGET, BASELINE_COLUMNS, stage, staged_rows, run_in_transaction, configured)
+
+    return after

@@ -2,20 +2,23 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from datetime import date, timedelta
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
+from obsmart.session import fresh_dir
 from obsmart.sources import storage
-from obsmart.sources.local import local_frame
 from obsmart.sources.tables import AUXILIARY, RawTable, raw_table
 
-
-SIDE_BY_SIDE = 4
+#: Independent Spark jobs, and renames, at the same time.
+SIDE_BY_SIDE, MOVES_SIDE_BY_SIDE = 4, 16
 
 
 class ArchiveGuardError(RuntimeError):
@@ -42,17 +45,18 @@ def extract_days(source: DataFrame, table: RawTable, first: str | date, last: st
     )
 
 
-def land(df: DataFrame, root: str, table: RawTable) -> None:
-    """Replace exactly the partitions present in ``df``; others stay untouched.
-
-    ``rebalance`` keeps a partition's rows together for few files, yet lets
+def arranged(df: DataFrame, table: RawTable) -> DataFrame:
+    """``rebalance`` keeps a partition's rows together for few files, yet lets
     adaptive execution split one that is far larger than the rest. Rows are
-    ordered by time inside a partition, for compression and row-group skipping.
-    """
+    ordered by time inside a partition, for compression and row-group skipping."""
     order = [*table.partitions, *([table.watermark] if table.watermark else [])]
+    return df.hint("rebalance", *[F.col(c) for c in table.partitions]).sortWithinPartitions(*order)
+
+
+def land(df: DataFrame, root: str, table: RawTable) -> None:
+    """Replace exactly the partitions present in ``df``; others stay untouched."""
     (
-        df.hint("rebalance", *[F.col(c) for c in table.partitions])
-        .sortWithinPartitions(*order)
+        arranged(df, table)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .option("compression", "zstd")
@@ -61,28 +65,28 @@ def land(df: DataFrame, root: str, table: RawTable) -> None:
     )
 
 
-def read_landed(spark: SparkSession, root: str, name: str, location: str | None = None) -> DataFrame:
+def read_landed(
+    spark: SparkSession, root: str, name: str, location: str | None = None, days: Iterable[date] | None = None
+) -> DataFrame:
     """Landed rows under the declared schema (empty when nothing was landed).
-    ``location`` reads one table from somewhere else."""
+    ``location`` reads one table from somewhere else. With ``days`` only their
+    folders are listed, however many days the archive has."""
     table = raw_table(name)
     path = location or f"{root}/{name}"
-    if not storage.exists(spark, path):
+    wanted = None if days is None else {f"dt={d.isoformat()}" for d in days}
+    if wanted is None:
+        paths = [path] if storage.exists(spark, path) else []
+    else:
+        paths = [f"{path}/{n}" for n in storage.list_names(spark, path) if n in wanted]
+    if not paths:
         return spark.createDataFrame([], table.landed_schema)
-    return spark.read.schema(table.landed_schema).option("basePath", path).parquet(path).select(
-        *table.columns, "dt"
-    )
+    return spark.read.schema(table.landed_schema).option("basePath", path).parquet(*paths).select(*table.columns, "dt")
 
 
 def landed_partitions(spark: SparkSession, root: str, table: RawTable, days: Iterable[date]) -> DataFrame:
-    """(dt, instance_id) folders that exist for the given days: a listing, no data read."""
-    base = f"{root}/{table.name}"
-    found = [
-        (day, int(name.partition("=")[2]))
-        for day in days
-        for name in storage.list_names(spark, f"{base}/dt={day.isoformat()}")
-        if name.startswith("instance_id=")
-    ]
-    return local_frame(spark, found, "dt DATE, instance_id BIGINT")
+    """(dt, instance_id) with landed rows on the given days. Spark lists the folders
+    of these days side by side; of the files no column is read."""
+    return read_landed(spark, root, table.name, days=days).select("dt", "instance_id").distinct()
 
 
 def partition_actions(source_counts: DataFrame, existing: DataFrame, expected: DataFrame) -> DataFrame:
@@ -118,7 +122,71 @@ def expected_partitions(spark: SparkSession, registry: DataFrame, days: list[dat
     return registry.select("instance_id").distinct().select(F.explode(all_days).alias("dt"), "instance_id")
 
 
-def offload(
+@dataclass(frozen=True)
+class Load:
+    """What one load read and placed, as one row a (dt, instance_id): ``source``
+    (source_rows) counted while the source was read, ``landed`` (landed_rows,
+    newest_at) read back. Both are small stored tables or local rows."""
+
+    table: RawTable
+    days: list[date]
+    schema: StructType
+    source: DataFrame
+    landed: DataFrame
+
+
+class LostRows(RuntimeError):
+    """Fewer or more rows were staged than the source gave."""
+
+
+def stage_rows(rows: DataFrame, path: str, table: RawTable) -> None:
+    """Write the partitions of a load aside. The source is read once: its rows are
+    observed in the writing stage and compared with what the files hold."""
+    seen = Observation()
+    (
+        arranged(rows, table)
+        .observe(seen, F.count(F.lit(1)).alias("rows"))
+        .write.option("compression", "zstd")
+        .partitionBy(*table.partitions)
+        .parquet(path)
+    )
+    staged = rows.sparkSession.read.schema(table.landed_schema).parquet(path).count()  # from the footers
+    if staged != seen.get["rows"]:
+        raise LostRows(f"{table.name}: {seen.get['rows']} rows read, {staged} staged")
+
+
+def summary(landed: DataFrame, table: RawTable, name: str = "landed_rows") -> DataFrame:
+    """Rows and newest high-water value of each (dt, instance_id), in one pass."""
+    return landed.groupBy("dt", "instance_id").agg(F.count(F.lit(1)).alias(name), F.max(table.watermark).alias("newest_at"))
+
+
+def place(spark: SparkSession, staged: str, root: str, table: RawTable) -> None:
+    """Move staged partitions into the table. A day that is new to it moves as one
+    folder. Where a partition is replaced, its new files come first and its old
+    ones go last, so that at no moment the only copy is missing."""
+    target = f"{root}/{table.name}"
+    present = set(storage.list_names(spark, target))
+    replaced = []
+    for day in storage.list_names(spark, staged):
+        if not day.startswith("dt="):
+            continue
+        if day in present:
+            replaced += [f"{day}/{n}" for n in storage.list_names(spark, f"{staged}/{day}")]
+        else:
+            storage.move(spark, f"{staged}/{day}", f"{target}/{day}")
+
+    def replace(part: str) -> None:
+        old = storage.list_files(spark, f"{target}/{part}")
+        for name in storage.list_files(spark, f"{staged}/{part}"):
+            storage.move(spark, f"{staged}/{part}/{name}", f"{target}/{part}/{name}")
+        for name in old:
+            storage.delete_folder(spark, f"{target}/{part}/{name}")
+
+    with ThreadPoolExecutor(MOVES_SIDE_BY_SIDE) as pool:
+        list(pool.map(replace, replaced))
+
+
+def load(
     spark: SparkSession,
     source: DataFrame,
     name: str,
@@ -126,41 +194,58 @@ def offload(
     first: str | date,
     last: str | date | None = None,
     registry: DataFrame | None = None,
-) -> DataFrame:
-    """Land the days ``first..last`` of one table, idempotently and guarded.
+) -> Load:
+    """Land the days ``first..last`` of one table: stage, count, decide, place.
 
-    Nothing is written if any partition would be refused. Returns the landed
-    row counts per (dt, instance_id).
+    The source is read once, into a staging folder; the counts of what was
+    staged decide, and nothing is placed if any partition would be refused.
+    Without a registry there is no guard.
     """
     table = raw_table(name)
     first, last = as_day(first), as_day(last or first)
     days = days_between(first, last)
-    rows = extract_days(source, table, first, last)
-    if registry is not None:
-        counts = rows.groupBy("dt", "instance_id").agg(F.count(F.lit(1)).alias("source_rows"))
-        plan = partition_actions(
-            counts, landed_partitions(spark, root, table, days), expected_partitions(spark, registry, days)
-        )
-        refused = plan.where("action = 'refuse'").agg(
-            F.count(F.lit(1)).alias("n"), F.min(F.struct("dt", "instance_id")).alias("example")
-        ).first()
-        if refused["n"]:
-            raise ArchiveGuardError(
-                f"{name}: {refused['n']} partitions have no source rows but exist "
-                f"(for example {refused['example']}); refusing to touch the archive"
+    staged = f"{root}/_staging/{name}-{uuid.uuid4().hex}"
+    kept = fresh_dir(spark, f"load-{name}")
+    try:
+        stage_rows(extract_days(source, table, first, last), staged, table)
+        rows = spark.read.schema(table.landed_schema).parquet(staged)
+        rows.groupBy("dt", "instance_id").agg(F.count(F.lit(1)).alias("source_rows")).write.parquet(f"{kept}/source")
+        counts = spark.read.parquet(f"{kept}/source")
+        if registry is not None:
+            plan = partition_actions(
+                counts, landed_partitions(spark, root, table, days), expected_partitions(spark, registry, days)
             )
-    land(rows, root, table)
-    return landed_counts(spark, root, name, first, last)
+            refused = plan.where("action = 'refuse'").agg(
+                F.count(F.lit(1)).alias("n"), F.min(F.struct("dt", "instance_id")).alias("example")
+            ).first()
+            if refused["n"]:
+                raise ArchiveGuardError(
+                    f"{name}: {refused['n']} partitions have no source rows but exist "
+                    f"(for example {refused['example']}); refusing to touch the archive"
+                )
+        place(spark, staged, root, table)
+    finally:
+        storage.delete_folder(spark, staged)
+    summary(read_landed(spark, root, name, days=days), table).write.parquet(f"{kept}/landed")
+    return Load(table, days, source.schema, counts, spark.read.parquet(f"{kept}/landed"))
+
+
+def offload(
+    spark: SparkSession,
+    source: DataFrame,
+    name: str,
+    root: str,
+    first: str | date,
+    last: str | date | None = None,
+    registry: DataFrame | None = None,
+) -> DataFrame:
+    """``load``, returning the landed row counts per (dt, instance_id)."""
+    return load(spark, source, name, root, first, last, registry).landed.drop("newest_at")
 
 
 def landed_counts(spark: SparkSession, root: str, name: str, first: str | date, last: str | date) -> DataFrame:
-    low, high = (F.lit(as_day(d).isoformat()).cast("date") for d in (first, last))
-    return (
-        read_landed(spark, root, name)
-        .where(F.col("dt").between(low, high))
-        .groupBy("dt", "instance_id")
-        .agg(F.count(F.lit(1)).alias("landed_rows"))
-    )
+    days = days_between(as_day(first), as_day(last))
+    return read_landed(spark, root, name, days=days).groupBy("dt", "instance_id").agg(F.count(F.lit(1)).alias("landed_rows"))
 
 
 def offload_registry(spark: SparkSession, registry: DataFrame, root: str, day: str | date) -> int:
@@ -176,9 +261,7 @@ def offload_registry(spark: SparkSession, registry: DataFrame, root: str, day: s
             raise ArchiveGuardError(f"registry is empty but a snapshot of {day} exists")
         return 0
     land(rows, root, table)
-    return read_landed(spark, root, "dim_instance").where(
-        F.col("dt") == F.lit(day.isoformat()).cast("date")
-    ).count()
+    return read_landed(spark, root, "dim_instance", days=[day]).count()
 
 
 def offload_auxiliary(

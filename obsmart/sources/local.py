@@ -7,7 +7,7 @@ from collections.abc import Iterable, Sequence
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.pandas.types import to_arrow_schema
-from pyspark.sql.types import _parse_datatype_string
+from pyspark.sql.types import StructType
 
 
 def local_frame(spark: SparkSession, rows: Iterable[Sequence], ddl: str) -> DataFrame:
@@ -17,7 +17,7 @@ def local_frame(spark: SparkSession, rows: Iterable[Sequence], ddl: str) -> Data
     the plan is made, so Spark broadcasts it when small and shuffles it
     otherwise, without a hint.
     """
-    schema = _parse_datatype_string(ddl)
+    schema = StructType.fromDDL(ddl)
     arrow = to_arrow_schema(schema)
     columns = list(zip(*rows, strict=True)) or [()] * len(arrow)
     table = pa.Table.from_arrays([pa.array(c, f.type) for c, f in zip(columns, arrow, strict=True)], schema=arrow)

@@ -29,6 +29,20 @@ def folder_size(spark: SparkSession, path: str) -> tuple[int, int]:
     return summary.getFileCount(), summary.getLength()
 
 
+def list_files(spark: SparkSession, path: str) -> list[str]:
+    """Names of the data files directly in a folder; markers are left out."""
+    return [n for n in list_names(spark, path) if not n.startswith(("_", "."))]
+
+
+def move(spark: SparkSession, source: str, target: str) -> None:
+    """Rename a file or folder; the parent of the target is made if it is missing."""
+    p, fs = _path(spark, source)
+    q, _ = _path(spark, target)
+    fs.mkdirs(q.getParent())
+    if not fs.rename(p, q):
+        raise OSError(f"could not move {source} to {target}")
+
+
 def delete_folder(spark: SparkSession, path: str) -> None:
     p, fs = _path(spark, path)
     fs.delete(p, True)

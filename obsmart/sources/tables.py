@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StructType
 
 AXES = ("reconciliation", "completeness", "freshness", "schema_drift")
 
@@ -26,13 +26,13 @@ class RawTable:
     @property
     def schema(self) -> StructType:
         """What the source table must look like."""
-        return _parse_datatype_string(self.ddl)
+        return StructType.fromDDL(self.ddl)
 
     @property
     def landed_schema(self) -> StructType:
         """What a reader of the landed files declares: the source columns plus
         ``dt``. Partition columns are typed here, never inferred from paths."""
-        day = _parse_datatype_string("dt DATE NOT NULL")
+        day = StructType.fromDDL("dt DATE NOT NULL")
         return StructType([*self.schema.fields, *day.fields])
 
 

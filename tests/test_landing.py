@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from datetime import date, datetime
+from functools import reduce
 
 import pytest
 from pyspark.sql import functions as F
 from rows import result
 
+from obsmart.quality import gate
 from obsmart.session import fresh_dir
 from obsmart.sources import jdbc, landing, storage
 from obsmart.sources.local import local_frame
@@ -116,18 +118,117 @@ def test_partition_filter_prunes_folders(spark):
     assert one.count() == 1
 
 
-def test_jdbc_predicates_put_the_instance_first():
-    parts = jdbc.instance_predicates([2, 1], HEALTH, "2026-01-31", slices=1)
-    assert parts == [
-        f"instance_id = {i} AND sampled_at >= '2026-01-31 00:00:00' AND sampled_at < '2026-02-01 00:00:00'" for i in (1, 2)
-    ]
+def test_nothing_is_placed_or_left_when_a_load_is_refused(spark):
+    root = fresh_dir(spark, "raw")
+    full = health(spark, (1, "2026-01-01 01:00:00"), (2, "2026-01-01 01:00:00"))
+    landing.offload(spark, full, "health_sample", root, "2026-01-01", registry=registry(spark, 1, 2))
+    before = {n: storage.list_files(spark, f"{root}/health_sample/dt=2026-01-01/{n}") for n in ("instance_id=1", "instance_id=2")}
+    more = health(spark, (1, "2026-01-01 05:00:00"), (1, "2026-01-02 05:00:00"), (2, "2026-01-02 05:00:00"))
+    with pytest.raises(landing.ArchiveGuardError):
+        landing.offload(spark, more, "health_sample", root, "2026-01-01", "2026-01-02", registry(spark, 1, 2))
+    assert storage.list_names(spark, f"{root}/health_sample") == ["dt=2026-01-01"]
+    assert {n: storage.list_files(spark, f"{root}/health_sample/dt=2026-01-01/{n}") for n in before} == before
+    assert storage.list_names(spark, f"{root}/_staging") == []
+
+
+def test_a_load_reads_its_source_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("boolean")
+    def counted(_):
+        seen.add(1)
+        return True
+
+    source = health(spark, *[(i % 3, f"2026-01-01 0{i % 9}:00:00") for i in range(40)]).where(counted("id"))
+    load = landing.load(spark, source, "health_sample", fresh_dir(spark, "raw"), "2026-01-01", None, registry(spark, 0, 1, 2))
+    checks = gate.evaluate_load(spark, load, registry(spark, 0, 1, 2))
+    assert {r["axis"]: r["status"] for r in checks.collect()} == {
+        "reconciliation": "OK", "completeness": "SKIP", "freshness": "FAIL", "schema_drift": "OK"}
+    assert seen.value == 40 and sorted(r["source_rows"] for r in load.source.collect()) == [13, 13, 14]
+    assert sorted(r["landed_rows"] for r in load.landed.collect()) == [13, 13, 14]
+
+
+def test_rows_lost_while_staging_are_noticed(spark, monkeypatch):
+    root = fresh_dir(spark, "raw")
+    monkeypatch.setattr(landing, "arranged", lambda df, table: _Loses(df))
+    with pytest.raises(landing.LostRows):
+        landing.offload(spark, health(spark, (1, "2026-01-01 01:00:00"), (1, "2026-01-01 02:00:00")), "health_sample", root, "2026-01-01")
+    assert storage.list_names(spark, root) == ["_staging"] and storage.list_names(spark, f"{root}/_staging") == []
+
 
+class _Loses:
+    """A frame whose writer loses a row after it was observed."""
 
-def test_jdbc_slices_cover_the_day_without_overlap():
-    parts = jdbc.instance_predicates([1], HEALTH, "2026-01-31", slices=4)
-    edges = [p.split("'")[1::2] for p in parts]
-    assert edges[0][0] == "2026-01-31 00:00:00" and edges[-1][1] == "2026-02-01 00:00:00"
-    assert all(a[1] == b[0] for a, b in zip(edges, edges[1:], strict=False))
+    def __init__(self, df):
+        self.df = df
+
+    def observe(self, *args):
+        return self.df.observe(*args).where("id > 0")
+
+
+def test_a_replaced_partition_keeps_only_new_rows(spark):
+    root = fresh_dir(spark, "raw")
+    landing.offload(spark, health(spark, (1, "2026-01-01 01:00:00"), (2, "2026-01-01 01:00:00")), "health_sample", root, "2026-01-01")
+    landing.offload(spark, health(spark, (1, "2026-01-01 07:00:00"), (3, "2026-01-01 01:00:00")), "health_sample", root, "2026-01-01")
+    rows = sorted((r["instance_id"], r["sampled_at"].hour) for r in landing.read_landed(spark, root, "health_sample").collect())
+    assert rows == [(1, 7), (2, 1), (3, 1)]
+
+
+def test_connections_are_few_and_balanced():
+    instances, rows = list(range(1, 3001)), {i: 100 + i % 50 for i in range(1, 2901)}
+    rows[7] = 500_000  # more than half of all rows
+    lists = jdbc.balanced(instances, rows, 32)
+    assert len(lists) == 32
+    pieces = [p for pieces in lists for p in pieces]
+    assert len(pieces) == len(set(pieces)) and {p.instance for p in pieces} == set(instances)
+    slices = [p for p in pieces if p.instance == 7]
+    assert len(slices) == slices[0].slices <= jdbc.MOST_SLICES and sorted(p.part for p in slices) == list(range(len(slices)))
+    usual = sum(rows.values()) / len(rows)
+    loads = [sum(rows.get(p.instance, usual) / p.slices for p in pieces) for pieces in lists]
+    assert max(loads) < 1.3 * sum(loads) / len(loads)
+    assert jdbc.balanced([5], {}, 32) == [[jdbc.Piece(5)]] and jdbc.balanced([], {}, 32) == []
+
+
+def test_predicates_put_instances_first_and_cover_the_day_once():
+    lists = [[jdbc.Piece(2), jdbc.Piece(1)], [jdbc.Piece(3, 1, 2)], [jdbc.Piece(3, 0, 2), jdbc.Piece(4)]]
+    parts = jdbc.connection_predicates(lists, HEALTH, "2026-01-31")
+    whole = "sampled_at >= '2026-01-31 00:00:00' AND sampled_at < '2026-02-01 00:00:00'"
+    assert parts[0] == f"instance_id IN (1, 2) AND {whole}"
+    assert parts[1] == "instance_id = 3 AND sampled_at >= '2026-01-31 12:00:00' AND sampled_at < '2026-02-01 00:00:00'"
+    assert parts[2] == (
+        f"(instance_id IN (4) AND {whole}) OR "
+        "(instance_id = 3 AND sampled_at >= '2026-01-31 00:00:00' AND sampled_at < '2026-01-31 12:00:00')"
+    )
+
+
+def fake_reader(tables, asked):
+    """Stands in for the database: a union of what each connection asks for."""
+
+    def read(name, predicates):
+        asked.append(len(predicates))
+        return reduce(lambda a, b: a.unionByName(b), [tables[name].where(p) for p in predicates])
+
+    return read
+
+
+def test_day_source_reads_every_row_once(spark):
+    rows = [(i, f"2026-01-0{d} {h:02d}:{m:02d}:00") for i in (1, 2, 3, 4, 5) for d in (1, 2) for h in (0, 11, 12, 23) for m in (0, 59)]
+    rows += [(3, f"2026-01-0{d} 10:{m:02d}:30") for d in (1, 2) for m in range(60)]
+    rows += [(9, "2026-01-02 03:00:00")]  # not registered
+    table, asked = health(spark, *rows).withColumn("more", F.lit(1)), []
+    ids = local_frame(spark, [(i,) for i in (1, 2, 3, 4, 5, 6)], "id BIGINT")
+    root = fresh_dir(spark, "raw")
+    source = jdbc.DaySource(spark, fake_reader({"health_sample": table}, asked), lambda: ids, root, connections=4)
+    for day in (1, 2):
+        found = source("health_sample", date(2026, 1, day))
+        landing.load(spark, found, "health_sample", root, f"2026-01-0{day}")
+        want = table.where(f"instance_id < 9 and to_date(sampled_at) = date'2026-01-0{day}'")
+        got = landing.read_landed(spark, root, "health_sample", days=[date(2026, 1, day)])
+        assert sorted(r["id"] for r in got.collect()) == sorted(r["id"] for r in want.collect())
+    assert asked == [4, 4]
+    heavy = jdbc.balanced([1, 2, 3, 4, 5, 6], source.rows_before("health_sample", date(2026, 1, 2)), 4)
+    assert max(p.slices for pieces in heavy for p in pieces) > 1
+    assert jdbc.DaySource(spark, fake_reader({}, []), lambda: ids.where("false"), root)("health_sample", date(2026, 1, 2)).isEmpty()
 
 
 class Target:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from obsmart.plans import facts, marts, staging
 from obsmart.plans.marts import MARTS
+from obsmart.quality import gate
 from obsmart.registry import warehouse
 from obsmart.session import fresh_dir
 from obsmart.sources import landing
@@ -101,3 +102,13 @@ def test_a_query_with_a_third_of_all_rows_gives_the_same_fact(spark):
         series = polls.setdefault((r["instance_id"], r["query_id"], r["dt"]), {})
         series[r["captured_at"]] = series.get(r["captured_at"], 0) + r["calls"]
     assert got == {k: max(0, s[max(s)] - s[min(s)]) for k, s in polls.items()}
+
+
+def test_the_gate_reads_each_side_once(spark, landed):
+    registry = fleet_source(spark, FOLDER, "dim_instance").select(F.col("id").alias("instance_id")).distinct()
+    path = f"{fresh_dir(spark, 'source')}/health"
+    fleet_source(spark, FOLDER, "health_sample").drop("dt").write.parquet(path)
+    days = [date(2024, 1, d) for d in (10, 11)]
+    checks = gate.evaluate(spark, spark.read.parquet(path), landed("health_sample"), registry, raw_table("health_sample"), days)
+    text = checks._jdf.queryExecution().optimizedPlan().toString()
+    assert len(re.findall(r"Relation \[[^\]]*ping_millis", text)) == 2
