@@ -8,17 +8,15 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def flips(df: DataFrame, keys: Sequence[str], day: str, value: str) -> DataFrame:
-    """Days on which ``value`` differs from the previous observed day.
+def flips(df: DataFrame, keys: Sequence[str], day: str, value: str, before: str) -> DataFrame:
+    """Days on which ``value`` differs from ``before``, its value on the previous
+    observed day, with the days of the neighbouring flips.
 
-    Expects one row per (keys, day), so a window holds days, not raw rows.
+    Expects one row per (keys, day), so a window holds flips, not raw rows.
     Output: keys, flip_dt, prev_value, new_value, prev_flip_dt, next_flip_dt.
     """
-    by_day = Window.partitionBy(*keys).orderBy(day)
-    changed = (
-        df.withColumn("prev_value", F.lag(value).over(by_day))
-        .where(F.col("prev_value").isNotNull() & (F.col(value) != F.col("prev_value")))
-        .select(*keys, F.col(day).alias("flip_dt"), "prev_value", F.col(value).alias("new_value"))
+    changed = df.where(F.col(before).isNotNull() & (F.col(value) != F.col(before))).select(
+        *keys, F.col(day).alias("flip_dt"), F.col(before).alias("prev_value"), F.col(value).alias("new_value")
     )
     by_flip = Window.partitionBy(*keys).orderBy("flip_dt")
     return changed.withColumn("prev_flip_dt", F.lag("flip_dt").over(by_flip)).withColumn(

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from obsmart.lake.versions import Lake
 from obsmart.params import DEFAULTS, Params
 from obsmart.plans.facts import FACTS
-from obsmart.plans.warehouse import PUBLISHED, Warehouse, load_start, refresh_fact
+from obsmart.plans.warehouse import PUBLISHED, SETTLED, Warehouse, load_start, refresh_fact
 from obsmart.quality import contract, data_tests, gate, runs
 from obsmart.sources import storage
 from obsmart.sources.landing import SIDE_BY_SIDE, ArchiveGuardError, Load, as_day, load, offload_registry, read_landed
@@ -125,6 +125,9 @@ class DailyRun:
         since = self.unpublished(starts)
         with ThreadPoolExecutor(SIDE_BY_SIDE) as pool:
             list(pool.map(lambda fact: refresh_fact(self.warehouse, fact, starts[fact], starts[fact] is None), FACTS))
+        changed = None if None in since.values() else min(since.values())
+        for mart in SETTLED:  # in this order: the second reads the first
+            self.warehouse.refresh_mart(mart, changed)
         tables = {name: self.warehouse.table(name) for name in PUBLISHED}
         version = self.lake.publish(tables, f"publish {day}", validate=self.check, daily=since)
         storage.delete_folder(self.spark, self.pending)

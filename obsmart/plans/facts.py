@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from obsmart.functions import pct, ratio, tenths
@@ -178,6 +178,22 @@ def fct_uptime_daily(samples: DataFrame) -> DataFrame:
     )
 
 
+def fct_plan_daily(plans: DataFrame, carried: DataFrame | None = None) -> DataFrame:
+    """Plan of the day (the last one seen) of each query seen on a day, and the one
+    of the last day before on which it was seen. ``carried`` has the last plan
+    of each query before the first of these days, so that no older day is read."""
+    key = ["instance_id", "query_id"]
+    daily = latest_per_key(plans, [*key, "dt"], ["captured_at", "id"], ["plan_hash"])
+    by_day = Window.partitionBy(*key).orderBy("dt")
+    before = F.lag("plan_hash").over(by_day)
+    if carried is None:
+        return daily.withColumn("prev_hash", before)
+    known = carried.select(*key, F.col("plan_hash").alias("_carried"))
+    return daily.withColumn("_before", before).join(known, key, "left").select(
+        *key, "dt", "plan_hash", F.coalesce("_before", "_carried").alias("prev_hash")
+    )
+
+
 # fact -> (builder, staging inputs); every fact but the dimension is per day.
 FACTS = {
     "fct_query_daily": (fct_query_daily, ("stg_query_snapshot",)),
@@ -186,6 +202,7 @@ FACTS = {
     "fct_wait_event_daily": (fct_wait_event_daily, ("stg_wait_event",)),
     "fct_backup_daily": (fct_backup_daily, ("stg_backup_run",)),
     "fct_plan_change_daily": (fct_plan_change_daily, ("stg_plan_snapshot",)),
+    "fct_plan_daily": (fct_plan_daily, ("stg_plan_snapshot",)),
     "fct_index_daily": (fct_index_daily, ("stg_index_usage_snapshot",)),
     "fct_config_change_daily": (fct_config_change_daily, ("stg_config_snapshot", "stg_config_param_change")),
     "fct_uptime_daily": (fct_uptime_daily, ("stg_health_sample",)),
@@ -199,6 +216,7 @@ GRAINS = {
     "fct_wait_event_daily": ["instance_id", "event_name", "dt"],
     "fct_backup_daily": ["instance_id", "dt"],
     "fct_plan_change_daily": ["instance_id", "dt"],
+    "fct_plan_daily": QUERY_DAY,
     "fct_index_daily": ["instance_id", "table_name", "index_name", "dt"],
     "fct_config_change_daily": ["instance_id", "dt"],
     "fct_uptime_daily": ["instance_id", "dt"],

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import date, datetime, timedelta
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from obsmart.functions import daynum, pct, ratio, rounded, tenths
 from obsmart.operators.counters import label_per_key
 from obsmart.operators.lookup import newest, with_override
-from obsmart.operators.ranking import latest_per_key, top_k
+from obsmart.operators.ranking import top_k
 from obsmart.operators.windows import dates_around, flips
 from obsmart.params import DEFAULTS, Params
 
@@ -38,13 +38,22 @@ def _cases(*cases: tuple[Column, str], otherwise: str) -> Column:
     return chain.otherwise(otherwise)
 
 
-def mart_query_regression(daily: DataFrame, p: Params = DEFAULTS) -> DataFrame:
+def day_statistics(daily: DataFrame) -> DataFrame:
+    """(dt, most_calls) of the daily query fact: the most calls of a query with a
+    latency. A row a day, from which any threshold finds the newest busy day."""
+    timed = F.when(F.col("avg_latency_ms").isNotNull(), F.col("delta_calls"))
+    return daily.groupBy("dt").agg(F.max(timed).alias("most_calls"))
+
+
+def mart_query_regression(daily: DataFrame, p: Params = DEFAULTS, days: DataFrame | None = None) -> DataFrame:
     """Queries whose mean latency rose from the prior window to the recent one.
 
     The anchor is the newest day among days with enough calls, not of all days.
+    It comes from ``days`` (``day_statistics`` as stored) where that is given, so
+    that no day outside the two windows is read.
     """
     busy = daily.where((F.col("delta_calls") >= p.regression_min_calls) & F.col("avg_latency_ms").isNotNull())
-    anchor = newest(busy)
+    anchor = newest(busy if days is None else days.where(F.col("most_calls") >= p.regression_min_calls))
     seen = busy.where(F.col("dt") > F.date_sub(anchor, p.regression_recent_days + p.regression_prior_days))
     recent = F.col("dt") > F.date_sub(anchor, p.regression_recent_days)
     key = ["instance_id", "query_id"]
@@ -72,31 +81,59 @@ def mart_query_regression(daily: DataFrame, p: Params = DEFAULTS) -> DataFrame:
     )
 
 
-def mart_baseline_longterm(
-    hourly: DataFrame, p: Params = DEFAULTS, computed_at: datetime | None = None
-) -> DataFrame:
-    """Calls per weekday and hour for the busiest queries of each instance.
+BUCKET = ["instance_id", "query_id", "dow", "hour"]
 
-    Buckets are aggregated before they meet the list of busy queries: the join
-    then moves buckets instead of hours, and a query that fills a third of the
-    fact is combined before any exchange.
-    """
-    key = ["instance_id", "query_id"]
-    totals = hourly.groupBy(*key).agg(F.sum("delta_calls").alias("total_calls"))
-    busiest = top_k(totals, ["instance_id"], [F.desc("total_calls"), F.asc("query_id")], p.baseline_top_k)
-    buckets = (
+
+def baseline_moments(hourly: DataFrame) -> DataFrame:
+    """Observations, mean, squared deviations and calls of each weekday and hour of
+    each query. Combined before the exchange, however much one query makes up."""
+    n = F.count("delta_calls")
+    return (
         hourly.withColumn("dow", (F.dayofweek("dt") - 1).cast("smallint"))
-        .groupBy(*key, "dow", "hour")
+        .groupBy(*BUCKET)
         .agg(
-            F.avg("delta_calls").alias("mean_delta_calls"),
-            F.stddev_samp("delta_calls").alias("stddev_delta_calls"),
-            F.count(F.lit(1)).alias("observations"),
+            n.alias("n"), F.avg("delta_calls").alias("mean"), (F.var_pop("delta_calls") * n).alias("m2"),
+            F.sum("delta_calls").alias("calls"),
         )
-        .where(F.col("observations") >= p.baseline_min_observations)
+    )
+
+
+def merged_moments(old: DataFrame, new: DataFrame) -> DataFrame:
+    """Moments of two disjoint sets of days from the moments of either; one row of
+    each side per bucket meets, and no observation is read again."""
+    a, b = old.alias("a"), new.alias("b")
+    joined = a.join(b, BUCKET, "full_outer")
+    zero = F.lit(0).cast("long")
+    na, nb = F.coalesce("a.n", zero), F.coalesce("b.n", zero)
+    gap = F.coalesce(F.col("b.mean") - F.col("a.mean"), F.lit(0.0))
+    n = na + nb
+    return joined.select(
+        *BUCKET, n.alias("n"),
+        F.when(na == 0, F.col("b.mean")).when(nb == 0, F.col("a.mean")).otherwise(F.col("a.mean") + gap * nb / n).alias("mean"),
+        (F.coalesce("a.m2", F.lit(0.0)) + F.coalesce("b.m2", F.lit(0.0)) + gap * gap * na * nb / n).alias("m2"),
+        (F.coalesce("a.calls", zero) + F.coalesce("b.calls", zero)).alias("calls"),
+    )
+
+
+def baseline_from(moments: DataFrame, p: Params = DEFAULTS, computed_at: datetime | None = None) -> DataFrame:
+    """Calls per weekday and hour for the busiest queries of each instance."""
+    key = ["instance_id", "query_id"]
+    totals = moments.groupBy(*key).agg(F.sum("calls").alias("total_calls"))
+    busiest = top_k(totals, ["instance_id"], [F.desc("total_calls"), F.asc("query_id")], p.baseline_top_k)
+    spread = F.when(F.col("n") > 1, F.sqrt(F.greatest(F.lit(0.0), F.col("m2")) / (F.col("n") - 1)))
+    buckets = moments.where(F.col("n") >= p.baseline_min_observations).select(
+        *BUCKET, F.col("mean").alias("mean_delta_calls"), spread.alias("stddev_delta_calls"), F.col("n").alias("observations")
     )
     return _stamp(buckets.join(busiest.select(*key), key, "left_semi"), computed_at)
 
 
+def mart_baseline_longterm(
+    hourly: DataFrame, p: Params = DEFAULTS, computed_at: datetime | None = None, moments: DataFrame | None = None
+) -> DataFrame:
+    """The baseline from all hours, or from ``moments`` that were carried along."""
+    return baseline_from(baseline_moments(hourly) if moments is None else moments, p, computed_at)
+
+
 def mart_capacity_forecast(
     sizes: DataFrame, thresholds: DataFrame, p: Params = DEFAULTS, computed_at: datetime | None = None
 ) -> DataFrame:
@@ -183,28 +220,39 @@ def mart_wait_top(
     )
 
 
-def plan_flips(plans: DataFrame) -> DataFrame:
-    """Days on which a query's plan of the day (the last one seen) changed."""
-    key = ["instance_id", "query_id"]
-    daily = latest_per_key(plans, [*key, "dt"], ["captured_at", "id"], ["plan_hash"])
-    return flips(daily, key, "dt", "plan_hash")
+def plan_flips(plan_days: DataFrame) -> DataFrame:
+    """Days on which a query's plan of the day changed, from ``fct_plan_daily``."""
+    return flips(plan_days, ["instance_id", "query_id"], "dt", "plan_hash", "prev_hash")
 
 
 def mart_plan_regression(
-    plans: DataFrame,
+    plan_days: DataFrame,
     daily: DataFrame,
     thresholds: DataFrame,
     p: Params = DEFAULTS,
     computed_at: datetime | None = None,
+    since: date | None = None,
 ) -> DataFrame:
-    """Latency before and after each plan flip; the flip day itself is left out."""
+    """Latency before and after each plan flip; the flip day itself is left out.
+
+    With ``since``, the first day that changed, only flips that a change there
+    can touch are judged: those from ``plan_open_from`` on. Flips and days
+    before their windows are not read.
+    """
     n = p.plan_window_days
     key = ["instance_id", "query_id", "flip_dt"]
     measured = daily.select("instance_id", "query_id", "dt", "delta_calls", "avg_latency_ms")
+    if since is not None:
+        first = plan_open_from(since, p)
+        earliest = F.lit(first - timedelta(days=n))
+        plan_days, measured = plan_days.where(F.col("dt") >= earliest), measured.where(F.col("dt") >= earliest)
+    found = plan_flips(plan_days)  # a neighbour before `earliest` is too far away to matter
+    if since is not None:
+        found = found.where(F.col("flip_dt") >= F.lit(first))
     before, after = F.col("day_offset") < 0, F.col("day_offset") > 0
     latency = F.col("avg_latency_ms")
     compared = (
-        dates_around(plan_flips(plans), "flip_dt", n, n)
+        dates_around(found, "flip_dt", n, n)
         .where(F.col("day_offset") != 0)
         .join(measured, ["instance_id", "query_id", "dt"], "left")
         .groupBy(*key, "prev_value", "new_value", "prev_flip_dt", "next_flip_dt")
@@ -241,6 +289,12 @@ def mart_plan_regression(
     return _stamp(judged, computed_at)
 
 
+def plan_open_from(since: date, p: Params = DEFAULTS) -> date:
+    """First flip day whose window reaches a day from ``since`` on: verdicts of
+    earlier flips are settled."""
+    return since - timedelta(days=p.plan_window_days)
+
+
 def mart_backup_rpo(
     daily: DataFrame,
     backups: DataFrame,
@@ -382,16 +436,23 @@ def mart_config_impact(
     sizes: DataFrame,
     p: Params = DEFAULTS,
     computed_at: datetime | None = None,
+    since: date | None = None,
 ) -> DataFrame:
     """What followed each change within a few days: correlation, not cause.
 
     The three series depend only on (instance, change day) and have one row per
     (instance, day). They are attached to the dates around each distinct change
     day by equality and reduced to that day, so many changes on one day never
-    multiply the series.
+    multiply the series. With ``since``, the first day that changed, only changes
+    from ``impact_open_from`` on are looked at, and no day before their windows.
     """
     n = p.impact_window_days
     key = ["instance_id", "change_dt"]
+    if since is not None:
+        first = impact_open_from(since, p)
+        earliest = F.lit(first - timedelta(days=n))
+        changes, plan_verdicts = changes.where(F.col("change_dt") >= F.lit(first)), plan_verdicts.where(F.col("flip_dt") >= F.lit(first))
+        daily, sizes = daily.where(F.col("dt") >= earliest), sizes.where(F.col("dt") >= earliest)
     distinct_changes = changes.select(
         *key, "change_source", "change_key", "change_kind", "old_value", "new_value"
     ).distinct()
@@ -405,10 +466,10 @@ def mart_config_impact(
     around = dates_around(changes.select(*key).distinct(), "change_dt", n, n)
     for series in (flip_days, latency, volume):
         around = around.join(series, ["instance_id", "dt"], "left")
-    before, since, after = F.col("day_offset") < 0, F.col("day_offset") >= 0, F.col("day_offset") > 0
+    before, onward, after = F.col("day_offset") < 0, F.col("day_offset") >= 0, F.col("day_offset") > 0
     followed = around.groupBy(*key).agg(
-        F.count_if(since & F.col("regressed").isNotNull()).alias("plan_flips_after"),
-        F.count_if(since & F.col("regressed")).alias("regressed_after"),
+        F.count_if(onward & F.col("regressed").isNotNull()).alias("plan_flips_after"),
+        F.count_if(onward & F.col("regressed")).alias("regressed_after"),
         *[
             F.avg(F.when(side, F.col(value))).alias(f"{label}_{value}")
             for value in ("latency_ms", "bytes")
@@ -441,6 +502,12 @@ def mart_config_impact(
     )
 
 
+def impact_open_from(since: date, p: Params = DEFAULTS) -> date:
+    """First change day whose result a day from ``since`` on can alter: within its
+    window a flip may lie whose verdict is still open."""
+    return plan_open_from(since, p) - timedelta(days=p.impact_window_days)
+
+
 def mart_uptime_slo(
     uptime: DataFrame,
     instances: DataFrame,
@@ -487,7 +554,7 @@ MARTS = {
     "mart_capacity_forecast": (mart_capacity_forecast, ("fct_size_daily", "capacity_thresholds")),
     "mart_wait_top": (mart_wait_top, ("fct_wait_event_daily", "dim_instance")),
     "mart_plan_regression": (
-        mart_plan_regression, ("stg_plan_snapshot", "fct_query_daily", "plan_regression_thresholds")
+        mart_plan_regression, ("fct_plan_daily", "fct_query_daily", "plan_regression_thresholds")
     ),
     "mart_backup_rpo": (mart_backup_rpo, ("fct_query_daily", "fct_backup_daily", "backup_rpo_thresholds")),
     "mart_weekly_ops_report": (

@@ -17,10 +17,10 @@ from obsmart.plans import serving
 from obsmart.plans.facts import FACTS
 from obsmart.plans.marts import MARTS
 from obsmart.plans.staging import STAGING
-from obsmart.plans.warehouse import PUBLISHED, Warehouse, load_start, refresh_fact
+from obsmart.plans.warehouse import FROM_STATE, PUBLISHED, SETTLED, Warehouse, load_start, refresh_fact
 from obsmart.quality import contract, data_tests, gate, runs
 from obsmart.session import fresh_dir
-from obsmart.sources import landing
+from obsmart.sources import jdbc, landing
 from obsmart.sources.fleet import fleet_source
 from obsmart.sources.local import local_frame
 from obsmart.sources.tables import AUXILIARY, RAW_TABLES, raw_table
@@ -145,6 +145,30 @@ def offload_auxiliary(spark: SparkSession, folder: str) -> DataFrame:
     return landing.offload_auxiliary(spark, sources, registry, fresh_dir(spark, "raw"), *span(spark, folder))
 
 
+def offload_connections(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of each instance and day as eight connections read them, each day
+    balanced by the rows of the day before; the reader stands in for a database."""
+    ids, table = registry_ids(spark, folder).withColumnRenamed("instance_id", "id"), raw_table("health_sample")
+    whole = fleet_source(spark, folder, table.name)
+
+    def read(_: str, predicates: list[str]) -> DataFrame:
+        """Each row as often as a connection asks for it."""
+        asked = F.array_compact(F.array(*[F.when(F.expr(p), n) for n, p in enumerate(predicates)]))
+        return whole.withColumn("_connection", F.explode(asked))
+
+    instances, result = jdbc.registry_ids(ids), None
+    per_day = whole.groupBy("dt", "instance_id").count().collect()  # one number a database and day
+    rows: dict[date, dict[int, int]] = {}
+    for day, instance, n in per_day:
+        rows.setdefault(day, {})[instance] = n
+    for day in days_of(spark, folder):
+        found = jdbc.read_day(read, table, instances, rows.get(day - timedelta(days=1), {}), day, connections=8)
+        counted = found.groupBy("instance_id").agg(F.count(F.lit(1)).alias("rows"), F.sum("id").alias("id_sum"))
+        counted = counted.withColumn("dt", F.lit(day))
+        result = counted if result is None else result.unionByName(counted)
+    return result
+
+
 def offload_registry(spark: SparkSession, folder: str) -> DataFrame:
     """The registry snapshot of every day, each landed by itself; an empty
     registry is skipped on a day without a snapshot and refused on one with."""
@@ -173,20 +197,21 @@ def offload_overwrite(spark: SparkSession, folder: str) -> DataFrame:
     landing.offload(spark, source, "plan_snapshot", root, first, last)
     once = landing.landed_counts(spark, root, "plan_snapshot", first, last).withColumnRenamed("landed_rows", "first_rows")
     once.write.parquet(f"{root}/once")  # the next load replaces the files behind `once`
-    half = first + timedelta(days=14)
+    half = first + (last - first) // 2
     landing.offload(spark, source, "plan_snapshot", root, first, half)
     again = landing.landed_counts(spark, root, "plan_snapshot", first, last).withColumnRenamed("landed_rows", "second_rows")
     return spark.read.parquet(f"{root}/once").join(again, ["dt", "instance_id"], "full_outer")
 
 
 def offload_guard(spark: SparkSession, folder: str) -> DataFrame:
-    """What a reload would do after the source lost everything before day 8 and
-    day 20 was never landed."""
+    """What a reload would do after the source lost everything before the eighth
+    day and the twentieth was never landed."""
     root = fresh_dir(spark, "raw")
+    first = span(spark, folder)[0]
     table = raw_table("health_sample")
     source = fleet_source(spark, folder, table.name)
-    landing.land(source.where(F.col("dt") != F.lit(date(2024, 1, 20))), root, table)
-    kept = source.where(F.col("dt") >= F.lit(date(2024, 1, 8)))
+    landing.land(source.where(F.col("dt") != F.lit(first + timedelta(days=19))), root, table)
+    kept = source.where(F.col("dt") >= F.lit(first + timedelta(days=7)))
     left = kept.groupBy("dt", "instance_id").agg(F.count(F.lit(1)).alias("source_rows"))
     return landing.partition_actions(
         left,
@@ -211,17 +236,25 @@ def instance_thresholds(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def thirds(spark: SparkSession, folder: str) -> list[date]:
+    """Three days of the given span on which loads end: the last is the last day."""
+    first, last = span(spark, folder)
+    length = (last - first).days
+    return [first + timedelta(days=length * 2 // 3), first + timedelta(days=length * 5 // 6), last]
+
+
 def _incremental(name: str) -> Query:
-    """The fact after a load up to day 20 and two later incremental loads."""
+    """The fact after a load of two thirds of the days and two later incremental loads."""
 
     def query(spark: SparkSession, folder: str) -> DataFrame:
-        seen = {"until": date(2024, 1, 20)}
+        ends = thirds(spark, folder)
+        seen = {"until": ends[0]}
 
         def raw(table: str) -> DataFrame:
             return fleet_source(spark, folder, table).where(F.col("dt") <= F.lit(seen["until"]))
 
         w = Warehouse(spark, raw, fresh_dir(spark, "incremental"), PARAMS)
-        for until in (date(2024, 1, 20), date(2024, 1, 26), span(spark, folder)[1]):
+        for until in ends:
             seen["until"] = until
             refresh_fact(w, name)
         return w.fact(name)
@@ -229,6 +262,46 @@ def _incremental(name: str) -> Query:
     return query
 
 
+def _facts_below(mart: str) -> list[str]:
+    inputs = MARTS[mart][1]
+    own = [i for i in inputs if i in FACTS]
+    return list(dict.fromkeys(own + [f for i in inputs if i in MARTS for f in _facts_below(i)]))
+
+
+def _incremental_mart(name: str) -> Query:
+    """The mart after a first load, incremental loads, and a correction that
+    arrives late: until then one day lacks a third of its databases."""
+
+    def query(spark: SparkSession, folder: str) -> DataFrame:
+        ends = thirds(spark, folder)
+        late = ends[1] - timedelta(days=2)
+        seen = {"until": ends[0], "corrected": False}
+
+        def raw(table: str) -> DataFrame:
+            df = fleet_source(spark, folder, table).where(F.col("dt") <= F.lit(seen["until"]))
+            if seen["corrected"] or "instance_id" not in df.columns:
+                return df
+            return df.where((F.col("dt") != F.lit(late)) | (F.col("instance_id") % 3 != 0))
+
+        w = Warehouse(spark, raw, fresh_dir(spark, "incremental"), PARAMS)
+
+        def load(first: date | None = None) -> None:
+            starts = [refresh_fact(w, fact, first) for fact in _facts_below(name)]
+            changed = None if None in starts else min(starts)
+            for mart in SETTLED:
+                if mart == name or mart in MARTS[name][1]:
+                    w.refresh_mart(mart, changed)
+
+        for until in ends:
+            seen["until"] = until
+            load()
+        seen["corrected"] = True
+        load(late)
+        return _rounded(_without_stamp(w.mart(name)), *ROUNDED.get(name, []))
+
+    return query
+
+
 # -- versions --------------------------------------------------------------------
 def lake_publish(spark: SparkSession, folder: str) -> DataFrame:
     """All published tables as one version: rows per table."""
@@ -239,28 +312,31 @@ def lake_publish(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def lake_publish_after_failures(spark: SparkSession, folder: str) -> DataFrame:
-    """Published days of a fact after days 10 to 16, the publishes of days 12 and
-    13 failing, and a correction of day 11 that arrives after day 15."""
+    """Published days of a fact, all days but the last six in one load, then day
+    by day; the publishes of the second and third of these fail, and a
+    correction of the first arrives after the fifth."""
+    first, last = span(spark, folder)
     lake, root = Lake(spark, fresh_dir(spark, "lake")), fresh_dir(spark, "facts")
-    state = {"until": date(2024, 1, 9), "redone": False}
+    days = landing.days_between(max(first, last - timedelta(days=6)), last)
+    late, failing = days[1], days[2:4]
+    state = {"until": first, "redone": False}
 
     def raw(name: str) -> DataFrame:
-        df = fleet_source(spark, folder, name).where(F.col("dt").between(F.lit(date(2024, 1, 10)), F.lit(state["until"])))
-        return df if state["redone"] else df.where((F.col("dt") != F.lit(date(2024, 1, 11))) | (F.col("instance_id") != 2))
+        df = fleet_source(spark, folder, name).where(F.col("dt") <= F.lit(state["until"]))
+        return df if state["redone"] else df.where((F.col("dt") != F.lit(late)) | (F.col("instance_id") != 2))
 
     w = Warehouse(spark, raw, root, PARAMS)
 
     def refused(_) -> None:
         raise RuntimeError("refused on purpose")
 
-    for day in (10, 11, 12, 13, 14, 15, 11, 16):
-        day = date(2024, 1, day)
+    for day in (*days[:-1], late, days[-1]):
         state["redone"] = state["redone"] or day < state["until"]
         state["until"] = max(state["until"], day)
         start = load_start(w, "fct_uptime_daily", day)
         refresh_fact(w, "fct_uptime_daily", start, start is None)
         try:
-            fails = refused if day.day in (12, 13) else None
+            fails = refused if day in failing else None
             lake.publish({"fct_uptime_daily": w.fact("fct_uptime_daily")}, str(day), validate=fails, daily={"fct_uptime_daily": start})
         except RuntimeError:
             continue
@@ -626,8 +702,9 @@ def _builtin() -> dict[str, Query]:
     named.update({name: _mart(name) for name in MARTS})
     named.update({name: _serving(name) for name in serving.SERVING})
     named.update({f"incremental_{name}": _incremental(name) for name in FACTS})
+    named.update({f"incremental_{name}": _incremental_mart(name) for name in (*FROM_STATE, *SETTLED)})
     for f in (
-        offload_extract_day, offload_primary, offload_auxiliary, offload_registry, offload_overwrite, offload_guard,
+        offload_extract_day, offload_primary, offload_auxiliary, offload_connections, offload_registry, offload_overwrite, offload_guard,
         instance_thresholds, lake_publish, lake_publish_after_failures, lake_load_partitions, lake_time_travel, lake_snapshots, lake_correct_row,
         lake_delete_rolled_back, lake_expire, lake_compact, lake_maintenance, lake_measure, quality_source_counts,
         quality_landed_counts, quality_newest_watermark, quality_reconciliation, quality_completeness,

@@ -30,7 +30,7 @@ oracle("int_change_events", "SELECT * FROM change_events")
 
 FACT_BLOCKS = {
     "fct_query_daily": "f_query_daily", "fct_query_hourly": "f_query_hourly", "fct_size_daily": "f_size",
-    "fct_wait_event_daily": "f_wait", "fct_backup_daily": "f_backup", "fct_plan_change_daily": "f_plan",
+    "fct_wait_event_daily": "f_wait", "fct_backup_daily": "f_backup", "fct_plan_change_daily": "f_plan", "fct_plan_daily": "plan_steps",
     "fct_index_daily": "f_index", "fct_config_change_daily": "f_config", "fct_uptime_daily": "f_uptime",
 }
 for _name, _block in FACT_BLOCKS.items():
@@ -51,6 +51,8 @@ ROUNDED = {
 for _name, _block in MART_BLOCKS.items():
     _r = ", ".join(f"round({c}, 6) AS {c}" for c in ROUNDED.get(_name, []))
     oracle(_name, f"SELECT * {f'REPLACE ({_r}) ' if _r else ''}FROM {_block}")
+    if _name in ("mart_query_regression", "mart_baseline_longterm", "mart_plan_regression", "mart_config_impact"):
+        oracle(f"incremental_{_name}", f"SELECT * {f'REPLACE ({_r}) ' if _r else ''}FROM {_block}")
 
 # --- gate ----------------------------------------------------------------------
 block("landed", """
@@ -323,13 +325,15 @@ oracle("offload_primary", "SELECT * FROM query_snapshot")
 oracle("offload_auxiliary", "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, dt, instance_id, count(*) AS landed_rows FROM {t} GROUP BY dt, instance_id"
     for t in _RAW_AT if t != "query_snapshot"))
+oracle("offload_connections", """
+SELECT dt, instance_id, count(*) AS rows, CAST(sum(id) AS BIGINT) AS id_sum FROM health_sample GROUP BY dt, instance_id""")
 oracle("offload_registry", "SELECT *, 0::BIGINT AS landed_before, 1::BIGINT AS refused FROM dim_snapshot")
 oracle("offload_overwrite", """
 SELECT dt, instance_id, count(*) AS first_rows, count(*) AS second_rows FROM plan_snapshot GROUP BY ALL""")
 block("health_counts", "SELECT dt, instance_id, count(*) AS n FROM health_sample GROUP BY ALL")
 block("guard_rows", """
-SELECT d.dt, i.instance_id, CASE WHEN d.dt >= DATE '2024-01-08' THEN coalesce(h.n, 0) ELSE 0 END AS source_rows,
-       h.n IS NOT NULL AND d.dt <> DATE '2024-01-20' AS partition_exists
+SELECT d.dt, i.instance_id, CASE WHEN d.dt - (SELECT min(dt) FROM days) >= 7 THEN coalesce(h.n, 0) ELSE 0 END AS source_rows,
+       h.n IS NOT NULL AND d.dt - (SELECT min(dt) FROM days) <> 19 AS partition_exists
 FROM days d CROSS JOIN instances i LEFT JOIN health_counts h ON h.dt = d.dt AND h.instance_id = i.instance_id
 """)
 oracle("offload_guard", """
@@ -346,9 +350,9 @@ LEFT JOIN backup_rpo_thresholds b USING (instance_id)""")
 # --- versions ----------------------------------------------------------------------------
 oracle("lake_publish", "\nUNION ALL ".join(
     f"SELECT '{t}' AS table_name, count(*) AS row_count FROM {b}"
-    for t, b in {**FACT_BLOCKS, **MART_BLOCKS, "dim_instance": "dim_now"}.items()))
+    for t, b in {**FACT_BLOCKS, **MART_BLOCKS, "dim_instance": "dim_now"}.items() if t != "fct_plan_daily"))
 oracle("lake_publish_after_failures", """
-SELECT instance_id, dt, samples FROM f_uptime WHERE dt BETWEEN DATE '2024-01-10' AND DATE '2024-01-16'""")
+SELECT instance_id, dt, samples FROM f_uptime""")
 block("halves", """
 SELECT *, CASE WHEN dt > DATE '2024-01-15' THEN 1 ELSE 2 END AS loaded_in FROM query_snapshot
 """)

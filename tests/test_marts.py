@@ -9,7 +9,7 @@ import pytest
 from rows import at, d, frame, result
 
 from obsmart.params import DEFAULTS
-from obsmart.plans import marts
+from obsmart.plans import facts, marts
 
 
 def daily(instance, query, day, calls, latency, text="t"):
@@ -90,7 +90,7 @@ def plans(*days, query="q", instance=1):
 def judge(spark, plan_rows, daily_rows, seed=()):
     return result(
         marts.mart_plan_regression(
-            frame(spark, "plan", *plan_rows), frame(spark, "daily", *daily_rows),
+            facts.fct_plan_daily(frame(spark, "plan", *plan_rows)), frame(spark, "daily", *daily_rows),
             frame(spark, "plan_regression_thresholds", *seed),
         ),
         key="flip_dt",
