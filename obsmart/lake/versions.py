@@ -28,6 +28,13 @@ class PublishError(RuntimeError):
     """Written rows differ from the rows that were to be published."""
 
 
+class RowsRefused(RuntimeError):
+    """Rows that break a rule were written; the version is not published."""
+
+
+Rules = Callable[[str], dict[str, Column]]
+
+
 class Lake:
     def __init__(self, spark: SparkSession, root: str, writers: int = 4):
         self.spark, self.root, self.writers = spark, root, writers
@@ -109,20 +116,25 @@ class Lake:
         committed_at: datetime | None = None,
         validate: Callable[[Callable[[str], DataFrame]], None] | None = None,
         daily: dict[str, date | None] | None = None,
+        rules: Rules | None = None,
     ) -> int:
         """Publish all given tables together as one version.
 
         Tables are replaced, except those in ``daily``: there only days from the
         given one on are written (all days for ``None``) and the others are
-        taken over from the version before. ``validate`` gets a reader of the
-        rows written, before anything becomes visible, and may raise.
+        taken over from the version before. ``rules`` names conditions on the rows
+        of a table that none may fulfil: they are counted by the write itself.
+        ``validate`` gets a reader of the rows written, before anything becomes
+        visible, and may raise.
         """
         daily = daily or {}
         with self.transaction(changes, committed_at) as tx:
+            tx.rules = rules
             tx.side_by_side(
                 [lambda n=n, df=df: tx.replace_days(n, df, daily[n]) if n in daily else tx.replace(n, df)
                  for n, df in tables.items()]
             )
+            tx.refuse_broken()
             if validate:
                 validate(tx.read_written)
         return tx.version
@@ -247,6 +259,22 @@ class Transaction:
         self.tables: dict[str, dict] = json.loads(json.dumps(lake.manifest()["tables"]))
         self.version: int | None = None
         self._written: list[str] = []
+        self.rules: Rules | None = None
+        self.broken: list[str] = []
+
+    def observed(self, table: str, df: DataFrame, seen: Observation) -> DataFrame:
+        """The rows, counted on their way to the writer, with those that break a rule."""
+        rules = self.rules(table) if self.rules else {}
+        counts = [F.count_if(broken).alias(f"rule{i}") for i, broken in enumerate(rules.values())]
+        return df.observe(seen, F.count(F.lit(1)).alias("rows"), *counts)
+
+    def note_broken(self, table: str, seen: Observation) -> None:
+        rules = self.rules(table) if self.rules else {}
+        self.broken += [f"{table} {rule}: {seen.get[f'rule{i}']}" for i, rule in enumerate(rules) if seen.get[f"rule{i}"]]
+
+    def refuse_broken(self) -> None:
+        if self.broken:
+            raise RowsRefused("; ".join(sorted(self.broken)))
 
     def _write(self, table: str, df: DataFrame, day: str | None = None) -> dict:
         """Write one part and compare the rows handed to the writer with the rows
@@ -256,7 +284,8 @@ class Transaction:
         path = f"{self.lake.root}/data/{table}/{uuid.uuid4().hex}"
         self._written.append(path)
         seen = Observation()
-        df.observe(seen, F.count(F.lit(1)).alias("rows")).write.parquet(path)
+        self.observed(table, df, seen).write.parquet(path)
+        self.note_broken(table, seen)
         landed = self.lake.spark.read.schema(df.schema).parquet(path).count()
         if landed != seen.get["rows"]:
             raise PublishError(f"{table}: {seen.get['rows']} rows written, {landed} found")
@@ -295,11 +324,12 @@ class Transaction:
         self._written.append(path)
         seen = Observation()
         (
-            rows.observe(seen, F.count(F.lit(1)).alias("rows"))
+            self.observed(table, rows, seen)
             .withColumn("_day", F.col(column))
             .write.partitionBy("_day")
             .parquet(path)
         )
+        self.note_broken(table, seen)
         names = [n for n in storage.list_names(self.lake.spark, path) if n.startswith("_day=")]
         landed = {}
         if names:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -50,17 +50,26 @@ def shape_problems(df: DataFrame, name: str) -> list[str]:
     return wrong
 
 
+def value_rules(name: str) -> dict[str, Column]:
+    """The NOT NULL and CHECK clauses, as conditions that a row breaks."""
+    rules = {f"not_null({f.name})": not_null(f.name) for f in StructType.fromDDL(CONTRACTS[name]) if not f.nullable}
+    return {**rules, **{f"check({c})": ~F.expr(c) for c in CHECKS.get(name, [])}}
+
+
 def value_violations(df: DataFrame, name: str) -> DataFrame:
     """(rule, violations) of the NOT NULL and CHECK clauses, in one pass."""
-    rules = {f"not_null({f.name})": not_null(f.name) for f in StructType.fromDDL(CONTRACTS[name]) if not f.nullable}
-    rules.update({f"check({c})": ~F.expr(c) for c in CHECKS.get(name, [])})
-    return row_rules(df, rules)
+    return row_rules(df, value_rules(name))
 
 
-def enforce(df: DataFrame, name: str) -> None:
+def require_shape(df: DataFrame, name: str) -> None:
+    """Refuse other names or types than promised; no row is read."""
     wrong = shape_problems(df, name)
     if wrong:
         raise ContractBroken(f"{name}: {'; '.join(wrong)}")
+
+
+def enforce(df: DataFrame, name: str) -> None:
+    require_shape(df, name)
     broken = value_violations(df, name).where("violations > 0").collect()  # at most one row per rule
     if broken:
         raise ContractBroken(f"{name}: " + "; ".join(f"{r['rule']} violated {r['violations']} times" for r in broken))

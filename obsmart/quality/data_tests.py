@@ -112,31 +112,51 @@ def table_rules(name: str) -> dict[str, Column]:
     return rules
 
 
-def run_tests(tables: Tables, names: list[str]) -> DataFrame:
-    """(table_name, rule, violations) for every declared test of the tables."""
+def key_tests(tables: Tables, name: str) -> list[DataFrame]:
+    """Uniqueness and relationships of a table: what no single row can tell."""
+    parts = [unique(tables(name), UNIQUE[name])] if name in UNIQUE else []
+    if name in PARENTS:
+        parent, key = PARENTS[name]
+        parts.append(relationship(tables(name), tables(parent), key))
+    return parts
+
+
+def named_tests(parts: dict[str, list[DataFrame]]) -> DataFrame | None:
     results = None
-    for name in names:
-        df = tables(name)
-        parts = [row_rules(df, table_rules(name))] if table_rules(name) else []
-        if name in UNIQUE:
-            parts.append(unique(df, UNIQUE[name]))
-        if name in PARENTS:
-            parent, key = PARENTS[name]
-            parts.append(relationship(df, tables(parent), key))
-        for part in parts:
+    for name, found in parts.items():
+        for part in found:
             part = part.select(F.lit(name).alias("table_name"), "rule", "violations")
             results = part if results is None else results.unionByName(part)
     return results
 
 
+def run_tests(tables: Tables, names: list[str]) -> DataFrame:
+    """(table_name, rule, violations) for every declared test of the tables."""
+    parts = {}
+    for name in names:
+        rows = [row_rules(tables(name), table_rules(name))] if table_rules(name) else []
+        parts[name] = rows + key_tests(tables, name)
+    return named_tests(parts)
+
+
 class TestsFailed(RuntimeError):
     """A built table violates at least one of its tests."""
 
     __test__ = False  # not a test class
 
 
-def require_clean(tables: Tables, names: list[str]) -> None:
-    """Fail closed: raise when any declared test finds a violating row."""
-    failed = run_tests(tables, names).where("violations > 0").collect()  # at most one row per rule
+def _refuse(results: DataFrame | None) -> None:
+    failed = [] if results is None else results.where("violations > 0").collect()  # at most one row per rule
     if failed:
         raise TestsFailed("; ".join(f"{r['table_name']} {r['rule']}: {r['violations']}" for r in failed))
+
+
+def require_clean(tables: Tables, names: list[str]) -> None:
+    """Fail closed: raise when any declared test finds a violating row."""
+    _refuse(run_tests(tables, names))
+
+
+def require_keys(tables: Tables, names: list[str]) -> None:
+    """The same for uniqueness and relationships alone, where the rules on single
+    rows were counted while the tables were written."""
+    _refuse(named_tests({n: key_tests(tables, n) for n in names}))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from obsmart.functions import rounded
 from obsmart.operators.ranking import latest_per_key
+from obsmart.sources import storage
 from obsmart.sources.tables import AXES
 
 # Columns of the two operational tables.
@@ -73,6 +74,53 @@ def latest_beats(beats: DataFrame) -> DataFrame:
     )
 
 
+#: Files of single beats from which they are folded.
+FOLD_AT = 64
+
+
+def _folds(spark: SparkSession, path: str) -> list[str]:
+    """Complete folds, oldest first; one without its marker was interrupted."""
+    names = storage.list_names(spark, f"{path}/_folds")
+    return [n for n in names if storage.exists(spark, f"{path}/_folds/{n}/_SUCCESS")]
+
+
+def read_beats(spark: SparkSession, path: str) -> DataFrame:
+    """All beats that still matter: the newest fold and the files beside it. A file
+    that the fold holds already changes nothing, for only the latest counts."""
+    folds = _folds(spark, path)
+    places = [f"{path}/{n}" for n in storage.list_files(spark, path)] + [f"{path}/_folds/{n}" for n in folds[-1:]]
+    return spark.read.schema(HEARTBEAT).parquet(*places) if places else spark.createDataFrame([], HEARTBEAT)
+
+
+def fold_beats(spark: SparkSession, path: str) -> str:
+    """Write the latest beat of each pipeline as one state; returns its name.
+
+    The state counts from the moment its marker is written, and until then it is
+    ignored. Files that it holds are deleted by the next fold, not by this one:
+    a reader that began before finds its files, and whatever an interruption
+    leaves behind is folded again. Reads so grow with the pipelines and the
+    beats of two folds, not with age.
+    """
+    files, folds = storage.list_files(spark, path), _folds(spark, path)
+    number = 1 + max([int(n) for n in storage.list_names(spark, f"{path}/_folds")], default=0)
+    name = f"{number:08d}"
+    latest_beats(read_beats(spark, path)).select("dag_id", "last_success_at", "run_id", "note").write.parquet(f"{path}/_folds/{name}")
+    storage.create_text(spark, f"{path}/_folds/{name}/_covered", "\n".join(files))
+    if folds:
+        covered = f"{path}/_folds/{folds[-1]}/_covered"
+        if storage.exists(spark, covered):
+            for old in storage.read_text(spark, covered).splitlines():
+                storage.delete_folder(spark, f"{path}/{old}")
+        for old in folds[:-1]:
+            storage.delete_folder(spark, f"{path}/_folds/{old}")
+    return name
+
+
+def fold_many_beats(spark: SparkSession, path: str, at: int = FOLD_AT) -> None:
+    if len(storage.list_files(spark, path)) >= at:
+        fold_beats(spark, path)
+
+
 def staleness(watched: DataFrame, latest: DataFrame, as_of: Column) -> DataFrame:
     """Is each watched pipeline (dag_id, max_age_seconds) overdue at ``as_of``?
     Never having succeeded is stale; being exactly at the deadline is not."""

@@ -14,13 +14,14 @@ from obsmart.functions import rounded
 from obsmart.lake.versions import Lake
 from obsmart.params import DEFAULTS
 from obsmart.plans import serving
+from obsmart.plans.daily import row_rules
 from obsmart.plans.facts import FACTS
 from obsmart.plans.marts import MARTS
 from obsmart.plans.staging import STAGING
 from obsmart.plans.warehouse import FROM_STATE, PUBLISHED, SETTLED, Warehouse, load_start, refresh_fact
 from obsmart.quality import contract, data_tests, gate, runs
 from obsmart.session import fresh_dir
-from obsmart.sources import jdbc, landing
+from obsmart.sources import jdbc, landing, storage
 from obsmart.sources.fleet import fleet_source
 from obsmart.sources.local import local_frame
 from obsmart.sources.tables import AUXILIARY, RAW_TABLES, raw_table
@@ -307,7 +308,7 @@ def lake_publish(spark: SparkSession, folder: str) -> DataFrame:
     """All published tables as one version: rows per table."""
     w = warehouse(spark, folder)
     lake = Lake(spark, fresh_dir(spark, "lake"))
-    lake.publish({n: w.table(n) for n in PUBLISHED}, validate=contract.enforce_all, daily=dict.fromkeys(FACTS))
+    lake.publish({n: w.table(n) for n in PUBLISHED}, daily=dict.fromkeys(FACTS), rules=row_rules)
     return lake.measure().select("table_name", "row_count")
 
 
@@ -650,6 +651,22 @@ def heartbeat_latest(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def heartbeat_folded(spark: SparkSession, folder: str) -> DataFrame:
+    """The latest beats after two folds and one that was interrupted, with beats
+    before, between and after them."""
+    path = f"{fresh_dir(spark, 'beats')}/beats"
+    beats, third = _beats(spark, folder), F.pmod(F.xxhash64("dag_id", "last_success_at"), F.lit(3))
+    for n in range(3):
+        beats.where(third == n).write.mode("append").parquet(path)
+        if n < 2:
+            runs.fold_beats(spark, path)
+    beats.limit(0).write.parquet(f"{path}/_folds/00000009")
+    storage.delete_folder(spark, f"{path}/_folds/00000009/_SUCCESS")
+    return runs.latest_beats(runs.read_beats(spark, path)).select(
+        "dag_id", F.col("last_success_at").cast("timestamp_ntz").alias("last_success_at"), "run_id"
+    )
+
+
 def staleness(spark: SparkSession, folder: str) -> DataFrame:
     """Collectors with no success within an hour of the end of the data; one
     watched collector per instance that never existed as well."""
@@ -710,7 +727,7 @@ def _builtin() -> dict[str, Query]:
         quality_landed_counts, quality_newest_watermark, quality_reconciliation, quality_completeness,
         quality_freshness, quality_schema_drift, quality_gate, quality_gate_auxiliary, quality_day_status,
         quality_data_tests, quality_violations, quality_duplicate_polls, quality_contracts,
-        quality_two_sided_report, run_log, heartbeat_latest, staleness, scale_replicate_day, scale_slow_down,
+        quality_two_sided_report, run_log, heartbeat_latest, heartbeat_folded, staleness, scale_replicate_day, scale_slow_down,
         scale_spread_instances, scale_daily_commits,
     ):
         named[f.__name__] = f

@@ -48,6 +48,16 @@ def delete_folder(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A small file that this package wrote."""
+    p, fs = _path(spark, path)
+    stream = fs.open(p)
+    try:
+        return bytes(stream.readAllBytes()).decode("utf-8")
+    finally:
+        stream.close()
+
+
 def create_text(spark: SparkSession, path: str, text: str) -> None:
     """Write a small file that must not exist yet: written aside, then renamed
     into place, so a reader sees all of it or none of it."""

@@ -273,6 +273,7 @@ SELECT dag_id, sampled_at AS last_success_at, CAST(id AS VARCHAR) AS run_id FROM
 QUALIFY row_number() OVER (PARTITION BY dag_id ORDER BY sampled_at DESC, CAST(id AS VARCHAR) DESC) = 1
 """)
 oracle("heartbeat_latest", "SELECT * FROM last_life")
+oracle("heartbeat_folded", "SELECT * FROM last_life")
 oracle("staleness", """
 SELECT w.dag_id, l.dag_id IS NULL OR l.age > 3600 AS stale, round(l.age, 3) AS age_seconds, 3600::BIGINT AS max_age_seconds
 FROM (SELECT 'collect-' || instance_id AS dag_id FROM instances

@@ -266,6 +266,18 @@ def test_write_back_failures_leave_the_target(spark):
         assert target.target == ["old"]
 
 
+def test_a_published_baseline_goes_to_its_table(spark):
+    target, asked = Target(), []
+    columns = {c: F.lit(1) for c in jdbc.BASELINE_COLUMNS}
+
+    def mart(version):
+        asked.append(version)
+        return spark.range(3).withColumns(columns)
+
+    jdbc.baseline_write_back(mart, target.stage, lambda _: len(target.staged), target.swap)(7)
+    assert asked == [7] and len(target.target) == 3 and target.statements[0] == "DELETE FROM baseline_longterm"
+
+
 def test_write_back_without_target_does_nothing(spark):
     target = Target()
     assert _write(spark.range(5), target, configured=False) is None and target.staged == []

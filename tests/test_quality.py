@@ -9,8 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 from rows import daily_contract_rows, frame, result
 
+from obsmart.lake.versions import Lake, RowsRefused
+from obsmart.plans.daily import row_rules
 from obsmart.quality import contract, data_tests, gate, runs
 from obsmart.session import fresh_dir
+from obsmart.sources import storage
 from obsmart.sources.local import local_frame
 from obsmart.sources.tables import raw_table
 
@@ -155,3 +158,57 @@ def test_heartbeat_latest_and_staleness(spark):
     got = result(runs.staleness(watched, latest, F.lit(now)), key="dag_id")
     assert {k: v["stale"] for k, v in got.items()} == {"daily": False, "weekly": True, "never": True}
     assert got["daily"]["age_seconds"] == 26 * 3600 and got["never"]["age_seconds"] is None
+
+
+def test_folding_beats_keeps_the_latest_and_few_files(spark, monkeypatch):
+    path = fresh_dir(spark, "beats") + "/beats"
+    now = datetime(2026, 1, 2, 12)
+
+    def latest():
+        return {r["dag_id"]: (r["last_success_at"], r["run_id"]) for r in runs.latest_beats(runs.read_beats(spark, path)).collect()}
+
+    assert latest() == {}
+    for n in range(6):
+        runs.beat(spark, path, f"dag{n % 2}", now + timedelta(minutes=n), str(n))
+        runs.fold_many_beats(spark, path, at=2)
+        want = {f"dag{k % 2}": (now + timedelta(minutes=k), str(k)) for k in range(n + 1)}
+        assert latest() == want
+    assert len(storage.list_files(spark, path)) <= 3 and len(storage.list_names(spark, f"{path}/_folds")) <= 2
+    with monkeypatch.context() as m:  # after the state is written, before anything is deleted
+        m.setattr(storage, "create_text", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+        with pytest.raises(OSError, match="gone"):
+            runs.fold_beats(spark, path)
+    assert latest() == want
+    storage.delete_folder(spark, f"{path}/_folds/{storage.list_names(spark, f'{path}/_folds')[-1]}/_SUCCESS")  # while it is written
+    assert latest() == want
+    runs.fold_beats(spark, path)
+    assert latest() == want
+
+
+def test_rules_are_counted_by_the_write_that_publishes(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    @F.udf("long")
+    def counted(x):
+        seen.add(1)
+        return x
+
+    df = local_frame(spark, [(1, "MYSQL"), (2, None), (3, None)], "instance_id BIGINT, engine STRING").select(
+        counted("instance_id").alias("instance_id"), "engine")
+    lake = Lake(spark, fresh_dir(spark, "lake"))
+    with pytest.raises(RowsRefused, match=r"dim_instance not_null\(engine\): 2"):
+        lake.publish({"dim_instance": df}, rules=row_rules)
+    assert lake.versions() == [] and seen.value == 3
+    assert lake.publish({"dim_instance": df.where("engine is not null")}, rules=row_rules) == 1
+    daily = frame(spark, "daily", *daily_contract_rows()).withColumn("delta_calls", F.col("delta_calls") - 3)
+    with pytest.raises(RowsRefused, match=r"fct_query_daily check\(delta_calls >= 0\): 1; fct_query_daily non_negative\(delta_calls\): 1"):
+        lake.publish({"fct_query_daily": daily}, daily={"fct_query_daily": None}, rules=row_rules)
+    assert lake.versions() == [1]
+
+
+def test_keys_are_tested_apart(spark):
+    twice = local_frame(spark, [(1, "a"), (1, "b")], "instance_id BIGINT, engine STRING")
+    with pytest.raises(data_tests.TestsFailed, match="unique"):
+        data_tests.require_keys(lambda _: twice, ["dim_instance", "fct_size_daily"])
+    data_tests.require_keys(lambda _: twice.limit(1), ["dim_instance"])
+    data_tests.require_keys(lambda _: twice, ["fct_size_daily"])
