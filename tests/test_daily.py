@@ -105,7 +105,7 @@ def test_failed_publishes_and_older_days_lose_nothing(spark, run, monkeypatch):
     assert chain.lake.versions() == [1]
     chain.run("2024-01-13")
     rebuilt = Warehouse(spark, lambda n: read_landed(spark, chain.raw_root, n), fresh_dir(spark, "rebuild"))
-    for fact in FACTS:
+    for fact in (f for f in FACTS if f in PUBLISHED):
         want = rebuilt.build_fact(fact)
         assert _published(chain, fact) == sorted(map(repr, want.select(sorted(want.columns)).collect())), fact
     before = {p["path"] for p in chain.lake.manifest()["tables"]["fct_query_daily"]["parts"]}
