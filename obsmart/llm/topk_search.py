@@ -13,17 +13,22 @@ chunk, and the chunks' best are merged. Bounds are rounded towards keeping
 a vector, scores are exact integers, so nothing is lost; how much is ruled
 out depends on how well the vectors cluster.
 
-Cases: vectors that are null, empty, or hold null or non-finite components, or
-one beyond 2**30 after scaling, take no part, nor do rows without an id; a shorter vector
-counts as continued by zeros; rows that repeat an id are one candidate with
-the best of their scores, and as a query the greatest of their vectors;
-fewer than k candidates give fewer rows; an empty table gives none.
+Cases: vectors that are null, empty, or hold null or non-finite components take
+no part, nor do rows without an id; pairs with a vector that has a component
+beyond 2**26 after scaling are scored apart, in integers of any size; a score
+that a long cannot hold counts as the largest or smallest one; equal scores are ranked by id; a
+shorter vector counts as continued by zeros, a very long one is a row like any other; rows that repeat an id are one candidate with
+the best of their scores, and as a query the greatest of their vectors; other
+columns are ignored; fewer than k candidates give fewer rows; an empty table gives none.
 """
 
 from __future__ import annotations
 
+import heapq
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +43,20 @@ SCALE, EVERY, BEST = 256, 50, 5
 GROUP_QUERIES, MOST_PIVOTS = 1024, 2048
 #: Vectors of a chunk.
 CHUNK = 1 << 15
+#: Largest component, and most components, of vectors that are kept in 32 bits and
+#: multiplied in 64; all others are wide.
+NARROW, LONG_VECTOR = 2.0**26, 1024
+#: Rows on a side where pairs with wide vectors are scored; the largest score.
+BEYOND, LONGEST = 1 << 11, (1 << 63) - 1
 #: Data vectors whose scores bound each query's k-th best from below.
 LANDMARKS = 512
 
 
+def above(x: np.ndarray) -> np.ndarray:
+    """A little more than ``x``, whatever its sign: rounding must rule nothing out."""
+    return x + 1e-9 * np.abs(x) + 1e-6
+
+
 @dataclass
 class Groups:
     """Pivots with, for each, its group's radius and score bound and its cell's
@@ -61,11 +76,11 @@ class Groups:
         for g in np.flatnonzero(np.isfinite(self.bound)).tolist():
             # c.x <= c.p + |c| s and |x| <= |p| + s for x within s of its pivot p
             reach = among[g] + norms[g] * self.cell_radius + self.radius[g] * (norms + self.cell_radius)
-            open_ = (reach * (1 + 1e-9) + 1e-6 >= self.bound[g])[cells]
+            open_ = (above(reach) >= self.bound[g])[cells]
             some = np.flatnonzero(open_)
             if len(some):
                 upper = x[some] @ self.pivots[g] + self.radius[g] * lengths[some]
-                some = some[upper * (1 + 1e-9) + 1e-6 >= self.bound[g]]
+                some = some[above(upper) >= self.bound[g]]
             if len(some):
                 yield g, some
 
@@ -103,7 +118,7 @@ def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, widths, blobs = [], [], []
+            ids, widths, blobs, wide = [], [], [], []
             rows = batch.column(1).cast(pa.large_list(pa.float64()))
             bounds = rows.offsets.to_numpy()
             values = rows.flatten() if not rows.null_count else rows.values.slice(bounds[0], bounds[-1] - bounds[0])
@@ -112,18 +127,68 @@ def quantised(embeddings: DataFrame, scale: int = SCALE) -> DataFrame:
                 values = values.astype(np.float64)
             with np.errstate(invalid="ignore", over="ignore"):
                 found = np.floor(scale * values)
-                fine = np.abs(found) <= 2.0**30  # false for NaN
+                fine = np.abs(found) <= NARROW  # false for NaN
+                small = np.abs(found) <= NARROW / 64
+                finite = np.isfinite(values)
             lengths = np.where(rows.is_valid().to_numpy(zero_copy_only=False), np.diff(bounds), 0)
             at = 0
             for vec_id, n in zip(batch.column(0).to_pylist(), lengths.tolist(), strict=True):
-                if n and vec_id is not None and fine[at : at + n].all():
+                if n and vec_id is not None and finite[at : at + n].all():
                     ids.append(vec_id)
                     widths.append(n)
-                    blobs.append(found[at : at + n].astype("<i4").tobytes())
+                    wide.append(not (fine if n <= LONG_VECTOR else small)[at : at + n].all())
+                    blobs.append((values[at : at + n].astype("<f8") if wide[-1] else found[at : at + n].astype("<i4")).tobytes())
                 at += n
-            yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(widths, pa.int32()), pa.array(blobs, pa.binary())], ["vec_id", "width", "vector"])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids, pa.int64()), pa.array(widths, pa.int32()), pa.array(blobs, pa.binary()), pa.array(wide, pa.bool_())],
+                ["vec_id", "width", "vector", "wide"],
+            )
+
+    return embeddings.select("vec_id", "embedding").mapInArrow(work, "vec_id long, width int, vector binary, wide boolean")
+
 
-    return embeddings.select("vec_id", "embedding").mapInArrow(work, "vec_id long, width int, vector binary")
+def exact(blob: bytes, wide: bool, scale: int) -> list[int]:
+    """The scaled components as integers of any size."""
+    if not wide:
+        return np.frombuffer(blob, "<i4").tolist()
+    return [math.floor(Fraction(x) * scale) for x in np.frombuffer(blob, "<f8").tolist()]
+
+
+def _beyond(data: DataFrame, queries: DataFrame, n_queries: int, k: int, scale: int) -> DataFrame | None:
+    """(query_id, vec_id, score) of the k best of all pairs with a wide vector on
+    either side, block by block in integers of any size; None where there is no
+    such vector. No bound is worked out for these: their squares may be infinite."""
+    n_wide, total = data.where("wide").count(), data.count()
+    if not n_wide:
+        return None
+
+    def solve(name, left: pa.Table, right: pa.Table) -> pa.Table:
+        rows = right.to_pylist()
+        known = [exact(r["vector"], r["wide"], scale) for r in rows]
+        out: list[tuple[int, int, int]] = []
+        for q in left.to_pylist():
+            own = exact(q["vector"], q["wide"], scale)
+            found = [
+                (max(-LONGEST, min(LONGEST, sum(a * b for a, b in zip(own, x, strict=False)))), r["vec_id"])
+                for r, x in zip(rows, known, strict=True)
+                if r["vec_id"] != q["vec_id"] and (q["wide"] or r["wide"])
+            ]
+            best = dict(sorted(((i, s) for s, i in found), key=lambda x: x[1]))  # of rows that repeat an id, the best
+            out += [(q["vec_id"], i, s) for i, s in heapq.nsmallest(k, best.items(), key=lambda x: (-x[1], x[0]))]
+        columns = list(zip(*out, strict=True)) or [[]] * 3
+        return pa.table({c: pa.array(v, pa.int64()) for c, v in zip(("query_id", "vec_id", "score"), columns, strict=True)})
+
+    def grid(asked: DataFrame, held: DataFrame, n_asked: int, n_held: int) -> DataFrame:
+        blocks, chunks = (max(1, -(-n // BEYOND)) for n in (n_asked, n_held))
+        block, chunk = (F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int") for n in (blocks, chunks))
+        left = asked.withColumn("block", block).withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1))))
+        right = held.withColumn("chunk", chunk).withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
+        keys = ["block", "chunk"]
+        return left.groupBy(*keys).cogroup(right.groupBy(*keys)).applyInArrow(solve, "query_id long, vec_id long, score long")
+
+    queries, data = queries.select("vec_id", "vector", "wide"), data.select("vec_id", "vector", "wide")
+    found = grid(queries, data.where("wide"), n_queries, n_wide)
+    return found.union(grid(queries.where("wide"), data.where("not wide"), n_wide, total - n_wide))
 
 
 def _cells(data: DataFrame, pivots: np.ndarray, width: int) -> DataFrame:
@@ -175,7 +240,11 @@ def top_k(embeddings: DataFrame, is_query, k: int = BEST, scale: int = SCALE) ->
     ship_code(spark)
     data = stage(quantised(embeddings, scale), "search-vectors")
     total, width = data.agg(F.count(F.lit(1)), F.max("width")).first()
-    queries = stage(data.where(is_query).groupBy("vec_id").agg(F.max("vector").alias("vector")), "search-queries")
+    asked = data.where(is_query).groupBy("vec_id").agg(F.max(F.struct("wide", "vector")).alias("v"))
+    asked = stage(asked.select("vec_id", "v.vector", "v.wide"), "search-queries")
+    beyond = _beyond(data, asked, asked.count(), k, scale)
+    queries, data = asked.where("not wide").drop("wide"), data.where("not wide")
+    width = data.agg(F.max("width")).first()[0]
     n_queries = queries.count()
     width = width or 1
     n_pivots = max(1, min(MOST_PIVOTS, -(-n_queries // GROUP_QUERIES)))
@@ -247,6 +316,7 @@ def top_k(embeddings: DataFrame, is_query, k: int = BEST, scale: int = SCALE) ->
     copies = copies.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
     keys = ["grp", "block", "chunk"]
     near = sent.groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(solve, "query_id long, vec_id long, score long")
+    near = near if beyond is None else near.union(beyond)
     merged = near.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return merged.withColumn("rank", place).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -5,8 +5,11 @@ from __future__ import annotations
 import base64
 import gzip
 import hashlib
+import math
 import random
+from fractions import Fraction
 
+import numpy as np
 import pytest
 from samples import FOLDER, ODD
 from plain import article, linked, top_k
@@ -93,21 +96,53 @@ def test_search_equals_brute_force(spark, monkeypatch):
     rows = [(i, [draw.choice(centres)[k] + draw.gauss(0, 0.05) for k in range(6)]) for i in range(300)]
     rows += [(i, rows[7][1]) for i in range(300, 360)]  # one common vector
     got = topk_search.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), F.col("vec_id") % 50 == 0)
-    import math
 
     whole = [(i, [math.floor(256 * x) for x in v]) for i, v in rows]
     assert sorted(map(tuple, got.collect())) == top_k(whole, 5, 50)
 
 
-def test_odd_vectors_take_no_part(spark):
+def plain_top(rows, every=50, k=5):
+    """Exact, with integers of any size, scores held within a long."""
+    fine = [(i, [math.floor(Fraction(x) * 256) for x in v]) for i, v in rows if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
+    out = []
+    for q, own in fine:
+        if q % every == 0:
+            scored = [(-max(1 - 2**63, min(2**63 - 1, sum(a * b for a, b in zip(own, x, strict=False)))), i) for i, x in fine if i != q]
+            out += [(q, n, i, -s) for n, (s, i) in enumerate(sorted(scored)[:k], 1)]
+    return sorted(out)
+
+
+def test_odd_vectors(spark):
     rows = [(0, [1.0, 2.0]), (1, None), (2, []), (3, [1.0, None]), (4, [float("nan"), 1.0]), (5, [float("inf"), 1.0]), (6, [0.5]),
             (7, [1.0, 1.0]), (7, [1.0, 1.0]), (None, [9.0, 9.0]), (50, [1e300, 1.0])]
-    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    got = topk_search.top_k(frame, F.col("vec_id") % 50 == 0).collect()
-    assert sorted(map(tuple, got)) == [(0, 1, 7, 256 * 256 * 3), (0, 2, 6, 256 * 128)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumns({n: F.lit(1) for n in ("grp", "wide", "score")})
+    got = sorted(map(tuple, topk_search.top_k(frame, F.col("vec_id") % 50 == 0).collect()))
+    most = 2**63 - 1
+    assert got == [(0, 1, 50, most), (0, 2, 7, 256 * 256 * 3), (0, 3, 6, 256 * 128), (50, 1, 0, most), (50, 2, 6, most), (50, 3, 7, most)]
     assert topk_search.top_k(frame.where("false"), F.col("vec_id") % 50 == 0).count() == 0
 
 
+def test_large_finite_vectors_are_found(spark):
+    rng = np.random.default_rng(4)
+    rows = [(0, [1.0, 1.0]), (1, [5e6, 1.0]), (2, [2.0, 1.0])]
+    rows += [(i, [float(x) for x in rng.normal(0, 10.0 ** rng.integers(-2, 20), 2)]) for i in range(100, 400)]
+    rows += [(400, [-1e308, 1e308]), (401, [5e-324, -5e-324]), (450, [0.0] * 1500), (451, [3e5] * 1500)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted(map(tuple, topk_search.top_k(frame, F.col("vec_id") % 50 == 0).collect()))
+    assert got == plain_top(rows) and topk_search.top_k(frame.where("vec_id < 3"), F.col("vec_id") == 0).first().vec_id == 1
+
+
+def test_negative_bounds_and_a_vector_many_share(spark):
+    rows = [(i, [-40.0, 40.0] if i % 2 else [40.0 + i % 3, -40.0]) for i in range(0, 400)]
+    rows += [(1000 + i, [-30.0, 30.0]) for i in range(200)]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for chosen in (rows, [r for r in rows if r[0] % 2 == 0 and r[0] < 400 and r[0] % 50 == 0] + rows[400:]):
+        some = frame.where(F.col("vec_id").isin([r[0] for r in chosen]))
+        assert sorted(map(tuple, topk_search.top_k(some, F.col("vec_id") % 50 == 0).collect())) == plain_top(chosen)
+    upper = np.array([-5000.0, 5000.0, 0.0])
+    assert (topk_search.above(upper) > upper).all()
+
+
 # --- pages ---------------------------------------------------------------------------
 def test_given_pages_equal_their_articles(spark):
     pages = spark.read.parquet(f"{FOLDER}/pages.parquet")
