@@ -10,8 +10,8 @@ The targets come from one number per source. Filling up is a few sums over
 that small table, not a loop over sources.
 
 Cases: null and empty texts have size 0 and are emitted by the same rule; the
-null source is a source of its own, last in order; repeated rows draw the same
-hash and are emitted alike; an empty table gives no rows; other columns are kept as they are.
+null source is a source of its own, last in order; repeated rows draw each for
+itself; equal draws mean equal texts; a very long text counts like any other; an empty table gives no rows; other columns are kept as they are.
 """
 
 from __future__ import annotations
@@ -52,6 +52,16 @@ def targets(sizes: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float
     return known.withColumn("target", F.least(share, most * F.col("source_size")))
 
 
+def digest(text: Column) -> Column:
+    return F.md5(F.coalesce(text, F.lit("")))
+
+
+def repeats(docs: DataFrame) -> bool:
+    """Whether any two rows have the same id, or none, and the same text."""
+    rows = docs.groupBy("doc_id", digest(docs["text"]).alias("_text")).agg(F.count(F.lit(1)).alias("_n"))
+    return not rows.where("_n > 1").isEmpty()
+
+
 def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MOST, seed: str = SEED) -> DataFrame:
     """Every row with its size, source_size, target, rate and copies, below
     ``mix``; ``row`` holds the row as it came."""
@@ -61,7 +71,8 @@ def plan(docs: DataFrame, weights: tuple[float, ...] = WEIGHTS, most: float = MO
     goals = goals.withColumn("rate", rate)
     small = goals.limit(BROADCAST_SOURCES + 1).count() <= BROADCAST_SOURCES
     found = sized.join(F.broadcast(goals) if small else goals, sized["row.source"].eqNullSafe(goals["source"]))
-    drawn = unit_hash(F.lit(seed), F.col("row.doc_id")) < F.col("rate") - F.floor("rate")
+    number = F.monotonically_increasing_id() if repeats(docs) else F.lit(0)
+    drawn = unit_hash(F.lit(seed), F.col("row.doc_id"), digest(F.col("row.text")), number) < F.col("rate") - F.floor("rate")
     copies = F.floor("rate") + F.when(drawn, 1).otherwise(0)
     mix = F.struct("size", "source_size", "target", "rate", copies.cast("long").alias("copies"))
     return found.select("row", mix.alias("mix"))
@@ -83,7 +94,7 @@ def op3_source_mix(spark, folder: str) -> DataFrame:
 
 OP3_SQL = r"""
 WITH sized AS (
-  SELECT doc_id, source,
+  SELECT doc_id, source, md5(coalesce(text, '')) AS digest,
          CAST(len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS BIGINT) AS size
   FROM documents),
 per_source AS (
@@ -104,7 +115,7 @@ goals AS (
 rated AS (
   SELECT s.doc_id, s.size, g.source_size, g.target,
          CASE WHEN g.source_size > 0 THEN least(g.target / g.source_size, 3.0) ELSE 1.0 END AS rate,
-         CAST('0x' || substr(md5('mix-1|' || coalesce(CAST(s.doc_id AS VARCHAR), 'null')), 1, 12) AS BIGINT) / 281474976710656.0 AS draw
+         CAST('0x' || substr(md5('mix-1|' || coalesce(CAST(s.doc_id AS VARCHAR), 'null') || '|' || s.digest || '|0'), 1, 12) AS BIGINT) / 281474976710656.0 AS draw
   FROM sized s JOIN goals g ON s.source IS NOT DISTINCT FROM g.source)
 SELECT doc_id, size, source_size, target,
        CAST(size * (floor(rate) + CASE WHEN draw < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken
