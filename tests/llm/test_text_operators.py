@@ -7,7 +7,7 @@ from collections import defaultdict
 
 import numpy as np
 import pytest
-from samples import LONG, ODD
+from samples import DOC, LONG, ODD
 from plain import base_counts, words
 from pyspark.sql import functions as F
 
@@ -46,6 +46,15 @@ def test_rules_are_sorted_by_rejections_per_second():
     assert [r.name for r in quality_rules.ordered([(a, 1.0, 0.1), (b, 0.1, 0.05), (c, 1.0, 0.1)])] == ["b", "a", "c"]
 
 
+def test_rules_are_measured_on_rows_that_pass_the_base_limits(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    found = {rule.name: share for rule, _, share in quality_rules.measured(docs, quality_rules.RULES, rows=2000)}
+    passing = quality_rules.base(docs).where(~F.col("base_failed"))
+    for rule in quality_rules.RULES:
+        want = passing.where(rule.rejects()).count() / passing.count()
+        assert abs(found[rule.name] - want) < 0.02, rule.name
+
+
 def test_kept_rows_have_their_own_columns(odd, none):
     kept = quality_rules.kept(odd)
     assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {None}  # the long texts repeat themselves
@@ -79,6 +88,15 @@ def test_plan_and_emission_agree(odd, none):
     assert mixing.emit(mixing.plan(none)).count() == 0
 
 
+def test_rows_without_or_with_shared_ids_draw_apart(spark):
+    rows = [(None if i % 2 else 7, f"{'word ' * (20 + i % 60)}{i if i % 5 else ''}", "en", "abc"[i % 3], 0) for i in range(900)]
+    planned = mixing.plan(spark.createDataFrame(rows, DOC))
+    found = planned.groupBy("row.source").agg(F.sum(F.col("mix.size") * F.col("mix.copies")).alias("taken"), F.first("mix.target").alias("target")).collect()
+    assert len(found) == 3 and all(abs(r.taken / r.target - 1) < 0.15 for r in found)
+    again = mixing.plan(spark.createDataFrame(rows, DOC)).agg(F.sum(F.col("mix.size") * F.col("mix.copies"))).first()[0]
+    assert again == sum(r.taken for r in found)
+
+
 # --- tokens, packing ------------------------------------------------------------
 def test_word_by_word_ids_equal_those_of_the_whole_text(docs):
     import pyarrow as pa
