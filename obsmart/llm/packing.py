@@ -45,20 +45,28 @@ def differencing(lengths: np.ndarray, ways: int) -> np.ndarray:
     n = len(lengths)
     if ways == 1 or n == 0:
         return np.zeros(n, np.int64)
-    sums = np.zeros((2 * n, ways), np.int64)
-    sums[:n, 0] = lengths
+    sums: dict[int, np.ndarray] = {}  # of the partial partitions that are left; a piece alone needs none
+    narrow = np.uint16 if ways <= 1 << 16 else np.int64
     parents: list[tuple[int, int, np.ndarray]] = []
+
+    def taken(k: int) -> np.ndarray:
+        if k >= n:
+            return sums.pop(k)
+        alone = np.zeros(ways, np.int64)
+        alone[0] = lengths[k]
+        return alone
+
     heap = [(-int(v), i) for i, v in enumerate(lengths)]
     heapq.heapify(heap)
     while len(heap) > 1:
         (_, a), (_, b) = heapq.heappop(heap), heapq.heappop(heap)
-        both = sums[a] + sums[b][::-1]
+        both = taken(a) + taken(b)[::-1]
         order = np.argsort(-both, kind="stable")
         both = both[order]
         new = n + len(parents)
         sums[new] = both - both[-1]
-        parents.append((a, b, order))
-        heapq.heappush(heap, (-int(sums[new, 0]), new))
+        parents.append((a, b, order.astype(narrow)))
+        heapq.heappush(heap, (-int(sums[new][0]), new))
     windows = {heap[0][1]: np.arange(ways)}
     placed = np.zeros(n, np.int64)
     for k in range(len(parents) - 1, -1, -1):

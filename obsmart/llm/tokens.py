@@ -7,6 +7,7 @@ a word once and looks it up afterwards; the cache is bounded and only saves time
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from functools import lru_cache
@@ -38,13 +39,18 @@ class WordEncoder:
     PLAIN = "^[a-zß-öø-ÿ]+$"
 
     def __init__(self, path: str, cache_words: int = 250_000):
+        # one thread a worker: Spark runs many workers, and each thread keeps memory of its own
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        #: Normalizer and splitting of whole words, and those that words of plain letters need.
+        self.whole = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
+        self.plain = (
+            normalizers.Sequence([]),
+            pre_tokenizers.Sequence(
+                [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+            ),
         )
         size = self.tokenizer.get_vocab_size()
         self.width = 2 if size <= 1 << 16 else 4
@@ -61,24 +67,33 @@ class WordEncoder:
         self.lengths = np.empty(0, np.int64)
 
     def _learn(self, words: pa.Array) -> None:
-        names = words.to_pylist()
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(names, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self._keep(words, np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum())), lengths)
+        flats, sizes = [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
+        for at in range(0, len(words), self.CHUNK):
+            names = words.slice(at, self.CHUNK).to_pylist()
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(names, add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, found), np.int64, len(found)))
+            flats.append(np.fromiter((i for ids in found for i in ids), np.uint32, int(sizes[-1].sum())))
+        self._keep(words, np.concatenate(flats), np.concatenate(sizes))
 
     def _learn_plain(self, words: pa.Array) -> None:
         """Joined by spaces, each word ends at its one token with a word end.
         Where the counts don't agree, each is encoded alone."""
-        chunks = [words.slice(i, self.CHUNK) for i in range(0, len(words), self.CHUNK)]
-        joined = self.plain.encode_batch_fast([" ".join(c.to_pylist()) for c in chunks], add_special_tokens=False)
         flats, sizes = [], []
-        for chunk, encoding in zip(chunks, joined, strict=True):
-            ids = np.array(encoding.ids, np.uint32)
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(chunk) or ends[-1] != len(ids):
-                return self._learn(words)
-            flats.append(ids)
-            sizes.append(np.diff(ends, prepend=0))
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.plain
+        try:
+            for at in range(0, len(words), self.CHUNK):
+                chunk = words.slice(at, self.CHUNK)
+                (joined,) = self.tokenizer.encode_batch_fast([" ".join(chunk.to_pylist())], add_special_tokens=False)
+                ids = np.array(joined.ids, np.uint32)
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                if len(ends) != len(chunk) or ends[-1] != len(ids):
+                    break
+                flats.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
+        finally:
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.whole
+        if sum(map(len, sizes)) < len(words):
+            return self._learn(words)
         return self._keep(words, np.concatenate(flats), np.concatenate(sizes))
 
     def _keep(self, words: pa.Array, flat: np.ndarray, lengths: np.ndarray) -> None:
