@@ -6,12 +6,14 @@ import contextlib
 import ctypes
 import gc
 import tempfile
+import weakref
 import zipfile
 from collections.abc import Iterator
 from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -52,7 +54,19 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     once, and a lost executor costs no more than a read."""
     path = fresh_dir(df.sparkSession, label)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    _STORED[stored] = path
+    return stored
+
+
+_STORED: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
+def unstage(*frames: DataFrame) -> None:
+    """Delete the folders of staged frames that nothing reads any more."""
+    for df in frames:
+        store, path = pafs.FileSystem.from_uri(_STORED.pop(df))
+        store.delete_dir(path)
 
 
 def n_words(text: Column) -> Column:

@@ -46,7 +46,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsmart.llm.common import WORD, given_back, partition_id, partitions, ship_code, slices, stage, table
+from obsmart.llm.common import WORD, given_back, partition_id, partitions, ship_code, slices, stage, table, unstage
 from obsmart.llm.shingles import digests, shingle_sets, spread
 
 WORDS, LEAST = 4, 85
@@ -648,10 +648,13 @@ def _classes(docs: DataFrame, words: int, least: int) -> tuple[DataFrame, DataFr
     tiles = blocks.join(maps, "a").select("block", "tile", "side", "n", "c", "bitmap")
     dealt = tiles.repartition(parts, "block", "tile").sortWithinPartitions("block", "tile", "n", "c")
     pairs = stage(_pairs(dealt, least, parts), "join-pairs")
+    unstage(blocks, wanted)
     groups = _groups(merged_forests(pairs.where("b is not null").select("part", "a", "b"), parts, "join-pair-forest"))
     dealt = stage(_tiles(pairs.where("bs is not null").select("a", "bs"), groups), "join-tiles")
-    needed = dealt.where("c is not null").select("tile", "c").distinct().join(classes.select("c", "copies"), "c")
-    links = stage(_linked(dealt, stage(needed, "join-needed"), found.select("c", "numbers"), least, parts), "join-links")
+    unstage(pairs)
+    needed = stage(dealt.where("c is not null").select("tile", "c").distinct().join(classes.select("c", "copies"), "c"), "join-needed")
+    links = stage(_linked(dealt, needed, found.select("c", "numbers"), least, parts), "join-links")
+    unstage(dealt, needed, found)
     edges = merged_forests(links.where("b is not null").select("part", "a", "b"), parts, "join-link-forest")
     return sets, classes, components(edges), links
 
