@@ -33,6 +33,8 @@ class WordEncoder:
 
     #: Words of plain letters that go through the tokenizer in one call.
     CHUNK = 1000
+    #: Chunks a call: what the tokenizer returns takes some 1 kB a word until it is read.
+    CALL = 16
     #: Letters that neither normalizing nor lower-casing changes; words of
     #: these alone need no more than the tokenizer's byte spelling and merges.
     PLAIN = "^[a-zß-öø-ÿ]+$"
@@ -61,24 +63,29 @@ class WordEncoder:
         self.lengths = np.empty(0, np.int64)
 
     def _learn(self, words: pa.Array) -> None:
-        names = words.to_pylist()
-        found = [e.ids for e in self.tokenizer.encode_batch_fast(names, add_special_tokens=False)]
-        lengths = np.fromiter(map(len, found), np.int64, len(found))
-        self._keep(words, np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum())), lengths)
+        flats, sizes = [], []
+        for at in range(0, len(words), self.CHUNK * self.CALL):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(words.slice(at, self.CHUNK * self.CALL).to_pylist(), add_special_tokens=False)]
+            lengths = np.fromiter(map(len, found), np.int64, len(found))
+            flats.append(np.fromiter((i for ids in found for i in ids), np.uint32, int(lengths.sum())))
+            sizes.append(lengths)
+        self._keep(words, np.concatenate(flats), np.concatenate(sizes))
 
     def _learn_plain(self, words: pa.Array) -> None:
         """Joined by spaces, each word ends at its one token with a word end.
         Where the counts don't agree, each is encoded alone."""
-        chunks = [words.slice(i, self.CHUNK) for i in range(0, len(words), self.CHUNK)]
-        joined = self.plain.encode_batch_fast([" ".join(c.to_pylist()) for c in chunks], add_special_tokens=False)
         flats, sizes = [], []
-        for chunk, encoding in zip(chunks, joined, strict=True):
-            ids = np.array(encoding.ids, np.uint32)
-            ends = np.flatnonzero(self.ends_word[ids]) + 1
-            if len(ends) != len(chunk) or ends[-1] != len(ids):
-                return self._learn(words)
-            flats.append(ids)
-            sizes.append(np.diff(ends, prepend=0))
+        for at in range(0, len(words), self.CHUNK * self.CALL):
+            part = words.slice(at, self.CHUNK * self.CALL)
+            chunks = [part.slice(i, self.CHUNK) for i in range(0, len(part), self.CHUNK)]
+            joined = self.plain.encode_batch_fast([" ".join(c.to_pylist()) for c in chunks], add_special_tokens=False)
+            for chunk, encoding in zip(chunks, joined, strict=True):
+                ids = np.array(encoding.ids, np.uint32)
+                ends = np.flatnonzero(self.ends_word[ids]) + 1
+                if len(ends) != len(chunk) or ends[-1] != len(ids):
+                    return self._learn(words)
+                flats.append(ids)
+                sizes.append(np.diff(ends, prepend=0))
         return self._keep(words, np.concatenate(flats), np.concatenate(sizes))
 
     def _keep(self, words: pa.Array, flat: np.ndarray, lengths: np.ndarray) -> None:
