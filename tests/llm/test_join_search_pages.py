@@ -7,6 +7,7 @@ import gzip
 import hashlib
 import math
 import random
+import time
 from fractions import Fraction
 
 import numpy as np
@@ -166,6 +167,62 @@ def test_wrapper_tells_template_from_content(spark):
     assert html_wrapper.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_wrapper_alone_finds_the_articles_of_given_pages(spark):
+    """Without article elements, and without the lists of tags and classes."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet")
+    plain = pages.withColumn("html", F.regexp_replace("html", "<(/?)(?:article|main|nav|footer)>", "<$1div>"))
+    want = {r.page_id: article(r.html) for r in pages.collect()}
+    got = {r.page_id: r.text for r in html_wrapper.extract(plain, lists=False).collect()}
+    assert got == want
+    none = html_wrapper.wrappers(plain, lists=False).select(
+        "host", F.lit(None).cast("string").alias("wrapper"), F.lit(None).cast("array<struct<node:int,hash:bigint>>").alias("template"),
+        F.lit(None).cast("array<int>").alias("content"),
+    )
+    without = {r.page_id: r.text for r in html_wrapper.extract(plain, none, lists=False).collect()}
+    assert sum(without[i] != text for i, text in want.items()) > 2000
+
+
+def test_class_words_in_an_article(spark):
+    kept = ["<div class='share-price'>a</div>", "<div class='ad-hoc'>b</div>", "<h2 class='header'>c</h2>", "<p class='notice-period'>d</p>"]
+    kept += ["<div class='promotion-article'>e</div>", "<div class='comment-on-policy'>f</div>"]
+    lost = ["<div class='ad'>x</div>", "<div class='cookie-notice'>x</div>", "<ol class='reader-comments'><li>x</ol>", "<div id='article-footer'>x</div>"]
+    lost += ["<div class='related-articles'>x</div>", "<div class='big ad-slot'>x</div>"]
+    rows = [(1, "http://a.example/", f"<article>{''.join(kept + lost)}</article>"), (1, "http://a.example/", f"<article>{''.join(kept + lost)}</article>")]
+    pages = spark.createDataFrame([(*r, "x", 1, 2) for r in rows], "page_id long, url string, html string, host string, wrapper int, content int")
+    assert [r.text for r in html_wrapper.extract(pages).collect()] == ["a\nb\nc\nd\ne\nf"] * 2
+
+
+def test_matching_is_largest_and_long_pages_take_bounded_work():
+    rng = random.Random(7)
+
+    def shape(depth):
+        return (rng.choice("abc"), tuple(shape(depth - 1) for _ in range(rng.randrange(5))) if depth else ())
+
+    def plain(a, b):
+        if a[0] != b[0]:
+            return 0
+        best = {}
+        for i in range(len(a[1]) + 1):
+            for j in range(len(b[1]) + 1):
+                best[i, j] = max(best[i - 1, j], best[i, j - 1], best[i - 1, j - 1] + plain(a[1][i - 1], b[1][j - 1])) if i and j else 0
+        return 1 + best[len(a[1]), len(b[1])]
+
+    for _ in range(300):
+        a, b = ("r", (shape(3), shape(2))), ("r", (shape(3), shape(2)))
+        found = page_tree.matched(a, b)
+        assert len(found) == page_tree.likeness(a, b) == plain(a, b)
+        assert sorted(found.values()) == [found[i] for i in sorted(found)]
+    names = [f"n{rng.randrange(10**9)}" for _ in range(20_000)]
+    one = ("r", tuple((n, (("#", ()),)) for n in names))
+    two = ("r", tuple((n if i % 3 else "q", (("#", ()),)) for i, n in enumerate(names)))
+    begin = time.process_time()
+    found = page_tree.matched(one, two)
+    assert time.process_time() - begin < 20 and len(found) >= 2 * sum(1 for i in range(20_000) if i % 3)
+    page = "".join(f"<div class=k{''.join(rng.choices('abcdef', k=9))}>text {i}</div>" for i in range(20_000))
+    shape_, blocks = page_tree.shaped(page_tree.tree(page))
+    assert len(blocks) == 20_000 and len(page_tree.matched(shape_, shape_)) == page_tree.size(shape_)
+
+
 def test_copies_and_shared_titles_take_no_text_from_other_pages(spark):
     def page(i, title, tail=""):
         return f"<html><body><div class=top>Welcome</div><div class=x1><h1>{title}</h1><p>Body {i}</div>{tail}</body>"
