@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import textwrap
 import zlib
 from collections import defaultdict
 
@@ -232,6 +233,38 @@ def test_nearest_licensed_directory_wins(spark):
     assert got[3].inherited_from == "a/b" and got[6].inherited == "Apache-2.0"
 
 
+def test_headers_and_whole_texts_declare_and_near_misses_do_not(spark):
+    def commented(text, mark="# ", width=60):
+        return "\n".join((mark + line).rstrip() for part in text.split("\n") for line in textwrap.wrap(part, width) or [""])
+
+    code = "\n\n" + "\n".join(f"value_{i} = compute(value_{i - 1}, step={i})" for i in range(60))
+    full = {licence: text for licence, needs, text in license_scan.TEXTS}  # the longest of each comes last
+    heads = {licence: text for licence, needs, text in reversed(license_scan.TEXTS)}
+    want = {}
+    for licence, text in heads.items():
+        if licence != "Zlib":
+            want[commented(text) + code] = licence
+            want[commented(f"Copyright (c) 2021 A. Person\n\n{text}", " * ") + code] = licence
+    for licence, text in full.items():
+        want[f"Copyright 2001 Some Body\n\n{text.replace('. ', '.' + chr(10) * 2)}"] = licence
+        want["\n".join(textwrap.wrap(text, 72))] = licence
+    for licence in ("MIT", "GPL-3.0", "Apache-2.0", "BSD-2-Clause", "CC-BY-SA-4.0"):
+        want[f"// SPDX-License-Identifier: {licence}\nint main() {{ return 0; }}" + code] = licence
+    want["This file is released under the MIT License, see LICENSE for details." + code] = "MIT"
+    want["Distributed under the MIT License" + code] = "MIT"
+    for near in (
+        "SPDX-License-Identifier: EPL-2.0", "You need a driving license to drive home with it", "Permission to park here is hereby granted to residents only.",
+        "Licensed under the Example Corp. License, version 2.0", "The film was released under the name of its author",
+        "The MIT press published a book on the license question, which many people in the town read with great interest and pleasure",
+        "the general said that two of three licensed dealers had gone", "Redistribution of wealth in binary forms of society",
+    ):
+        want[near + code] = None
+    rows = [(k if k else None, f"d{k}", text) for k, text in enumerate(want)]
+    got = {r.key: r for r in license_scan.scan(spark.createDataFrame(rows, "key long, dir string, text string")).collect()}
+    wrong = [(licence, got[k or None].declared, got[k or None].cosine, text[:80]) for k, (text, licence) in enumerate(want.items()) if got[k or None].declared != licence]
+    assert not wrong
+
+
 def test_licences_of_odd_and_no_rows(odd, none):
     files = odd.select(F.col("doc_id").alias("key"), license_scan.document_dir().alias("dir"), "text")
     got = license_scan.scan(files).collect()
