@@ -7,6 +7,7 @@ a word once and looks it up afterwards; the cache is bounded and only saves time
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from functools import lru_cache
@@ -40,13 +41,16 @@ class WordEncoder:
     PLAIN = "^[a-zß-öø-ÿ]+$"
 
     def __init__(self, path: str, cache_words: int = 250_000):
+        # one thread a worker: Spark runs a worker a core, and each thread keeps memory of its own
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.plain = Tokenizer.from_file(path)
-        self.plain.normalizer = normalizers.Sequence([])
-        self.plain.pre_tokenizer = pre_tokenizers.Sequence(
-            [pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]
+        #: Normalizer and splitting of whole words, and those that words of plain letters need.
+        self.whole = (self.tokenizer.normalizer, self.tokenizer.pre_tokenizer)
+        self.plain = (
+            normalizers.Sequence([]),
+            pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)]),
         )
         size = self.tokenizer.get_vocab_size()
         self.width = 2 if size <= 1 << 16 else 4
@@ -74,18 +78,24 @@ class WordEncoder:
     def _learn_plain(self, words: pa.Array) -> None:
         """Joined by spaces, each word ends at its one token with a word end.
         Where the counts don't agree, each is encoded alone."""
-        flats, sizes = [], []
-        for at in range(0, len(words), self.CHUNK * self.CALL):
-            part = words.slice(at, self.CHUNK * self.CALL)
-            chunks = [part.slice(i, self.CHUNK) for i in range(0, len(part), self.CHUNK)]
-            joined = self.plain.encode_batch_fast([" ".join(c.to_pylist()) for c in chunks], add_special_tokens=False)
-            for chunk, encoding in zip(chunks, joined, strict=True):
-                ids = np.array(encoding.ids, np.uint32)
-                ends = np.flatnonzero(self.ends_word[ids]) + 1
-                if len(ends) != len(chunk) or ends[-1] != len(ids):
-                    return self._learn(words)
-                flats.append(ids)
-                sizes.append(np.diff(ends, prepend=0))
+        flats, sizes, learnt = [], [], 0
+        self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.plain
+        try:
+            for at in range(0, len(words), self.CHUNK * self.CALL):
+                part = words.slice(at, self.CHUNK * self.CALL)
+                chunks = [part.slice(i, self.CHUNK) for i in range(0, len(part), self.CHUNK)]
+                joined = self.tokenizer.encode_batch_fast([" ".join(c.to_pylist()) for c in chunks], add_special_tokens=False)
+                for chunk, encoding in zip(chunks, joined, strict=True):
+                    ids = np.array(encoding.ids, np.uint32)
+                    ends = np.flatnonzero(self.ends_word[ids]) + 1
+                    if len(ends) == len(chunk) and ends[-1] == len(ids):
+                        flats.append(ids)
+                        sizes.append(np.diff(ends, prepend=0))
+                        learnt += len(chunk)
+        finally:
+            self.tokenizer.normalizer, self.tokenizer.pre_tokenizer = self.whole
+        if learnt < len(words):
+            return self._learn(words)
         return self._keep(words, np.concatenate(flats), np.concatenate(sizes))
 
     def _keep(self, words: pa.Array, flat: np.ndarray, lengths: np.ndarray) -> None:
