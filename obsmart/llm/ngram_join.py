@@ -89,20 +89,35 @@ def early_sizes(sizes: np.ndarray, least: int) -> np.ndarray:
     return np.where(sizes > 0, sizes - -(-2 * least * sizes // (100 + least)) + 1, 0)
 
 
+def squeezed(rows: np.ndarray) -> bytes:
+    """Rows as one compressed frame a field: small numbers lie apart from hashes."""
+    pack = zstandard.ZstdCompressor(level=1).compress
+    frames = [pack(np.ascontiguousarray(rows[f]).tobytes()) for f in rows.dtype.names]
+    return np.array([len(rows), *map(len, frames)], "<u4").tobytes() + b"".join(frames)
+
+
+def expanded(data: bytes, kind: np.dtype) -> np.ndarray:
+    unpack = zstandard.ZstdDecompressor().decompress
+    n, *lengths = np.frombuffer(data, "<u4", 1 + len(kind.names)).tolist()
+    rows, at = np.empty(n, kind), 4 * (1 + len(kind.names))
+    for f, length in zip(kind.names, lengths, strict=True):
+        rows[f] = np.frombuffer(unpack(data[at : at + length]), kind[f].base).reshape(rows[f].shape)
+        at += length
+    return rows
+
+
 def packed(rows: np.ndarray, target: np.ndarray) -> Iterator[pa.RecordBatch]:
     """Rows sorted by target partition, one row of bytes for each."""
     order = np.argsort(target, kind="stable")
     rows, target = rows[order], target[order]
     first = np.flatnonzero(np.diff(target, prepend=-1))
     if len(first):
-        pack = zstandard.ZstdCompressor(level=1).compress
-        blobs = [pack(part.tobytes()) for part in np.split(rows, first[1:])]
+        blobs = [squeezed(part) for part in np.split(rows, first[1:])]
         yield pa.RecordBatch.from_arrays([pa.array(target[first].astype(np.int32)), pa.array(blobs, pa.binary())], ["part", "data"])
 
 
 def unpacked(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> np.ndarray:
-    unpack = zstandard.ZstdDecompressor().decompress
-    found = [np.frombuffer(unpack(b), kind) for batch in batches for b in batch.column("data").to_pylist()]
+    found = [expanded(b, kind) for batch in batches for b in batch.column("data").to_pylist()]
     return np.concatenate(found) if found else np.zeros(0, kind)
 
 
