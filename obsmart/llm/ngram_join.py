@@ -72,6 +72,10 @@ CELLS, NEAR = 32, 64
 #: A shingle heads a block: the set's short name, its size, whether the shingle is
 #: among the first few that a larger partner must meet, and its counts by cell.
 ENTRY = np.dtype([("token", "<u8"), ("a", "<u8"), ("n", "<i4"), ("early", "u1"), ("cells", "u1", CELLS)])
+#: Bytes of a field that are sent where not all are needed. A shingle is told apart
+#: within its target partition only: 40 bits of its hash, and two that agree in
+#: them are one block, which adds candidates and loses none.
+SENT = {"token": 5}
 PAIR = np.dtype([("a", "<u8"), ("a2", "<u8"), ("b", "<u8"), ("b2", "<u8")])
 
 
@@ -89,10 +93,15 @@ def early_sizes(sizes: np.ndarray, least: int) -> np.ndarray:
     return np.where(sizes > 0, sizes - -(-2 * least * sizes // (100 + least)) + 1, 0)
 
 
+def field_bytes(rows: np.ndarray, name: str) -> np.ndarray:
+    """The bytes of a field, little-endian, a line for each row."""
+    return np.ascontiguousarray(rows[name]).view(np.uint8).reshape(len(rows), -1)
+
+
 def squeezed(rows: np.ndarray) -> bytes:
     """Rows as one compressed frame a field: small numbers lie apart from hashes."""
     pack = zstandard.ZstdCompressor(level=1).compress
-    frames = [pack(np.ascontiguousarray(rows[f]).tobytes()) for f in rows.dtype.names]
+    frames = [pack(field_bytes(rows, f)[:, : SENT.get(f)].tobytes()) for f in rows.dtype.names]
     return np.array([len(rows), *map(len, frames)], "<u4").tobytes() + b"".join(frames)
 
 
@@ -101,7 +110,9 @@ def expanded(data: bytes, kind: np.dtype) -> np.ndarray:
     n, *lengths = np.frombuffer(data, "<u4", 1 + len(kind.names)).tolist()
     rows, at = np.empty(n, kind), 4 * (1 + len(kind.names))
     for f, length in zip(kind.names, lengths, strict=True):
-        rows[f] = np.frombuffer(unpack(data[at : at + length]), kind[f].base).reshape(rows[f].shape)
+        column = np.zeros((n, kind[f].itemsize), np.uint8)
+        column[:, : SENT.get(f)] = np.frombuffer(unpack(data[at : at + length]), np.uint8).reshape(n, -1)
+        rows[f] = column.view(kind[f].base).reshape(rows[f].shape)
         at += length
     return rows
 
@@ -259,9 +270,10 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
 
 
 def _blocks(docs: DataFrame, words: int, least: int, levels, parts: int) -> DataFrame:
-    """(block, tile, side, a, n): the classes, by their short names, of every
-    block of two or more, dealt to tiles; a tile pairs side 0 with side 1, or
-    side 0 with itself. Short names that two classes share only add candidates."""
+    """(block, a, n, cut, first, last, cuts): the classes, by their short names, of
+    every block of two or more. A large block is cut by size, and a member of
+    ``cut`` meets the cuts from ``first`` to ``last``; ``tiled`` gives it a row for
+    each. Short names that two classes share only add candidates."""
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = levels.value.astype(np.uint64) << np.uint64(56)
@@ -333,31 +345,45 @@ def _blocks(docs: DataFrame, words: int, least: int, levels, parts: int) -> Data
         rows = rows[partnered(rows, runs()[1])]
         starts, lengths = runs()
 
-        def out(rows: np.ndarray, tile: np.ndarray, side: np.ndarray) -> pa.RecordBatch:
+        # a shingle's 40 bits name a block among those of its partition
+        own = np.uint64(partition_id()) << np.uint64(8 * SENT["token"])
+
+        def out(rows: np.ndarray, cut: np.ndarray, first: np.ndarray, last: np.ndarray, cuts: int) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(rows["token"].copy().view(np.int64)), pa.array(tile.astype(np.int64)), pa.array(side.astype(np.int32)),
-                 pa.array(rows["a"].copy().view(np.int64)), pa.array(rows["n"].astype(np.int64))],
-                ["block", "tile", "side", "a", "n"],
+                [pa.array((rows["token"] | own).view(np.int64)), pa.array(rows["a"].copy().view(np.int64)), pa.array(rows["n"].astype(np.int64)),
+                 *(pa.array(x.astype(np.int32)) for x in (cut, first, last, np.full(len(rows), cuts)))],
+                ["block", "a", "n", "cut", "first", "last", "cuts"],
             )
 
         some = rows[np.repeat((lengths > 1) & (lengths <= TILE), lengths)]
         for at in range(0, len(some), 1 << 16):
             part = some[at : at + (1 << 16)]
-            yield out(part, np.zeros(len(part)), np.zeros(len(part)))
+            none = np.zeros(len(part), np.int32)
+            yield out(part, none, none, none, 1)
         for start, length in zip(starts[lengths > TILE].tolist(), lengths[lengths > TILE].tolist(), strict=True):
-            cuts = [rows[start + i : min(start + i + TILE, start + length)] for i in range(0, length, TILE)]
-            for i, low in enumerate(cuts):
-                for j in range(i, len(cuts)):
-                    high = cuts[j]
-                    if 100 * int(low["n"][-1]) < least * int(high["n"][0]):
-                        break  # sorted by size: all further tiles are too large
-                    both = low if i == j else np.concatenate([low, high])
-                    side = np.zeros(len(both), np.int32)
-                    side[len(low) :] = 1
-                    yield out(both, np.full(len(both), i * len(cuts) + j), side)
+            begin = np.arange(0, length, TILE)
+            low = rows["n"][start + begin].astype(np.int64)
+            high = rows["n"][start + np.minimum(begin + TILE, length) - 1].astype(np.int64)
+            # sorted by size: a cut meets those whose smallest set its largest still may link with
+            last = np.searchsorted(least * low, 100 * high, "right") - 1
+            first = np.searchsorted(100 * high, least * low, "left")
+            for k, at in enumerate(begin.tolist()):
+                part = rows[start + at : start + min(at + TILE, length)]
+                cut = np.full(len(part), k)
+                yield out(part, cut, np.full(len(part), first[k]), np.full(len(part), last[k]), len(begin))
 
     dealt = docs.select("text").mapInArrow(freed(put), "part int, data binary").repartitionById(parts, F.col("part"))
-    return dealt.mapInArrow(freed(get), "block long, tile long, side int, a long, n long")
+    return dealt.mapInArrow(freed(get), "block long, a long, n long, cut int, first int, last int, cuts int")
+
+
+def tiled(members: DataFrame) -> DataFrame:
+    """A row for each tile of a member, where it stands wherever the join before
+    has put it: a tile pairs side 0, the smaller sets, with side 1, or side 0 with
+    itself."""
+    met = members.select("*", F.explode(F.sequence("first", "last")).alias("other"))
+    low, high = F.least("cut", "other"), F.greatest("cut", "other")
+    tile = low.cast("long") * F.col("cuts") + high
+    return met.select("block", tile.alias("tile"), (F.col("other") < F.col("cut")).cast("int").alias("side"), "n", "c", "bitmap")
 
 
 def _known(spark: SparkSession, ids: DataFrame) -> tuple[object, int]:
@@ -660,7 +686,7 @@ def _classes(docs: DataFrame, words: int, least: int) -> tuple[DataFrame, DataFr
     known, bits = _known(spark, wanted)
     found = stage(_candidates(docs, words, known, bits), "join-candidates")
     maps = found.select("a", "c", "bitmap").dropDuplicates(["c"])
-    tiles = blocks.join(maps, "a").select("block", "tile", "side", "n", "c", "bitmap")
+    tiles = tiled(blocks.join(maps, "a"))
     dealt = tiles.repartition(parts, "block", "tile").sortWithinPartitions("block", "tile", "n", "c")
     pairs = stage(_pairs(dealt, least, parts), "join-pairs")
     unstage(blocks, wanted)
