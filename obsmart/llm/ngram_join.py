@@ -742,11 +742,15 @@ def representatives(docs: DataFrame, words: int = WORDS, least: int = LEAST) ->
     odd_ids = stage(sets.where("n > 0").join(odd, "c", "left_semi").select("doc_id").where("doc_id is not null").distinct(), "join-odd")
     known, bits = _known(spark, odd_ids)
 
+    def in_filter(ids: pa.Array) -> np.ndarray:
+        held = np.unpackbits(known.value).astype(bool)
+        x = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+        none = ids.is_null().to_numpy(zero_copy_only=False)
+        return none | np.all([held[spread(x + np.uint64(k)) % np.uint64(bits)] for k in range(3)], axis=0)
+
     @F.pandas_udf("boolean")
     def listed(ids: pd.Series) -> pd.Series:
-        held = np.unpackbits(known.value).astype(bool)
-        x = ids.fillna(0).to_numpy(np.int64).view(np.uint64)
-        return pd.Series(np.all([held[spread(x + np.uint64(k)) % np.uint64(bits)] for k in range(3)], axis=0) | ids.isna().to_numpy())
+        return pd.Series(in_filter(pa.array(ids, pa.int64(), from_pandas=True)))
 
     def named_row(c: str, doc_id: str):
         return F.concat(F.col(c), F.coalesce(F.col(doc_id).cast("string"), F.lit("~")).cast("binary"))
@@ -759,6 +763,7 @@ def representatives(docs: DataFrame, words: int = WORDS, least: int = LEAST) ->
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.unpackbits(wanted.value).astype(bool)
         for batch in batches:
+            batch = batch.filter(pa.array(in_filter(batch.column(1))))
             ids = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             for first, text in slices(batch.column(0).field("text"), TEXT_BYTES):
                 names = digests(*shingle_sets(text, words))
@@ -769,11 +774,12 @@ def representatives(docs: DataFrame, words: int = WORDS, least: int = LEAST) ->
                 yield pa.RecordBatch.from_arrays(columns, ["row", "id", "c"])
 
     rows = docs.select(F.struct("*").alias("row"), docs["doc_id"].alias("id"))
-    rows = rows.withColumn("maybe", F.coalesce("row.text", F.lit("")).rlike(WORD) & listed("id"))
+    worded = F.coalesce("row.text", F.lit("")).rlike(WORD)
     schema = T.StructType([T.StructField("row", docs.schema), T.StructField("id", T.LongType()), T.StructField("c", T.BinaryType())])
-    found = rows.where("maybe").select("row", "id").mapInArrow(freed(classed), schema).withColumn("k", named_row("c", "id"))
+    # one function a stage: a second one would need a second worker beside each task, kept through the next stages
+    found = rows.where(worded).mapInArrow(freed(classed), schema).withColumn("k", named_row("c", "id"))
     one = found.groupBy("k").agg(F.min_by("row", F.xxhash64("row")).alias("row")).join(staying, "k", "left_semi")
-    return rows.where(~F.col("maybe")).select("row.*").union(one.select("row.*"))
+    return rows.where(~(worded & listed("id"))).select("row.*").union(one.select("row.*"))
 
 
 def op5_signature_tree_join(spark, folder: str) -> DataFrame:
