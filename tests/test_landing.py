@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from rows import result
 
 from obsmart.quality import gate
-from obsmart.session import fresh_dir
+from obsmart.session import MANY_FOLDERS, fresh_dir
 from obsmart.sources import jdbc, landing, storage
 from obsmart.sources.local import local_frame
 from obsmart.sources.seeds import SEED_SCHEMAS, packaged_seed, read_seed
@@ -174,6 +174,28 @@ def test_a_replaced_partition_keeps_only_new_rows(spark):
     assert rows == [(1, 7), (2, 1), (3, 1)]
 
 
+def test_a_day_of_many_partitions_is_listed_by_one_task(spark):
+    root, sc = fresh_dir(spark, "raw"), spark.sparkContext
+    source = health(spark, *[(i, f"2026-01-0{d} 01:00:00") for i in range(40) for d in (1, 2)])
+    before = {k: spark.conf.get(k) for k in MANY_FOLDERS}
+    for _ in range(2):
+        landing.offload(spark, source, "health_sample", root, "2026-01-01", "2026-01-02", registry(spark, *range(40)))
+    assert {k: spark.conf.get(k) for k in MANY_FOLDERS} == before
+    days = [date(2026, 1, 1), date(2026, 1, 2)]
+    try:
+        for group, read in (
+            ("rows", lambda: landing.read_landed(spark, root, "health_sample", days=days)),
+            ("partitions", lambda: landing.landed_partitions(spark, root, HEALTH, days)),
+        ):
+            sc.setJobGroup(group, "listing")
+            found = read()
+            stages = [i for j in sc.statusTracker().getJobIdsForGroup(group) for i in sc.statusTracker().getJobInfo(j).stageIds]
+            assert sum(sc.statusTracker().getStageInfo(i).numTasks for i in stages) == 2
+            assert found.count() == 80
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+
+
 def test_connections_are_few_and_balanced():
     instances, rows = list(range(1, 3001)), {i: 100 + i % 50 for i in range(1, 2901)}
     rows[7] = 500_000  # more than half of all rows
