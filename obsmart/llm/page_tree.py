@@ -5,9 +5,11 @@ from __future__ import annotations
 import html
 import json
 import re
-from bisect import bisect_left, bisect_right
-from collections import Counter
+from collections.abc import Callable
 from functools import lru_cache
+from math import isqrt
+
+import numpy as np
 
 # Fixed vocabularies of HTML and of common page templates.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -240,9 +242,11 @@ def size(shape: Shape) -> int:
     return 1 + sum(map(size, shape[1]))
 
 
-#: Pairs of children weighed one by one; lists beyond that are first cut at parts
-#: found once in both, then matched by label in page order.
-CELLS = 250_000
+#: Lists with fewer children than this are weighed in plain loops, longer ones in
+#: array rows; both fill the same table.
+ARRAYS_FROM = 64
+#: Weights of pairs held at once; further ones are counted again.
+MOST_WEIGHTS = 4_000_000
 #: Shapes up to this many characters of text are kept for the next page.
 KEPT_CHARS = 8192
 
@@ -253,8 +257,7 @@ def _likeness(a: Shape, b: Shape) -> int:
 
 
 def likeness(a: Shape, b: Shape) -> int:
-    """Nodes in a matching that keeps order and parents: in the largest one, as
-    long as no two lists of children are beyond ``CELLS``."""
+    """Nodes in the largest matching that keeps order and parents."""
     if a[0] != b[0]:
         return 0
     if not a[1] or not b[1]:
@@ -273,7 +276,7 @@ def aligned(a: tuple[Shape, ...], b: tuple[Shape, ...]) -> list[tuple[int, int]]
     last = 0
     while last < most - first and a[-1 - last] == b[-1 - last]:
         last += 1
-    inner = _inner(a[first : len(a) - last], b[first : len(b) - last])
+    inner = _weighed(a[first : len(a) - last], b[first : len(b) - last])
     return (
         [(i, i) for i in range(first)]
         + [(first + i, first + j) for i, j in inner]
@@ -281,37 +284,30 @@ def aligned(a: tuple[Shape, ...], b: tuple[Shape, ...]) -> list[tuple[int, int]]
     )
 
 
-def _inner(a: tuple[Shape, ...], b: tuple[Shape, ...]) -> list[tuple[int, int]]:
+def _weighed(a: tuple[Shape, ...], b: tuple[Shape, ...]) -> list[tuple[int, int]]:
+    """The heaviest matching in order, whatever the lengths. Of its table every
+    n-th row is kept; the rows between are filled again on the way back."""
     if not a or not b:
         return []
-    if len(a) * len(b) <= CELLS:
-        return _weighed(a, b)
-    anchors = _anchors(a, b)
-    if not anchors:
-        return _by_label(a, b)
-    out, i, j = [], 0, 0
-    for x, y in [*anchors, (len(a), len(b))]:
-        part, other = a[i:x], b[j:y]
-        found = _weighed(part, other) if len(part) * len(other) <= CELLS else _by_label(part, other)
-        out += [(i + u, j + v) for u, v in found]
-        if x < len(a):
-            out.append((x, y))
-        i, j = x + 1, y + 1
-    return out
-
-
-def _weighed(a: tuple[Shape, ...], b: tuple[Shape, ...]) -> list[tuple[int, int]]:
-    table = [[0] * (len(b) + 1)]
-    for x in a:
-        row, up = [0], table[-1]
-        for j, y in enumerate(b):
-            row.append(max(up[j + 1], row[j], up[j] + likeness(x, y)))
-        table.append(row)
+    after = _after(b) if len(b) < ARRAYS_FROM else _after_in_arrays(b)
+    step = isqrt(len(a)) + 1
+    kept, row = [], after(None, None)
+    for i, x in enumerate(a):
+        if i % step == 0:
+            kept.append(row)
+        row = after(row, x)
     out, p, q = [], len(a), len(b)
+    rows, low = [], p
     while p and q:
-        if table[p][q] == table[p - 1][q]:
+        if p <= low:
+            low = (p - 1) // step * step
+            rows = [kept[low // step]]
+            for x in a[low:p]:
+                rows.append(after(rows[-1], x))
+        here, up = rows[p - low], rows[p - low - 1]
+        if here[q] == up[q]:
             p -= 1
-        elif table[p][q] == table[p][q - 1]:
+        elif here[q] == here[q - 1]:
             q -= 1
         else:
             p, q = p - 1, q - 1
@@ -319,38 +315,47 @@ def _weighed(a: tuple[Shape, ...], b: tuple[Shape, ...]) -> list[tuple[int, int]
     return out[::-1]
 
 
-def _anchors(a: tuple[Shape, ...], b: tuple[Shape, ...]) -> list[tuple[int, int]]:
-    """Parts found once in both lists: the longest run of them in the order of both."""
-    once, other = Counter(a), Counter(b)
-    where = {y: j for j, y in enumerate(b) if other[y] == 1}
-    both = [(i, where[x]) for i, x in enumerate(a) if once[x] == 1 and x in where]
-    ends: list[int] = []
-    at: list[int] = []
-    before = [-1] * len(both)
-    for k, (_, j) in enumerate(both):
-        place = bisect_left(ends, j)
-        before[k] = at[place - 1] if place else -1
-        ends[place : place + 1], at[place : place + 1] = [j], [k]
-    out, k = [], at[-1] if at else -1
-    while k >= 0:
-        out.append(both[k])
-        k = before[k]
-    return out[::-1]
-
+def _after(b: tuple[Shape, ...]) -> Callable:
+    """The row of a table that follows another one for one more child."""
 
-def _by_label(a: tuple[Shape, ...], b: tuple[Shape, ...]) -> list[tuple[int, int]]:
-    """Each child with the next one of its label, unless that skips more than it matches."""
-    places: dict[str, list[int]] = {}
-    for j, y in enumerate(b):
-        places.setdefault(y[0], []).append(j)
-    out, at, reach = [], -1, max(64, abs(len(b) - len(a)) + 64)
-    for i, x in enumerate(a):
-        have = places.get(x[0], [])
-        k = bisect_right(have, at)
-        if k < len(have) and have[k] - at <= reach:
-            at = have[k]
-            out.append((i, at))
-    return out
+    def after(up: list[int] | None, x: Shape | None) -> list[int]:
+        if up is None:
+            return [0] * (len(b) + 1)
+        row = [0]
+        for j, y in enumerate(b):
+            row.append(max(up[j + 1], row[j], up[j] + likeness(x, y)))
+        return row
+
+    return after
+
+
+def _after_in_arrays(b: tuple[Shape, ...]) -> Callable:
+    """``_after`` over whole rows; equal children are compared once."""
+    numbers: dict[Shape, int] = {}
+    kinds = np.array([numbers.setdefault(y, len(numbers)) for y in b])
+    weights: dict[Shape, np.ndarray] = {}
+    by_label: dict[str, list[tuple[int, Shape]]] = {}
+    for y, k in numbers.items():
+        by_label.setdefault(y[0], []).append((k, y))
+
+    def weighed(x: Shape) -> np.ndarray:
+        found = np.zeros(len(numbers), np.int32)
+        for k, y in by_label.get(x[0], ()):
+            found[k] = likeness(x, y)
+        return found
+
+    def after(up: np.ndarray | None, x: Shape | None) -> np.ndarray:
+        if up is None:
+            return np.zeros(len(b) + 1, np.int32)
+        if x not in weights:
+            if len(weights) * len(numbers) > MOST_WEIGHTS:
+                weights.clear()
+            weights[x] = weighed(x)
+        row = np.zeros_like(up)
+        np.maximum(up[1:], up[:-1] + weights[x][kinds], out=row[1:])
+        return np.maximum.accumulate(row, out=row)
+
+    return after
 
 
 def matched(a: Shape, b: Shape) -> dict[int, int]:

@@ -284,3 +284,17 @@ def test_a_damaged_record_is_refused():
     assert warc.parse(member)[2] == b"abc"
     with pytest.raises(ValueError, match="damaged"):
         warc.parse(gzip.compress(gzip.decompress(member).replace(b"abc", b"abd")))
+
+
+def test_long_lists_of_children_are_matched_in_full():
+    draw = np.random.default_rng(7)
+    leaves = [("p", ()), ("p", (("b", ()),)), ("h2", ()), ("ul", (("li", ()),))]
+    one, two = ([leaves[i] for i in draw.integers(0, 4, n)] for n in (620, 540))
+    row = [0] * (len(two) + 1)
+    for x in one:  # the largest matching, cell by cell
+        new = [0]
+        for j, y in enumerate(two):
+            new.append(max(row[j + 1], new[j], row[j] + page_tree.likeness(x, y)))
+        row = new
+    a, b = ("div", tuple(one)), ("div", tuple(two))
+    assert page_tree.likeness(a, b) == len(page_tree.matched(a, b)) == row[-1] + 1
