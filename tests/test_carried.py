@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import re
+import threading
 from datetime import date, timedelta
 
 import pytest
 from pyspark.sql import functions as F
 from rows import at, d, frame
 
+from obsmart import registry
 from obsmart.plans import carried, facts, marts
 from obsmart.plans.facts import fct_plan_daily
 from obsmart.plans.warehouse import SETTLED, Warehouse, refresh_fact
@@ -183,3 +185,28 @@ def test_moments_merge_like_one_pass(spark):
     both = merged.alias("a").join(marts.baseline_moments(hourly).alias("b"), marts.BUCKET, "full_outer")
     apart = F.abs(F.col("a.m2") - F.col("b.m2")) > 1e-9 * F.greatest(F.lit(1.0), F.col("b.m2"))
     assert both.where(F.col("a.n").isNull() | (F.col("a.n") != F.col("b.n")) | (F.col("a.calls") != F.col("b.calls")) | apart).isEmpty()
+
+
+def test_several_tables_write_their_facts_side_by_side(spark, monkeypatch):
+    w = Warehouse(spark, lambda name: fleet_source(spark, FOLDER, name), fresh_dir(spark, "side-by-side"))
+    begun, fact = threading.Barrier(2, timeout=60), w.fact
+
+    def met(name):
+        if name in ("fct_size_daily", "fct_uptime_daily") and not storage.exists(spark, f"{w.root}/{name}/_SUCCESS"):
+            begun.wait()  # ends only while the other is being written
+        return fact(name)
+
+    monkeypatch.setattr(w, "fact", met)
+    found = w.tables(["fct_size_daily", "mart_uptime_slo", "dim_instance"])
+    assert list(found) == ["fct_size_daily", "mart_uptime_slo", "dim_instance"]
+    alone = Warehouse(spark, w.raw, fresh_dir(spark, "alone"))
+    assert all(rows(df) == rows(alone.table(name)) for name, df in found.items())
+
+
+def test_a_load_of_some_days_reads_no_older_counters(spark):
+    for name in ("query_snapshot", "size_snapshot"):
+        whole = fleet_source(spark, FOLDER, name)
+        stored = registry.loaded_source(spark, FOLDER, name)
+        assert rows(stored) == rows(whole) and stored.dtypes == whole.dtypes
+        text = plan(stored.where(F.col("dt") >= F.lit(date(2024, 1, 25))))
+        assert "events.parquet" not in text and re.search(r"PartitionFilters: \[[^\]]*>= 2024-01-25", text)
