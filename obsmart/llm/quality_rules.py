@@ -39,6 +39,8 @@ SHORTEST_MEAN, LONGEST_MEAN = 2, 20
 SAMPLE_ROWS, SAMPLE_RUNS = 4000, 3
 #: How often the sample is gone through in one run, so that rules take longer than a job's start.
 SAMPLE_TIMES = 5
+#: Tasks that hold the sample, however many the table has: each of the timed jobs has so many.
+SAMPLE_TASKS = 8
 
 BLANKS = " \t\n\v\f\r"
 
@@ -135,7 +137,8 @@ def measured(docs: DataFrame, rules: tuple[Rule, ...], rows: int = SAMPLE_ROWS,
     base limits, which are those that the cascade tests; the fastest of a few
     runs over the sample, repeated in memory, counts, less the time of a scan."""
     total = docs.count()
-    passing = base(docs.sample(min(1.0, rows / max(1, total)), seed=7)).where(~F.col("base_failed")).drop("row")
+    few = docs.select("text").sample(min(1.0, rows / max(1, total)), seed=7).repartition(SAMPLE_TASKS)
+    passing = base(few).where(~F.col("base_failed")).drop("row")
     sample = stage(passing, "quality-sample").withColumn("again", F.explode(F.array_repeat(F.lit(0), SAMPLE_TIMES)))
 
     def seconds(agg: Column) -> tuple[float, int]:

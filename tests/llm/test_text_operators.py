@@ -12,7 +12,7 @@ from samples import DOC, LONG, ODD
 from plain import base_counts, words
 from pyspark.sql import functions as F
 
-from obsmart.llm import license_scan, mixing, packing, quality_rules, sharding, wavelet
+from obsmart.llm import common, license_scan, mixing, packing, quality_rules, sharding, wavelet
 from obsmart.llm.tokens import encoder, tokenizer_path
 from obsmart.session import fresh_dir
 
@@ -56,6 +56,20 @@ def test_rules_are_measured_on_rows_that_pass_the_base_limits(spark):
         assert abs(found[rule.name] - want) < 0.02, rule.name
 
 
+def test_the_timed_sample_has_few_tasks_however_many_the_table_has(spark, monkeypatch):
+    stored = []
+
+    def noted(df, label):
+        stored.append(common.stage(df, label))
+        return stored[-1]
+
+    monkeypatch.setattr(quality_rules, "stage", noted)
+    words = F.concat_ws(" ", *[F.concat(F.lit(f"word{k}x"), F.col("id").cast("string")) for k in range(12)])
+    docs = spark.range(400).repartition(40).select(words.alias("text"))
+    quality_rules.measured(docs, quality_rules.RULES)
+    assert stored[0].count() == 400 and len(stored[0].inputFiles()) <= quality_rules.SAMPLE_TASKS
+
+
 def test_kept_rows_have_their_own_columns(odd, none):
     kept = quality_rules.kept(odd)
     assert kept.columns == odd.columns and {r.doc_id for r in kept.collect()} == {None}  # the long texts repeat themselves
