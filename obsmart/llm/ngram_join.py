@@ -12,7 +12,8 @@ Two texts link when their sets of word shingles have a Jaccard similarity of
 3. The classes of one such shingle form a block. Classes that differ too much
    from all others of their block, by how many shingles lie in each part of the
    hash range, leave it at once (a difference in counts is a difference in sets;
-   very large blocks skip this). What is left is a signature tree:
+   very large blocks skip this). Blocks left with the same members, as all shingles
+   of two near copies leave, are one block. What is left is a signature tree:
    classes sorted by size in leaves, and above them nodes with OR-combined
    token bitmaps and size ranges. Tree pairs are descended together; a pair of
    nodes is dropped when no two of their sets can overlap enough. Large blocks
@@ -20,6 +21,7 @@ Two texts link when their sets of word shingles have a Jaccard similarity of
 4. Pairs that the bitmaps cannot exclude are compared shingle by shingle. Each
    set is sent once to each tile of its pairs, not to each pair: pairs connected
    with one another are dealt together, up to ``CHUNK`` sets with as many others.
+   Sets are not stored: those in a pair are made again from their texts.
 5. Links are joined to components by passing on the smallest class and
    jumping along labels. Tasks first reduce the links they have to a forest
    with the same components, so what is joined grows with the classes, not with
@@ -46,7 +48,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from obsmart.llm.common import WORD, given_back, partition_id, partitions, ship_code, slices, stage, table, unstage
+from obsmart.llm.common import WORD, given_back, partition_id, partitions, ship_code, shuffles_go, slices, stage, table, unstage
 from obsmart.llm.shingles import digests, shingle_sets, spread
 
 WORDS, LEAST = 4, 85
@@ -98,9 +100,19 @@ def field_bytes(rows: np.ndarray, name: str) -> np.ndarray:
     return np.ascontiguousarray(rows[name]).view(np.uint8).reshape(len(rows), -1)
 
 
+def near_mean(rows: np.ndarray, way: int) -> np.ndarray:
+    """Counts by cell as what they differ from their mean by (modulo 256), or back:
+    these are alike in sets of any size, and so take fewer bytes."""
+    if "cells" in rows.dtype.names:
+        rows = rows.copy()
+        rows["cells"] += (way * (rows["n"] // CELLS)).astype(np.uint8)[:, None]
+    return rows
+
+
 def squeezed(rows: np.ndarray) -> bytes:
     """Rows as one compressed frame a field: small numbers lie apart from hashes."""
     pack = zstandard.ZstdCompressor(level=1).compress
+    rows = near_mean(rows, -1)
     frames = [pack(field_bytes(rows, f)[:, : SENT.get(f)].tobytes()) for f in rows.dtype.names]
     return np.array([len(rows), *map(len, frames)], "<u4").tobytes() + b"".join(frames)
 
@@ -114,7 +126,7 @@ def expanded(data: bytes, kind: np.dtype) -> np.ndarray:
         column[:, : SENT.get(f)] = np.frombuffer(unpack(data[at : at + length]), np.uint8).reshape(n, -1)
         rows[f] = column.view(kind[f].base).reshape(rows[f].shape)
         at += length
-    return rows
+    return near_mean(rows, 1)
 
 
 def packed(rows: np.ndarray, target: np.ndarray) -> Iterator[pa.RecordBatch]:
@@ -132,20 +144,33 @@ def unpacked(batches: Iterator[pa.RecordBatch], kind: np.dtype) -> np.ndarray:
     return np.concatenate(found) if found else np.zeros(0, kind)
 
 
+def piece_bytes(piece: np.ndarray) -> bytes:
+    """Numbers as one compressed frame, their lowest bytes first: every task sends a
+    table, in which most numbers are small."""
+    return zstandard.ZstdCompressor(level=1).compress(piece.view(np.uint8).reshape(len(piece), -1).T.tobytes())
+
+
+def piece_numbers(data: bytes, kind: str) -> np.ndarray:
+    planes = np.frombuffer(zstandard.ZstdDecompressor().decompress(data), np.uint8).reshape(np.dtype(kind).itemsize, -1)
+    return np.ascontiguousarray(planes.T).view(kind).ravel()
+
+
 def added_up(rows: DataFrame, kind: str, how: Callable) -> np.ndarray:
-    """A table of fixed size from (part, data) pieces of each task."""
+    """A table of fixed size from (part, data) pieces of each task, as ``piece_bytes`` made them."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, data in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                piece = np.frombuffer(data, kind)
+                piece = piece_numbers(data, kind)
                 held[part] = how(held[part], piece) if part in held else piece.copy()
         if held:
             columns = [pa.array(list(held), pa.int32()), pa.array([v.tobytes() for v in held.values()], pa.binary())]
             yield pa.RecordBatch.from_arrays(columns, ["part", "data"])
 
-    summed = rows.repartitionById(PARTS, F.col("part")).mapInArrow(freed(work), "part int, data binary").collect()  # PARTS rows
+    summed = rows.repartitionById(PARTS, F.col("part")).mapInArrow(freed(work), "part int, data binary")
+    with shuffles_go(rows.sparkSession):
+        summed = summed.collect()  # PARTS rows
     return np.concatenate([np.frombuffer(r.data, kind) for r in sorted(summed, key=lambda r: r.part)]) if summed else np.zeros(0, kind)
 
 
@@ -261,7 +286,7 @@ def _sets(docs: DataFrame, words: int) -> DataFrame:
                     [batch.column(0).slice(first, rows), pa.array(sizes), key(digest), short, pa.nulls(rows, pa.int32()), pa.nulls(rows, pa.binary())], names
                 )
         if counts.any():
-            pieces = [p.tobytes() for p in np.split(np.minimum(counts, 2**32 - 1).astype("<u4"), PARTS)]
+            pieces = [piece_bytes(p) for p in np.split(np.minimum(counts, 2**32 - 1).astype("<u4"), PARTS)]
             yield pa.RecordBatch.from_arrays(
                 [*[pa.nulls(PARTS, t) for t in (pa.int64(), pa.int64(), pa.binary(), pa.int64())], pa.array(range(PARTS), pa.int32()), pa.array(pieces, pa.binary())], names
             )
@@ -273,7 +298,9 @@ def _blocks(docs: DataFrame, words: int, least: int, levels, parts: int) -> Data
     """(block, a, n, cut, first, last, cuts): the classes, by their short names, of
     every block of two or more. A large block is cut by size, and a member of
     ``cut`` meets the cuts from ``first`` to ``last``; ``tiled`` gives it a row for
-    each. Short names that two classes share only add candidates."""
+    each. Short names that two classes share only add candidates. A block is named
+    by its members and their cuts: those with the same ones compare the same
+    pairs, and come once from a task, more than once from several."""
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rank = levels.value.astype(np.uint64) << np.uint64(56)
@@ -345,22 +372,27 @@ def _blocks(docs: DataFrame, words: int, least: int, levels, parts: int) -> Data
         rows = rows[partnered(rows, runs()[1])]
         starts, lengths = runs()
 
-        # a shingle's 40 bits name a block among those of its partition
-        own = np.uint64(partition_id()) << np.uint64(8 * SENT["token"])
+        place = np.arange(len(rows)) - np.repeat(starts, lengths)
+        cut = place // TILE
+        name = np.add.reduceat(spread(rows["a"] + cut.astype(np.uint64)), starts) if len(rows) else np.zeros(0, np.uint64)
+        once = np.zeros(len(starts), bool)
+        once[np.unique(name, return_index=True)[1]] = True
+        once &= lengths > 1
 
-        def out(rows: np.ndarray, cut: np.ndarray, first: np.ndarray, last: np.ndarray, cuts: int) -> pa.RecordBatch:
+        def out(part: np.ndarray, first: np.ndarray, last: np.ndarray, cuts: int) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array((rows["token"] | own).view(np.int64)), pa.array(rows["a"].copy().view(np.int64)), pa.array(rows["n"].astype(np.int64)),
-                 *(pa.array(x.astype(np.int32)) for x in (cut, first, last, np.full(len(rows), cuts)))],
+                [pa.array(np.repeat(name, lengths)[part].view(np.int64)), pa.array(rows["a"][part].view(np.int64)), pa.array(rows["n"][part].astype(np.int64)),
+                 *(pa.array(x.astype(np.int32)) for x in (cut[part], first, last, np.full(len(part), cuts)))],
                 ["block", "a", "n", "cut", "first", "last", "cuts"],
             )
 
-        some = rows[np.repeat((lengths > 1) & (lengths <= TILE), lengths)]
+        some = np.flatnonzero(np.repeat(once & (lengths <= TILE), lengths))
         for at in range(0, len(some), 1 << 16):
             part = some[at : at + (1 << 16)]
             none = np.zeros(len(part), np.int32)
-            yield out(part, none, none, none, 1)
-        for start, length in zip(starts[lengths > TILE].tolist(), lengths[lengths > TILE].tolist(), strict=True):
+            yield out(part, none, none, 1)
+        large = once & (lengths > TILE)
+        for start, length in zip(starts[large].tolist(), lengths[large].tolist(), strict=True):
             begin = np.arange(0, length, TILE)
             low = rows["n"][start + begin].astype(np.int64)
             high = rows["n"][start + np.minimum(begin + TILE, length) - 1].astype(np.int64)
@@ -368,14 +400,19 @@ def _blocks(docs: DataFrame, words: int, least: int, levels, parts: int) -> Data
             last = np.searchsorted(least * low, 100 * high, "right") - 1
             first = np.searchsorted(100 * high, least * low, "left")
             for k, at in enumerate(begin.tolist()):
-                part = rows[start + at : start + min(at + TILE, length)]
-                cut = np.full(len(part), k)
-                yield out(part, cut, np.full(len(part), first[k]), np.full(len(part), last[k]), len(begin))
+                part = np.arange(start + at, start + min(at + TILE, length))
+                yield out(part, np.full(len(part), first[k]), np.full(len(part), last[k]), len(begin))
 
     dealt = docs.select("text").mapInArrow(freed(put), "part int, data binary").repartitionById(parts, F.col("part"))
     return dealt.mapInArrow(freed(get), "block long, a long, n long, cut int, first int, last int, cuts int")
 
 
+def once(blocks: DataFrame, parts: int) -> DataFrame:
+    """The members of each block, those of several tasks' like blocks once; dealt
+    by class, as the join that follows needs them."""
+    return blocks.repartition(parts, "a").dropDuplicates(["block", "a", "cut"])
+
+
 def tiled(members: DataFrame) -> DataFrame:
     """A row for each tile of a member, where it stands wherever the join before
     has put it: a tile pairs side 0, the smaller sets, with side 1, or side 0 with
@@ -396,36 +433,57 @@ def _known(spark: SparkSession, ids: DataFrame) -> tuple[object, int]:
             x = batch.column(0).drop_null().to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             for k in range(3):
                 held[spread(x + np.uint64(k)) % np.uint64(bits)] = True
-        pieces = [p.tobytes() for p in np.split(np.packbits(held), PARTS)]
+        pieces = [piece_bytes(p) for p in np.split(np.packbits(held), PARTS)]
         yield pa.RecordBatch.from_arrays([pa.array(range(PARTS), pa.int32()), pa.array(pieces, pa.binary())], ["part", "data"])
 
     table_ = added_up(ids.mapInArrow(freed(work), "part int, data binary"), "u1", np.bitwise_or)
     return spark.sparkContext.broadcast(table_), bits
 
 
+def in_filter(ids: pa.Array, known: np.ndarray, bits: int) -> np.ndarray:
+    """Which ids ``_known`` lets through: all that it was given, all nulls, few others."""
+    x = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
+    found = np.ones(len(x), bool)
+    for k in range(3):
+        place = spread(x + np.uint64(k)) % np.uint64(bits)
+        found &= (known[place >> np.uint64(3)] >> (np.uint64(7) - (place & np.uint64(7))).astype(np.uint8)) & np.uint8(1) > 0
+    return found | ids.is_null().to_numpy(zero_copy_only=False)
+
+
+def sets_of(batches: Iterator[pa.RecordBatch], words: int, known, bits: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Shingle sets of the documents (doc_id, text) whose id may be wanted."""
+    for batch in batches:
+        hit = in_filter(batch.column(0), known.value, bits)
+        for _, text in slices(batch.column(1).filter(pa.array(hit)), TEXT_BYTES):
+            yield shingle_sets(text, words)
+
+
 def _candidates(docs: DataFrame, words: int, known, bits: int) -> DataFrame:
-    """(c, a, n, bitmap, numbers) of the documents whose id may be wanted."""
+    """(c, a, bitmap) of the documents whose id may be wanted."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        wanted = np.unpackbits(known.value).astype(bool)
-        for batch in batches:
-            x = batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-            hit = batch.column(0).is_null().to_numpy(zero_copy_only=False)
-            hit = hit | np.all([wanted[spread(x + np.uint64(k)) % np.uint64(bits)] for k in range(3)], axis=0)
-            for first, text in slices(batch.column(1).filter(pa.array(hit)), TEXT_BYTES):
-                numbers, sizes = shingle_sets(text, words)
-                names = digests(numbers, sizes)
-                ends = np.cumsum(sizes)
-                maps = np.zeros((len(sizes), BITMAP_BITS), bool)
-                maps[np.repeat(np.arange(len(sizes)), sizes), (spread(numbers) % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
-                some = np.flatnonzero(sizes)
-                yield pa.RecordBatch.from_arrays(
-                    [key(names[some]), pa.array(names[some, 0].view(np.int64)), pa.array(sizes[some]), pa.array([m.tobytes() for m in np.packbits(maps[some], axis=1)], pa.binary()),
-                     pa.array([set_bytes(numbers[ends[k] - sizes[k] : ends[k]]) for k in some.tolist()], pa.binary())],
-                    ["c", "a", "n", "bitmap", "numbers"],
-                )
+        for numbers, sizes in sets_of(batches, words, known, bits):
+            names = digests(numbers, sizes)
+            maps = np.zeros((len(sizes), BITMAP_BITS), bool)
+            maps[np.repeat(np.arange(len(sizes)), sizes), (spread(numbers) % np.uint64(BITMAP_BITS)).astype(np.int64)] = True
+            some = np.flatnonzero(sizes)
+            yield pa.RecordBatch.from_arrays(
+                [key(names[some]), pa.array(names[some, 0].view(np.int64)), pa.array([m.tobytes() for m in np.packbits(maps[some], axis=1)], pa.binary())], ["c", "a", "bitmap"]
+            )
 
-    return docs.select("doc_id", "text").mapInArrow(freed(work), "c binary, a long, n long, bitmap binary, numbers binary")
+    return docs.select("doc_id", "text").mapInArrow(freed(work), "c binary, a long, bitmap binary")
+
+
+def _compared(docs: DataFrame, words: int, known, bits: int) -> DataFrame:
+    """(c, numbers) of the documents whose id may be wanted."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for numbers, sizes in sets_of(batches, words, known, bits):
+            ends, some = np.cumsum(sizes), np.flatnonzero(sizes)
+            sets = [set_bytes(numbers[ends[k] - sizes[k] : ends[k]]) for k in some.tolist()]
+            yield pa.RecordBatch.from_arrays([key(digests(numbers, sizes)[some]), pa.array(sets, pa.binary())], ["c", "numbers"])
+
+    return docs.select("doc_id", "text").mapInArrow(freed(work), "c binary, numbers binary")
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -685,17 +743,18 @@ def _classes(docs: DataFrame, words: int, least: int) -> tuple[DataFrame, DataFr
     wanted = stage(classes.join(blocks.select("a").distinct(), "a", "left_semi").select("first_id"), "join-wanted")
     known, bits = _known(spark, wanted)
     found = stage(_candidates(docs, words, known, bits), "join-candidates")
-    maps = found.select("a", "c", "bitmap").dropDuplicates(["c"])
-    tiles = tiled(blocks.join(maps, "a"))
+    maps = found.dropDuplicates(["c"])
+    tiles = tiled(once(blocks, parts).join(maps, "a"))
     dealt = tiles.repartition(parts, "block", "tile").sortWithinPartitions("block", "tile", "n", "c")
     pairs = stage(_pairs(dealt, least, parts), "join-pairs")
-    unstage(blocks, wanted)
+    unstage(blocks, wanted, found)
     groups = _groups(merged_forests(pairs.where("b is not null").select("part", "a", "b"), parts, "join-pair-forest"))
     dealt = stage(_tiles(pairs.where("bs is not null").select("a", "bs"), groups), "join-tiles")
     unstage(pairs)
-    needed = stage(dealt.where("c is not null").select("tile", "c").distinct().join(classes.select("c", "copies"), "c"), "join-needed")
-    links = stage(_linked(dealt, needed, found.select("c", "numbers"), least, parts), "join-links")
-    unstage(dealt, needed, found)
+    needed = stage(dealt.where("c is not null").select("tile", "c").distinct().join(classes.select("c", "copies", "first_id"), "c"), "join-needed")
+    known, bits = _known(spark, needed.select("first_id").distinct())
+    links = stage(_linked(dealt, needed.drop("first_id"), _compared(docs, words, known, bits), least, parts), "join-links")
+    unstage(dealt, needed)
     edges = merged_forests(links.where("b is not null").select("part", "a", "b"), parts, "join-link-forest")
     return sets, classes, components(edges), links
 
@@ -742,15 +801,9 @@ def representatives(docs: DataFrame, words: int = WORDS, least: int = LEAST) ->
     odd_ids = stage(sets.where("n > 0").join(odd, "c", "left_semi").select("doc_id").where("doc_id is not null").distinct(), "join-odd")
     known, bits = _known(spark, odd_ids)
 
-    def in_filter(ids: pa.Array) -> np.ndarray:
-        held = np.unpackbits(known.value).astype(bool)
-        x = ids.fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
-        none = ids.is_null().to_numpy(zero_copy_only=False)
-        return none | np.all([held[spread(x + np.uint64(k)) % np.uint64(bits)] for k in range(3)], axis=0)
-
     @F.pandas_udf("boolean")
     def listed(ids: pd.Series) -> pd.Series:
-        return pd.Series(in_filter(pa.array(ids, pa.int64(), from_pandas=True)))
+        return pd.Series(in_filter(pa.array(ids, pa.int64(), from_pandas=True), known.value, bits))
 
     def named_row(c: str, doc_id: str):
         return F.concat(F.col(c), F.coalesce(F.col(doc_id).cast("string"), F.lit("~")).cast("binary"))
@@ -763,7 +816,7 @@ def representatives(docs: DataFrame, words: int = WORDS, least: int = LEAST) ->
     def classed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = np.unpackbits(wanted.value).astype(bool)
         for batch in batches:
-            batch = batch.filter(pa.array(in_filter(batch.column(1))))
+            batch = batch.filter(pa.array(in_filter(batch.column(1), known.value, bits)))
             ids = batch.column(1).fill_null(-1).to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             for first, text in slices(batch.column(0).field("text"), TEXT_BYTES):
                 names = digests(*shingle_sets(text, words))

@@ -11,6 +11,7 @@ import time
 from fractions import Fraction
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from samples import FOLDER, ODD
 from plain import article, linked, top_k
@@ -88,6 +89,58 @@ def test_one_row_of_each_group_stays_whatever_its_ids(spark):
     assert [x for x in got if x[0]] == [(3, a), (5, b), (9, d), (11, "p q r"), (11, "x y z"), (12, ""), (12, ""), (13, "one two three")]
 
 
+def _staged(monkeypatch):
+    """The columns of what a join stores, by label, and the rows that it deals to tiles."""
+    seen, stage, pairs = {}, ngram_join.stage, ngram_join._pairs
+
+    def noted(df, label):
+        seen[label] = df.columns
+        return stage(df, label)
+
+    def counted(tiles, least, parts):
+        seen["rows in tiles"] = tiles.count()
+        return pairs(tiles, least, parts)
+
+    monkeypatch.setattr(ngram_join, "stage", noted)
+    monkeypatch.setattr(ngram_join, "_pairs", counted)
+    return seen
+
+
+def test_near_copies_meet_once_however_many_shingles_they_share(spark, monkeypatch):
+    seen, draw, rows = _staged(monkeypatch), random.Random(17), []
+    for pair in range(30):
+        words = [f"p{pair}w{draw.randrange(10**6)}" for _ in range(300)]
+        rows += [(2 * pair, " ".join(words)), (2 * pair + 1, " ".join([*words[:150], "other", *words[151:]]))]
+    got = {r.doc_id: r.component_id for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {i: i - i % 2 for i in range(60)}
+    assert seen["rows in tiles"] == 60  # not 60 for each of the 40 shingles or so that a pair shares
+
+
+def test_sets_are_not_stored(spark, monkeypatch):
+    seen = _staged(monkeypatch)
+    ngram_join.join(spark.createDataFrame(_near(spark), "doc_id long, text string")).collect()
+    assert "join-candidates" in seen and not [label for label, columns in seen.items() if label.startswith("join-") and "numbers" in columns]
+
+
+def test_bytes_that_cross_come_back():
+    draw = np.random.default_rng(5)
+    rows = np.zeros(500, ngram_join.ENTRY)
+    rows["token"], rows["a"], rows["n"] = draw.integers(0, 2**40, 500), draw.integers(0, 2**63, 500), draw.integers(1, 200_000, 500)
+    rows["cells"] = np.minimum(draw.poisson(rows["n"][:, None] / ngram_join.CELLS, (500, ngram_join.CELLS)), 255)
+    assert (ngram_join.expanded(ngram_join.squeezed(rows), ngram_join.ENTRY) == rows).all()
+    for kind in ("<u4", "u1"):
+        piece = draw.integers(0, 256, 1 << 12).astype(kind)
+        data = ngram_join.piece_bytes(piece)
+        assert (ngram_join.piece_numbers(data, kind) == piece).all() and len(data) < 1.1 * len(piece)
+
+
+def test_a_filter_lets_all_its_ids_and_nulls_through(spark):
+    ids = [None, 0, -1, 7, -(2**63), 2**63 - 1, *range(1000, 3000, 3)]
+    known, bits = ngram_join._known(spark, spark.createDataFrame([(i,) for i in ids], "id long"))
+    assert ngram_join.in_filter(pa.array(ids, pa.int64()), known.value, bits).all()
+    assert ngram_join.in_filter(pa.array(range(10**6, 10**6 + 1000), pa.int64()), known.value, bits).sum() < 10
+
+
 # --- top-k search ------------------------------------------------------------------
 def test_search_equals_brute_force(spark, monkeypatch):
     monkeypatch.setattr(topk_search, "GROUP_QUERIES", 2)
