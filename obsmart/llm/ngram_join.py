@@ -378,10 +378,11 @@ def _blocks(docs: DataFrame, words: int, least: int, levels, parts: int) -> Data
         once = np.zeros(len(starts), bool)
         once[np.unique(name, return_index=True)[1]] = True
         once &= lengths > 1
+        block = np.repeat(name, lengths)
 
         def out(part: np.ndarray, first: np.ndarray, last: np.ndarray, cuts: int) -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays(
-                [pa.array(np.repeat(name, lengths)[part].view(np.int64)), pa.array(rows["a"][part].view(np.int64)), pa.array(rows["n"][part].astype(np.int64)),
+                [pa.array(block[part].view(np.int64)), pa.array(rows["a"][part].view(np.int64)), pa.array(rows["n"][part].astype(np.int64)),
                  *(pa.array(x.astype(np.int32)) for x in (cut[part], first, last, np.full(len(part), cuts)))],
                 ["block", "a", "n", "cut", "first", "last", "cuts"],
             )
